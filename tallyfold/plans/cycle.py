@@ -62,16 +62,15 @@ class Load:
     """What one cycle works with.
 
     `source` gives the DataFrame of a source stream. `overlap` is subtracted
-    from the marks to catch rows committed late. `latest_by` names the stamp
-    by which only the newest row of a key is kept, for sources that hold
-    several versions of a row. `on_unresolved` receives the rows that found
-    no dimension row.
+    from the marks to catch rows committed late. `newest_only` keeps the newest
+    row of each key, for sources that hold several versions of a row.
+    `on_unresolved` receives the rows that found no dimension row.
     """
 
     star: TableStore
     source: Callable[[str], DataFrame]
     overlap: timedelta = timedelta(0)
-    latest_by: str | None = None
+    newest_only: bool = False
     on_unresolved: Callable[[str, DataFrame], None] | None = None
     rows: dict[str, int] = field(default_factory=dict)
 
@@ -85,8 +84,8 @@ class Load:
 
 def _load_dimension(load: Load, tx: Transaction, stream: str, table: str, project) -> None:
     batch = project(load.changes(tx, stream, "updated_at"))
-    if load.latest_by:
-        batch = latest_per_key(batch, tx.table(table).natural_key, load.latest_by)
+    if load.newest_only:
+        batch = latest_per_key(batch, tx.table(table).natural_key, "updated_at")
     load.rows[table] = upsert(tx, table, batch)
 
 
@@ -110,8 +109,8 @@ def ensure_dates(tx: Transaction, dates: DataFrame) -> None:
 
 def load_fact_invoice(load: Load, tx: Transaction) -> None:
     changed = load.changes(tx, "invoices", "updated_at")
-    if load.latest_by:
-        changed = latest_per_key(changed, "invoice_id", load.latest_by)
+    if load.newest_only:
+        changed = latest_per_key(changed, "invoice_id", "updated_at")
     sellers, clients = tx.read("dim_seller"), tx.read("dim_client")
     resolved = star.resolve_invoice_keys(changed, sellers, clients)
     if load.on_unresolved:
@@ -134,7 +133,7 @@ def append_fact(load: Load, tx: Transaction, table: str, stream: str, rows: Data
             return 0
         low = (mark - load.overlap).isoformat(sep=" ")
         stored = tx.read(table, since=low).where(F.col("created_at") >= F.lit(low).cast("timestamp_ntz"))
-        if load.latest_by:
+        if load.newest_only:
             rows = rows.dropDuplicates([source_id])
         rows = rows.join(stored.select(source_id), source_id, "left_anti")
     start = tx.high_key(table)

@@ -18,7 +18,7 @@ def raw(spark: SparkSession, folder: str, table: str) -> DataFrame:
 
 
 def _days_after(column: str):
-    """Noon-free stamp: the first of 2024 plus a number of days."""
+    """The first of 2024 plus a number of days."""
     return F.date_add(F.lit("2024-01-01").cast("date"), F.col(column).cast("int")).cast("timestamp_ntz")
 
 
@@ -45,7 +45,7 @@ def sellers(spark: SparkSession, folder: str) -> DataFrame:
         F.col("s_name").alias("seller_name"),
         F.concat(F.lit("Nation "), "s_nationkey").alias("seller_address"),
         F.concat(F.lit("TAX-S-"), "s_suppkey").alias("seller_tax_id"),
-        F.lit(None).alias("iban"),
+        F.concat(F.lit("IB-"), "s_suppkey").alias("iban"),
         stamp(CREATED).alias("created_at"),
         _days_after("s_nationkey").alias("updated_at"),
     )
