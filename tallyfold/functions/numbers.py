@@ -17,14 +17,19 @@ def _digits(text: Column) -> Column:
     return F.replace(text, F.lit("_"), F.lit(""))
 
 
-def is_number(text: Column) -> Column:
-    """True for decimal text; NULL for NULL."""
-    return _digits(text).rlike(NUMBER_PATTERN)
-
-
 def to_decimal(text: Column, type_name: str = PARSED) -> Column:
     """Decimal value of number text; NULL when it is no number or does not fit."""
-    return F.when(is_number(text), F.trim(_digits(text)).try_cast(type_name))
+    return F.trim(_digits(text)).try_cast(type_name)
+
+
+def is_number(text: Column, value: Column | None = None) -> Column:
+    """True for decimal text, false for any other and for NULL.
+
+    `value` is the text's `to_decimal`, if it is at hand: only text without a
+    value needs the slower look at its form, to tell a number out of range.
+    """
+    form = F.coalesce(_digits(text).rlike(NUMBER_PATTERN), F.lit(False))
+    return form if value is None else F.when(value.isNotNull(), F.lit(True)).otherwise(form)
 
 
 def summary_text(text: Column, decimal_comma: bool = False) -> Column:

@@ -7,6 +7,7 @@ driver; the number of groups is bounded by construction.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
@@ -65,19 +66,59 @@ def number_in_groups(
     )
 
 
-def assign_keys(df: DataFrame, order: str, start: int, out: str, then: tuple[str, ...] = ()) -> tuple[DataFrame, int]:
+@dataclass(frozen=True)
+class IdRange:
+    """Rows, least and greatest id, and a check sum of the ids."""
+
+    rows: int
+    low: int | None
+    high: int | None
+    ids: int | None
+
+    @staticmethod
+    def columns(id_column: str) -> list[Column]:
+        ids = F.col(id_column)
+        return [F.count(ids), F.min(ids), F.max(ids), F.bit_xor(F.xxhash64(ids.cast("long")))]
+
+    @staticmethod
+    def of(df: DataFrame, id_column: str) -> "IdRange":
+        return IdRange(*df.agg(*IdRange.columns(id_column)).first())
+
+    def dense(self, spark) -> bool:
+        """Whether the ids are each number of the range, once."""
+        if self.rows != self.high - self.low + 1:
+            return False
+        every = spark.range(self.low, self.high + 1).agg(F.bit_xor(F.xxhash64("id")))
+        return every.first()[0] == self.ids
+
+
+def assign_keys(
+    df: DataFrame,
+    order: str,
+    start: int,
+    out: str,
+    then: tuple[str, ...] = (),
+    found: IdRange | None = None,
+    same_ids: DataFrame | None = None,
+) -> tuple[DataFrame, int]:
     """Number rows by the long column `order` (nearly unique), then by `then`.
 
-    Returns the rows with `out`, and the last number given.
+    Returns the rows with `out`, and the last number given. Ids without gaps
+    are numbered by subtraction, with no shuffle. `found` is the range of
+    `order`, if it is known; `same_ids` is a frame with the same values of
+    `order` that is cheaper to count than `df`.
     """
-    low, high = df.agg(F.min(order), F.max(order)).first()
-    if low is None:
+    spark = df.sparkSession
+    counted = df if same_ids is None else same_ids
+    found = found or IdRange.of(counted, order)
+    if not found.rows:
         return df.withColumn(out, F.lit(None).cast("long")), start
-    width = block_width(df.sparkSession, low, high)
+    if not then and found.dense(spark):
+        return df.withColumn(out, F.col(order) - F.lit(found.low) + F.lit(start + 1)), start + found.rows
+    width = block_width(spark, found.low, found.high)
     group = F.expr(f"`{order}` div {width}")
-    counts = group_counts(df, group)
-    numbered = number_in_groups(df, group, [order, *then], counts, start, out)
-    return numbered, start + sum(counts.values())
+    counts = group_counts(counted, group)
+    return number_in_groups(df, group, [order, *then], counts, start, out), start + found.rows
 
 
 def assign_keys_by_range(df: DataFrame, order: list, start: int, out: str) -> tuple[DataFrame, int]:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyfold.operators.keys import assign_keys, group_counts, number_in_groups
+from tallyfold.session import stage
 from tallyfold.sources.store import BLOCK, Transaction
 
 # Largest batch sent to every executor; its size is measured first.
@@ -47,15 +48,25 @@ def lookup_ids(df: DataFrame, table: DataFrame, natural_key: str, id_column: str
 
 
 def get_or_create(
-    existing: DataFrame, candidates: DataFrame, natural_key: str, order: str, id_column: str, start: int
+    existing: DataFrame,
+    candidates: DataFrame,
+    natural_key: str,
+    order: str,
+    id_column: str,
+    start: int,
+    then: tuple[str, ...] = (),
 ) -> tuple[DataFrame, int]:
     """New rows for natural keys that do not exist yet, numbered in input order.
 
-    Attributes come from the first candidate of each key and are never
-    refreshed. Returns the new rows (with `order`) and the last id given.
+    Attributes come from the first candidate of each key, by `order` and then
+    by `then`, and are never refreshed. The new rows are staged, as numbering
+    reads them more than once. Returns them (with `order` and `then`) and the
+    last id given.
     """
-    new = insert_ignore(existing, candidates.where(F.col(natural_key).isNotNull()), natural_key, F.col(order))
-    return assign_keys(new, order, start, id_column)
+    place = F.struct(order, *then) if then else F.col(order)
+    named = candidates.where(F.col(natural_key).isNotNull())
+    new = stage(insert_ignore(existing, named, natural_key, place), "created")
+    return assign_keys(new, order, start, id_column, then)
 
 
 def merged(target: DataFrame, batch: DataFrame, key: str, refresh: tuple[str, ...], on: list[str] | None = None) -> DataFrame:

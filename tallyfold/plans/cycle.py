@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tallyfold.operators import star
 from tallyfold.operators.incremental import advance_marks, get_mark, incremental, seed_marks
-from tallyfold.operators.keys import assign_keys
+from tallyfold.operators.keys import IdRange, assign_keys
 from tallyfold.operators.merge import insert_ignore, latest_per_key, upsert
 from tallyfold.schemas import star_tables
 from tallyfold.sources.store import TableStore, Transaction
@@ -136,14 +136,14 @@ def append_fact(load: Load, tx: Transaction, table: str, stream: str, rows: Data
         if load.newest_only:
             rows = rows.dropDuplicates([source_id])
         rows = rows.join(stored.select(source_id), source_id, "left_anti")
-    start = tx.high_key(table)
-    numbered, last = assign_keys(rows, source_id, start, key)
-    if last == start:
+    *found, newest = rows.agg(*IdRange.columns(source_id), F.max("created_at")).first()
+    found = IdRange(*found)
+    if not found.rows:
         return 0
-    newest = rows.agg(F.max("created_at")).first()[0]
+    numbered, last = assign_keys(rows, source_id, tx.high_key(table), key, found=found)
     tx.append(table, numbered, newest.isoformat(sep=" ") if newest else None)
     tx.raise_high_key(table, last)
-    return last - start
+    return found.rows
 
 
 def load_fact_item(load: Load, tx: Transaction) -> None:

@@ -23,6 +23,7 @@ from tallyfold.operators.merge import first_per_key, get_or_create, insert_ignor
 from tallyfold.operators.reads import derive_status
 from tallyfold.plans.cycle import utc_now
 from tallyfold.schemas import CLIENTS, INGEST_TABLES, INVOICES, PRODUCTS, SELLERS
+from tallyfold.session import stage
 from tallyfold.sources.invoice_lines import (
     HEADER_NAMES,
     HEADER_TAX_IDS,
@@ -61,63 +62,110 @@ def _known(test: Column) -> Column:
     return F.coalesce(test, F.lit(False))
 
 
-def _item_fields(item: Column) -> Column:
-    """Numbers of one item, and why it fails if it does.
+# An item is worked out in steps, each a pass over the item list: a pass keeps
+# its results, where one expression would compute shared parts again and again.
+
+
+def _with(item: Column, known: tuple[str, ...], **more: Column) -> Column:
+    return F.struct(*(item[k].alias(k) for k in known), *(v.alias(k) for k, v in more.items()))
+
+
+def _item_texts(item: Column) -> Column:
+    qty, price, vat, name = item["item_qty"], item["item_net_price"], item["item_vat"], item["item_desc"]
+    vat_given = vat["kind"].isNotNull()
+    return F.struct(
+        name["text"].alias("product_name"),
+        name["kind"].isNotNull().alias("named"),
+        _is_text(name).alias("name_text"),
+        F.when(_is_text(qty), numbers.item_text(qty["text"])).alias("qty"),
+        F.when(_is_text(price), numbers.item_text(price["text"])).alias("price"),
+        F.when(~vat_given | _is_text(vat), numbers.vat_text(vat["text"], vat_given)).alias("vat"),
+    )
+
+
+def _item_numbers(item: Column) -> Column:
+    return _with(
+        item,
+        ("product_name", "named", "name_text", "qty", "price", "vat"),
+        qty_value=numbers.to_decimal(item["qty"]),
+        price_value=numbers.to_decimal(item["price"]),
+        vat_value=numbers.to_decimal(item["vat"], "decimal(9,4)"),
+    )
+
+
+def _item_net(item: Column) -> Column:
+    return _with(
+        item,
+        ("product_name", "named", "name_text", "vat_value"),
+        price_ok=numbers.is_number(item["price"], item["price_value"]),
+        vat_ok=numbers.is_number(item["vat"], item["vat_value"]),
+        qty_ok=numbers.is_number(item["qty"], item["qty_value"]),
+        net=numbers.net_worth(item["qty_value"], item["price_value"]),
+        item_qty=numbers.store_money(item["qty_value"], 10),
+        item_net_price=numbers.store_money(item["price_value"], 12),
+        item_vat_rate=numbers.store_money(item["vat_value"], 5),
+    )
+
+
+def _item_stored(item: Column) -> Column:
+    return _with(
+        item,
+        ("product_name", "named", "name_text", "price_ok", "vat_ok", "qty_ok"),
+        item_qty=item["item_qty"],
+        item_net_price=item["item_net_price"],
+        item_vat_rate=item["item_vat_rate"],
+        item_net_worth=numbers.store_money(item["net"], 12),
+        item_gross_worth=numbers.store_money(numbers.gross_worth(item["net"], item["vat_value"]), 12),
+    )
+
+
+ITEM_COLUMNS = ("item_qty", "item_net_price", "item_vat_rate", "item_net_worth", "item_gross_worth")
+
+
+def _item_faults(item: Column) -> Column:
+    """Why an item fails, if it does.
 
     `product_fault` keeps even the product from being made, `item_fault` only
     the item, and `line_fault` is a broken rule that takes the line along.
     """
-    qty, price, vat, name = item["item_qty"], item["item_net_price"], item["item_vat"], item["item_desc"]
-    vat_given = vat["kind"].isNotNull()
-    vat_text = numbers.vat_text(vat["text"], vat_given)
-    price_text, qty_text = numbers.item_text(price["text"]), numbers.item_text(qty["text"])
-    price_ok = _is_text(price) & _known(numbers.is_number(price_text))
-    vat_ok = ~_known(vat_given & ~_is_text(vat)) & _known(numbers.is_number(vat_text))
-    qty_ok = _is_text(qty) & _known(numbers.is_number(qty_text))
-
-    qty_value = numbers.to_decimal(qty_text)
-    price_value = numbers.to_decimal(price_text)
-    vat_value = numbers.to_decimal(vat_text, "decimal(9,4)")
-    net = numbers.net_worth(qty_value, price_value)
-    gross = numbers.gross_worth(net, vat_value)
-    stored = {
-        "item_qty": numbers.store_money(qty_value, 10),
-        "item_net_price": numbers.store_money(price_value, 12),
-        "item_vat_rate": numbers.store_money(vat_value, 5),
-        "item_net_worth": numbers.store_money(net, 12),
-        "item_gross_worth": numbers.store_money(gross, 12),
-    }
     product_fault = F.coalesce(
-        F.when(name["kind"].isNull(), F.lit("item_desc is missing")),
-        F.when(~price_ok, F.lit("item_net_price is no number text")),
-        F.when(~vat_ok, F.lit("item_vat is no number text")),
+        F.when(~item["named"], F.lit("item_desc is missing")),
+        F.when(~item["price_ok"], F.lit("item_net_price is no number text")),
+        F.when(~item["vat_ok"], F.lit("item_vat is no number text")),
     )
-    item_fault = F.when(~qty_ok, F.lit("item_qty is no number text"))
+    item_fault = F.when(~item["qty_ok"], F.lit("item_qty is no number text"))
     # Rules of the product row: these break the line even when the quantity is bad.
+    name_limit = PRODUCTS.column("product_name").max_length
     product_breach = F.coalesce(
-        F.when(~_is_text(name), F.lit("item_desc is no text")),
-        F.when(F.length(name["text"]) > PRODUCTS.column("product_name").max_length, F.lit("product_name is too long")),
-        F.when(stored["item_net_price"].isNull(), F.lit("item_net_price is out of range")),
-        F.when(stored["item_vat_rate"].isNull(), F.lit("item_vat_rate is out of range")),
+        F.when(~item["name_text"], F.lit("item_desc is no text")),
+        F.when(F.length(item["product_name"]) > name_limit, F.lit("product_name is too long")),
+        F.when(item["item_net_price"].isNull(), F.lit("item_net_price is out of range")),
+        F.when(item["item_vat_rate"].isNull(), F.lit("item_vat_rate is out of range")),
     )
     item_breach = F.coalesce(
-        F.when(stored["item_qty"].isNull(), F.lit("item_qty is out of range")),
-        F.when(~_known(stored["item_qty"] > 0), F.lit("item_qty_positive fails")),
-        F.when(stored["item_net_worth"].isNull(), F.lit("item_net_worth is out of range")),
-        F.when(stored["item_gross_worth"].isNull(), F.lit("item_gross_worth is out of range")),
+        F.when(item["item_qty"].isNull(), F.lit("item_qty is out of range")),
+        F.when(~_known(item["item_qty"] > 0), F.lit("item_qty_positive fails")),
+        F.when(item["item_net_worth"].isNull(), F.lit("item_net_worth is out of range")),
+        F.when(item["item_gross_worth"].isNull(), F.lit("item_gross_worth is out of range")),
     )
     line_fault = F.when(
         product_fault.isNull(), F.coalesce(product_breach, F.when(item_fault.isNull(), item_breach))
     )
-    return F.struct(
-        name["text"].alias("product_name"),
-        *(value.alias(column) for column, value in stored.items()),
-        product_fault.alias("product_fault"),
-        item_fault.alias("item_fault"),
-        line_fault.alias("line_fault"),
+    return _with(
+        item,
+        ("product_name", *ITEM_COLUMNS),
+        product_fault=product_fault,
+        item_fault=item_fault,
+        line_fault=line_fault,
     )
 
 
+def _worked_items(items: Column) -> Column:
+    for step in (_item_texts, _item_numbers, _item_net, _item_stored, _item_faults):
+        items = F.transform(items, step)
+    return items
+
+
 def _first_fault(items: Column, strict: bool) -> Column:
     """The first reason among the items of a line to refuse the whole line."""
 
@@ -144,7 +192,7 @@ def judge_lines(documents: DataFrame, policy: str = LINE, decimal_comma: bool =
         *(header[k]["text"].alias(k) for k in (*HEADER_TAX_IDS, *HEADER_NAMES, *HEADER_TEXTS)),
         *(numbers.summary_amount(summary[k]["text"], decimal_comma).alias(k) for k in SUMMARY_KEYS),
         parse_us_date(header["invoice_date"]["text"]).alias("date"),
-        F.transform("items", _item_fields).alias("items"),
+        _worked_items(F.col("items")).alias("items"),
         header,
         summary,
     )
@@ -189,13 +237,13 @@ class IngestReport:
     rejected: int
 
 
-def _create(tx: Transaction, name: str, candidates: DataFrame, order: str, now) -> None:
-    """Find-or-create: add the natural keys the table lacks."""
+def _create(tx: Transaction, name: str, candidates: DataFrame, now, then: tuple[str, ...] = ()) -> None:
+    """Find-or-create: add the natural keys the table lacks, in input order."""
     table = tx.table(name)
     new, last = get_or_create(
-        tx.read(name), candidates, table.natural_key, order, table.key, tx.high_key(name)
+        tx.read(name), candidates, table.natural_key, "line_no", table.key, tx.high_key(name), then
     )
-    _append(tx, name, new.drop(order), last, now)
+    _append(tx, name, new.drop("line_no", *then), last, now)
 
 
 def _append(tx: Transaction, name: str, rows: DataFrame, last: int, now) -> None:
@@ -223,10 +271,9 @@ def _spread_items(lines: DataFrame) -> DataFrame:
     )
 
 
-def _create_products(tx: Transaction, items: DataFrame, now) -> None:
-    """Products by name, in order of line and place, from the first item that names them."""
-    table = tx.table("products")
-    candidates = items.where(F.col("product_fault").isNull()).select(
+def _products(items: DataFrame) -> DataFrame:
+    """Products named by the items, with the price and rate of each item."""
+    return items.where(F.col("product_fault").isNull()).select(
         "product_name",
         F.col("product_name").alias("product_description"),
         F.col("item_net_price").alias("unit_price"),
@@ -234,17 +281,15 @@ def _create_products(tx: Transaction, items: DataFrame, now) -> None:
         "line_no",
         "pos",
     )
-    new = insert_ignore(tx.read("products"), candidates, "product_name", F.struct("line_no", "pos"))
-    keyed, last = assign_keys(new, "line_no", tx.high_key("products"), table.key, ("pos",))
-    _append(tx, "products", keyed.drop("line_no", "pos"), last, now)
 
 
 def _create_invoices(tx: Transaction, lines: DataFrame, now) -> None:
     header = lines.select("invoice_no", "invoice_date", *HEADER_TAX_IDS, *SUMMARY_KEYS, "line_no")
-    new = insert_ignore(tx.read("invoices"), header, "invoice_no", F.col("line_no"))
+    new = stage(insert_ignore(tx.read("invoices"), header, "invoice_no", F.col("line_no")), "invoices")
+    linked = new
     for party in (SELLERS, CLIENTS):
-        new = lookup_ids(new, tx.read(party.name), party.natural_key, party.key)
-    keyed, last = assign_keys(new, "line_no", tx.high_key("invoices"), "invoice_id")
+        linked = lookup_ids(linked, tx.read(party.name), party.natural_key, party.key)
+    keyed, last = assign_keys(linked, "line_no", tx.high_key("invoices"), "invoice_id", same_ids=new)
     _append(tx, "invoices", keyed.drop("line_no", *HEADER_TAX_IDS), last, now)
 
 
@@ -252,9 +297,8 @@ def _append_items(tx: Transaction, items: DataFrame, now) -> None:
     good = items.where(F.col("product_fault").isNull() & F.col("item_fault").isNull())
     linked = lookup_ids(good, tx.read("invoices"), "invoice_no", "invoice_id")
     linked = lookup_ids(linked, tx.read("products"), "product_name", "product_id")
-    names = ["item_qty", "item_net_price", "item_net_worth", "item_vat_rate", "item_gross_worth"]
-    rows = linked.select("invoice_id", "product_id", *names, "line_no", "pos")
-    keyed, last = assign_keys(rows, "line_no", tx.high_key("invoice_items"), "item_id", ("pos",))
+    rows = linked.select("invoice_id", "product_id", *ITEM_COLUMNS, "line_no", "pos")
+    keyed, last = assign_keys(rows, "line_no", tx.high_key("invoice_items"), "item_id", ("pos",), same_ids=good)
     _append(tx, "invoice_items", keyed.drop("line_no", "pos"), last, now)
 
 
@@ -315,10 +359,10 @@ def ingest_invoices(
         firsts = first_per_key(good.select("invoice_no", "line_no"), "invoice_no", F.col("line_no"))
         firsts = firsts.join(tx.read("invoices").select("invoice_no"), "invoice_no", "left_anti")
         good = good.join(firsts.select("line_no"), "line_no", "left_semi")
-    _create(tx, "sellers", _party(good, "seller"), "line_no", now)
-    _create(tx, "clients", _party(good, "client"), "line_no", now)
+    _create(tx, "sellers", _party(good, "seller"), now)
+    _create(tx, "clients", _party(good, "client"), now)
     items = _spread_items(good)
-    _create_products(tx, items, now)
+    _create(tx, "products", _products(items), now, ("pos",))
     _create_invoices(tx, good, now)
     _append_items(tx, items, now)
     if payments is not None:
