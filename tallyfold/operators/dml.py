@@ -14,12 +14,13 @@ from tallyfold.sources.store import BLOCK, Transaction
 # -- expressions ------------------------------------------------------------
 
 
-def with_defaults(df: DataFrame, table: Table, now) -> DataFrame:
+def with_defaults(df: DataFrame, table: Table, now, keep: tuple[str, ...] = ()) -> DataFrame:
     """Add the columns that are absent, with their defaults or NULL.
 
     A NULL that is given stays NULL. The key, when absent, is left out.
+    Other columns go, except those to `keep`.
     """
-    columns = []
+    columns = [F.col(c) for c in keep]
     for c in table.columns:
         if c.name in df.columns:
             columns.append(F.col(c.name))
@@ -90,9 +91,7 @@ def insert(tx: Transaction, name: str, rows: DataFrame, now, order: str | None =
     """
     table = tx.table(name)
     given = [c for c in rows.columns if c != order]
-    full = with_defaults(rows, table, now)
-    if order:
-        full = full.withColumn(order, rows[order])
+    full = with_defaults(rows, table, now, (order,) if order else ())
     if check:
         quality.enforce(quality.row_violations(table, full), name)
         for column in (*table.unique, *([table.key] if table.key in full.columns else [])):
