@@ -8,13 +8,12 @@ from dataclasses import dataclass, field
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tallyfold.operators import star
-from tallyfold.operators.incremental import advance_marks, get_mark, incremental, seed_marks
+from tallyfold.operators.incremental import advance_marks, changed_since, get_mark, seed_marks
 from tallyfold.operators.keys import IdRange, assign_keys
 from tallyfold.operators.merge import insert_ignore, latest_per_key, upsert
-from tallyfold.schemas import star_tables
+from tallyfold.schemas import SOURCE_TABLES, star_tables
 from tallyfold.sources.store import TableStore, Transaction
 
 MARK_TABLE = "etl_watermarks"
@@ -61,14 +60,15 @@ def reset_star(store: TableStore) -> None:
 class Load:
     """What one cycle works with.
 
-    `source` gives the DataFrame of a source stream. `overlap` is subtracted
+    `source` is a store of the source tables, of which only folders with new
+    rows are read, or a function from stream name to DataFrame. `overlap` is subtracted
     from the marks to catch rows committed late. `newest_only` keeps the newest
     row of each key, for sources that hold several versions of a row.
     `on_unresolved` receives the rows that found no dimension row.
     """
 
     star: TableStore
-    source: Callable[[str], DataFrame]
+    source: TableStore | Callable[[str], DataFrame]
     overlap: timedelta = timedelta(0)
     newest_only: bool = False
     on_unresolved: Callable[[str, DataFrame], None] | None = None
@@ -78,8 +78,20 @@ class Load:
     def idempotent(self) -> bool:
         return "item_id" in self.star.tables["fact_invoice_item"].names
 
+    def low(self, tx: Transaction, stream: str) -> datetime | None:
+        """Stamp from which rows of a stream are read; None without a mark."""
+        mark = get_mark(tx.read(MARK_TABLE), stream)
+        return None if mark is None else mark - self.overlap
+
     def changes(self, tx: Transaction, stream: str, column: str) -> DataFrame:
-        return incremental(self.source(stream), tx.read(MARK_TABLE), stream, column, self.overlap)
+        low = self.low(tx, stream)
+        if low is None:
+            return tx.spark.createDataFrame([], SOURCE_TABLES[stream].schema)
+        if isinstance(self.source, TableStore):
+            rows = self.source.read(stream, since=low.isoformat(sep=" "))
+        else:
+            rows = self.source(stream)
+        return changed_since(rows, column, low)
 
 
 def _load_dimension(load: Load, tx: Transaction, stream: str, table: str, project) -> None:
@@ -124,24 +136,22 @@ def append_fact(load: Load, tx: Transaction, table: str, stream: str, rows: Data
 
     In append mode a row read twice is stored twice. In idempotent mode rows
     whose source id is stored are left out; a stored copy carries the same
-    creation stamp, so only batches that reach up to the mark are searched.
+    creation stamp, so only folders that reach up to the mark are searched.
     """
     key = tx.table(table).key
     if load.idempotent:
-        mark = get_mark(tx.read(MARK_TABLE), stream)
-        if mark is None:
+        low = load.low(tx, stream)
+        if low is None:
             return 0
-        low = (mark - load.overlap).isoformat(sep=" ")
-        stored = tx.read(table, since=low).where(F.col("created_at") >= F.lit(low).cast("timestamp_ntz"))
+        stored = changed_since(tx.read(table, since=low.isoformat(sep=" ")), "created_at", low)
         if load.newest_only:
             rows = rows.dropDuplicates([source_id])
         rows = rows.join(stored.select(source_id), source_id, "left_anti")
-    *found, newest = rows.agg(*IdRange.columns(source_id), F.max("created_at")).first()
-    found = IdRange(*found)
+    found = IdRange.of(rows, source_id)
     if not found.rows:
         return 0
     numbered, last = assign_keys(rows, source_id, tx.high_key(table), key, found=found)
-    tx.append(table, numbered, newest.isoformat(sep=" ") if newest else None)
+    tx.append(table, numbered)
     tx.raise_high_key(table, last)
     return found.rows
 

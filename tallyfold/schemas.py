@@ -61,6 +61,11 @@ class Table:
     def names(self) -> list[str]:
         return [c.name for c in self.columns]
 
+    @property
+    def stamp(self) -> str | None:
+        """Column that tells when a row last changed."""
+        return next((c for c in ("updated_at", "created_at") if c in self.names), None)
+
     def column(self, name: str) -> Column:
         return next(c for c in self.columns if c.name == name)
 

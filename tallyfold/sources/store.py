@@ -19,7 +19,7 @@ import json
 import uuid
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallyfold.schemas import Table
@@ -102,8 +102,8 @@ class TableStore:
         self._folder.write("_versions/hint", str(number))
 
     # -- access -----------------------------------------------------------
-    def read(self, table: str, version: int | None = None) -> DataFrame:
-        return Transaction(self, self.version(version)).read(table)
+    def read(self, table: str, version: int | None = None, since: str | None = None) -> DataFrame:
+        return Transaction(self, self.version(version)).read(table, since=since)
 
     def begin(self) -> "Transaction":
         return Transaction(self, self.version())
@@ -136,8 +136,8 @@ class Transaction:
     def read(self, name: str, blocks: Iterable[int] | None = None, since: str | None = None) -> DataFrame:
         """Rows of a table.
 
-        `blocks` limits the read to those blocks; `since` skips appended
-        batches whose newest row is older (rows are not filtered).
+        `blocks` limits the read to those blocks; `since` skips folders whose
+        newest row is older (single rows are not filtered).
         """
         parts = self._entry(name)["parts"]
         if blocks is not None:
@@ -169,39 +169,47 @@ class Transaction:
         entry["high_key"] = max(entry["high_key"], value)
 
     # -- writing ----------------------------------------------------------
-    def _write(self, name: str, df: DataFrame, newest: str | None) -> list[dict]:
+    def _write(self, name: str, df: DataFrame) -> list[dict]:
+        """Write a folder and return its parts, none for no rows.
+
+        Whether there are rows, and their newest stamp, is observed during the write.
+        """
         table = self.table(name)
         path = f"{name}/{uuid.uuid4().hex}"
-        writer = df.select(*table.names)
+        seen = Observation()
+        newest = F.max(table.stamp) if table.stamp else F.lit(None).cast("timestamp_ntz")
+        rows = df.select(*table.names).observe(seen, F.count(F.lit(1)).alias("rows"), newest.alias("newest"))
         if table.block_by:
-            writer = writer.withColumn(BLOCK, self.block_of(name)).write.partitionBy(BLOCK)
+            writer = rows.withColumn(BLOCK, self.block_of(name)).write.partitionBy(BLOCK)
         else:
-            writer = writer.write
-        if table.natural_key and dict(df.dtypes)[table.natural_key] == "string":
+            writer = rows.write
+        if table.natural_key and table.column(table.natural_key).type.typeName() == "string":
             # Stands in for the unique index: point reads skip row groups.
             writer = writer.option(f"parquet.bloom.filter.enabled#{table.natural_key}", "true")
         writer.parquet(f"{self.store.root}/{path}")
+        if not seen.get["rows"]:
+            return []
+        stamp = seen.get["newest"]
+        common = {"newest": stamp.isoformat(sep=" ") if stamp else None}
         if not table.block_by:
-            return [{"path": path, "block": None, "newest": newest}]
+            return [{"path": path, "block": None, **common}]
         found = [c for c in self.store._folder.children(path) if c.startswith(f"{BLOCK}=")]
-        return [
-            {"path": f"{path}/{c}", "block": int(c.split("=")[1]), "newest": newest} for c in sorted(found)
-        ]
+        return [{"path": f"{path}/{c}", "block": int(c.split("=")[1]), **common} for c in sorted(found)]
 
-    def append(self, name: str, df: DataFrame, newest: str | None = None) -> None:
+    def append(self, name: str, df: DataFrame) -> None:
         """Add rows; nothing that exists is read or rewritten."""
-        self._entry(name)["parts"].extend(self._write(name, df, newest))
+        self._entry(name)["parts"].extend(self._write(name, df))
 
     def rewrite_blocks(self, name: str, df: DataFrame, blocks: Iterable[int]) -> None:
         """Replace the rows of the named blocks by `df`, which holds no others."""
         gone = set(blocks)
-        added = self._write(name, df, None)
+        added = self._write(name, df)
         entry = self._entry(name)
         entry["parts"] = [p for p in entry["parts"] if p["block"] not in gone] + added
 
     def replace(self, name: str, df: DataFrame) -> None:
         """Replace a whole table; meant for small ones."""
-        self._entry(name)["parts"] = self._write(name, df, None)
+        self._entry(name)["parts"] = self._write(name, df)
 
     def clear(self, name: str) -> None:
         self._content["tables"].pop(name, None)

@@ -193,12 +193,12 @@ def test_new_client_reaches_the_dimension_first(store, spark, tmp_path):
     star = open_star(spark, str(tmp_path / "star"))
     init_star(star)
     init_marks(star)
-    run_cycle(Load(star, store.read), LATER, retries=0)
+    run_cycle(Load(star, store), LATER, retries=0)
     tx = store.begin()
     client = [("Demo Client", "Test Address", "TAX-001", "IBAN-DEMO")]
     put(tx, "clients", client, "client_name string, client_address string, client_tax_id string, iban string", LATER)
     tx.commit()
-    run_cycle(Load(star, store.read), datetime.datetime(2024, 5, 3), retries=0)
+    run_cycle(Load(star, store), datetime.datetime(2024, 5, 3), retries=0)
     newest, sample = reads.verify_star(star)
     assert [(r["client_key"], r["client_name"]) for r in newest.collect()] == [(2, "Demo Client"), (1, "Davidson, Smith and Gill")]
     assert sample.count() == 1

@@ -1,3 +1,5 @@
+import datetime
+
 import pytest
 
 from tallyfold.operators.incremental import get_mark
@@ -68,16 +70,26 @@ def test_second_writer_loses(spark, root):
     assert names(store.read("clients")) == {1: "n"}
 
 
-def test_since_skips_old_batches(spark, root):
+def test_since_skips_old_folders(spark, root):
     star = open_star(spark, root)
     schema = star.tables["fact_payment"].schema
     tx = star.begin()
-    for key, newest in ((1, "2024-01-01 00:00:00"), (2, "2024-02-01 00:00:00")):
-        tx.append("fact_payment", spark.createDataFrame([(key, 1, 1, None, "m", "r", None, key)], schema), newest)
+    for key, month in ((1, 1), (2, 2)):
+        stamp = datetime.datetime(2024, month, 1)
+        tx.append("fact_payment", spark.createDataFrame([(key, 1, 1, None, "m", "r", stamp, key)], schema))
     assert tx.read("fact_payment", since="2024-01-15 00:00:00").count() == 1
     assert tx.read("fact_payment").count() == 2
 
 
+def test_no_rows_leave_no_folder_behind(spark, root):
+    star = open_star(spark, root)
+    tx = star.begin()
+    for table in ("fact_payment", "dim_client"):
+        tx.append(table, spark.createDataFrame([], star.tables[table].schema))
+    tx.commit()
+    assert all(not t["parts"] for t in star.version()["tables"].values())
+
+
 def test_init_and_reset(spark, root):
     star = open_star(spark, root)
     init_star(star)
