@@ -10,7 +10,7 @@ from datetime import datetime, timedelta, timezone
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyfold.operators import star
-from tallyfold.operators.incremental import advance_marks, changed_since, get_mark, seed_marks
+from tallyfold.operators.incremental import advance_marks, changed_since, seed_marks
 from tallyfold.operators.keys import IdRange, assign_keys
 from tallyfold.operators.merge import insert_ignore, latest_per_key, upsert
 from tallyfold.schemas import SOURCE_TABLES, star_tables
@@ -73,6 +73,7 @@ class Load:
     newest_only: bool = False
     on_unresolved: Callable[[str, DataFrame], None] | None = None
     rows: dict[str, int] = field(default_factory=dict)
+    _marks: tuple[Transaction | None, dict[str, datetime]] = (None, {})
 
     @property
     def idempotent(self) -> bool:
@@ -80,7 +81,9 @@ class Load:
 
     def low(self, tx: Transaction, stream: str) -> datetime | None:
         """Stamp from which rows of a stream are read; None without a mark."""
-        mark = get_mark(tx.read(MARK_TABLE), stream)
+        if self._marks[0] is not tx:
+            self._marks = (tx, {r[0]: r[1] for r in tx.read(MARK_TABLE).collect()})
+        mark = self._marks[1].get(stream)
         return None if mark is None else mark - self.overlap
 
     def changes(self, tx: Transaction, stream: str, column: str) -> DataFrame:

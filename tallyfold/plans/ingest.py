@@ -178,11 +178,27 @@ def _first_fault(items: Column, strict: bool) -> Column:
     return F.get(faults, F.lit(0))
 
 
+def _too_long(key: str, limit: int) -> Column:
+    return F.when(F.length(key) > limit, F.lit(f"{key} is too long"))
+
+
+def _party_fault(singular: str) -> Column:
+    """Why a line could not create its seller or client."""
+    name_limit = SELLERS.column("seller_name").max_length
+    return F.coalesce(
+        F.when(F.col(singular).isNull(), F.lit(f"{singular} is null")),
+        _too_long(singular, name_limit),
+        _too_long("iban", SELLERS.column("iban").max_length),
+    )
+
+
 def judge_lines(documents: DataFrame, policy: str = LINE, decimal_comma: bool = False) -> DataFrame:
     """Typed fields of each document, and `reason` when the line is refused.
 
     Under policy `line` any bad item refuses the line. Under policy `item` a
     bad item is left out alone, unless it breaks a rule of the tables.
+    `seller_fault` and `client_fault` refuse the line only if that party does
+    not exist by then; `settle_parties` decides.
     """
     if policy not in (LINE, ITEM):
         raise ValueError(f"unknown policy {policy!r}")
@@ -197,10 +213,6 @@ def judge_lines(documents: DataFrame, policy: str = LINE, decimal_comma: bool =
         summary,
     )
 
-    def too_long(key: str, limit: int) -> Column:
-        return F.when(F.length(key) > limit, F.lit(f"{key} is too long"))
-
-    name_limit = SELLERS.column("seller_name").max_length
     reasons = [
         F.when(~F.col("document"), F.lit("not a JSON document")),
         *(F.when(~_is_text(header[k]), F.lit(f"{k} is no text")) for k in (*HEADER_TAX_IDS, *HEADER_TEXTS)),
@@ -209,23 +221,78 @@ def judge_lines(documents: DataFrame, policy: str = LINE, decimal_comma: bool =
         F.when(~_known(F.col("items_kind").startswith("ARRAY")), F.lit("items is no list")),
         F.when(F.col("date").isNull(), F.lit("invoice_date is no date")),
         *(F.when(F.col(k).isNull(), F.lit(f"{k} is no amount in range")) for k in SUMMARY_KEYS),
-        *(F.when(F.col(k).isNull(), F.lit(f"{k} is null")) for k in ("seller", "client")),
-        *(too_long(k, SELLERS.column("seller_tax_id").max_length) for k in HEADER_TAX_IDS),
-        *(too_long(k, name_limit) for k in ("seller", "client")),
-        too_long("iban", SELLERS.column("iban").max_length),
-        too_long("invoice_no", INVOICES.column("invoice_no").max_length),
+        *(_too_long(k, SELLERS.column("seller_tax_id").max_length) for k in HEADER_TAX_IDS),
+        _too_long("invoice_no", INVOICES.column("invoice_no").max_length),
         _first_fault(F.col("items"), policy == LINE),
     ]
-    reason = F.coalesce(*reasons)
+    suspect = F.coalesce("reason", "seller_fault", "client_fault").isNotNull()
     return (
-        typed.withColumn("reason", reason)
-        .withColumn("line", F.when(F.col("reason").isNotNull(), F.col("line")))
+        typed.withColumn("reason", F.coalesce(*reasons))
+        .withColumn("seller_fault", F.when(F.col("reason").isNull(), _party_fault("seller")))
+        .withColumn("client_fault", F.when(F.col("reason").isNull(), _party_fault("client")))
+        .withColumn("line", F.when(suspect, F.col("line")))
         .withColumn("items", F.when(F.col("reason").isNull(), F.col("items")))
         .drop("header", "summary", "document", "items_kind", "invoice_date")
         .withColumnRenamed("date", "invoice_date")
     )
 
 
+def _first_lines(lines: DataFrame, tax_id: str, fault: str) -> DataFrame:
+    """For each tax id the first line that can create the party."""
+    able = lines.where(F.col(fault).isNull())
+    return able.groupBy(tax_id).agg(F.min("line_no").alias("first"))
+
+
+def settle_parties(tx: Transaction, lines: DataFrame) -> DataFrame:
+    """Decide the lines whose seller or client they could not create.
+
+    Such a line stands if each party in question exists, in the tables or
+    through an earlier line that stands. As that line may itself be in
+    question, the lines in question are judged in rounds, each with what the
+    round before let through, until nothing is added. Without such lines,
+    the usual case, nothing is done.
+    """
+    parties = [(p, p.natural_key, p.natural_key.replace("tax_id", "fault")) for p in (SELLERS, CLIENTS)]
+    sound = F.col("reason").isNull()
+    clear = F.col("seller_fault").isNull() & F.col("client_fault").isNull()
+    columns = ["line_no", *HEADER_TAX_IDS, "seller_fault", "client_fault"]
+    open_lines = lines.where(sound & ~clear).select(*columns)
+    settled = lines.drop("seller_fault", "client_fault")
+    waiting = open_lines.count()
+    if not waiting:
+        return settled
+
+    open_lines = stage(open_lines, "open")
+    # First line, or 0 for a stored row, of the parties in question.
+    known = {}
+    for party, tax_id, fault in parties:
+        wanted = open_lines.where(F.col(fault).isNotNull()).select(tax_id).distinct()
+        stored = tx.read(party.name).select(tax_id, F.lit(0).cast("long").alias("first"))
+        created = _first_lines(lines.where(sound & clear), tax_id, fault)
+        known[tax_id] = stage(stored.unionByName(created).join(wanted, tax_id, "left_semi"), "known")
+
+    accepted, passed = open_lines.where(F.lit(False)), 0
+    while True:
+        judged, stands = open_lines, F.lit(True)
+        for _, tax_id, fault in parties:
+            first = known[tax_id].unionByName(_first_lines(accepted, tax_id, fault))
+            first = first.groupBy(tax_id).agg(F.min("first").alias(f"first_{tax_id}"))
+            judged = judged.join(first, tax_id, "left")
+            stands &= F.col(fault).isNull() | _known(F.col(f"first_{tax_id}") < F.col("line_no"))
+        accepted = stage(judged.where(stands).select(*columns), "accepted")
+        before, passed = passed, accepted.count()
+        if passed in (before, waiting):
+            break
+    refused = open_lines.join(accepted, "line_no", "left_anti").select(
+        "line_no", F.coalesce("seller_fault", "client_fault").alias("_refused")
+    )
+    return (
+        settled.join(refused, "line_no", "left")
+        .withColumn("reason", F.coalesce("reason", "_refused"))
+        .select(*settled.columns)
+    )
+
+
 # -- the job ----------------------------------------------------------------
 
 
@@ -351,10 +418,11 @@ def ingest_invoices(
     now = now or utc_now()
     load_id = uuid.uuid4().hex
     documents = split_document(read_invoice_lines(spark, path))
-    lines = stage_lines(judge_lines(documents, policy, decimal_comma))
-    good = lines.where(F.col("reason").isNull())
+    judged = stage_lines(judge_lines(documents, policy, decimal_comma))
 
     tx = store.begin()
+    lines = settle_parties(tx, judged)
+    good = lines.where(F.col("reason").isNull())
     if skip_known_invoices:
         firsts = first_per_key(good.select("invoice_no", "line_no"), "invoice_no", F.col("line_no"))
         firsts = firsts.join(tx.read("invoices").select("invoice_no"), "invoice_no", "left_anti")
