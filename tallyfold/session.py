@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Lets a join on (block, key) reuse rows already partitioned by block.
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    # A repeated key in a JSON object counts with its last value.
+    "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.ui.enabled": "false",
 }
 

@@ -53,6 +53,12 @@ LINES = [
     (document(invoice_date="13/01/2021"), "invoice_date is no date", "invoice_date is no date"),
     ("not json", "not a JSON document", "not a JSON document"),
     ("", "not a JSON document", "not a JSON document"),
+    (json.dumps(document()) + " x", "not a JSON document", "not a JSON document"),
+    (json.dumps(document()) + json.dumps(document()), "not a JSON document", "not a JSON document"),
+    (json.dumps(document()) + "," + json.dumps(document()), "not a JSON document", "not a JSON document"),
+    (json.dumps(document()) + "] {}", "not a JSON document", "not a JSON document"),
+    ("\t " + json.dumps(document()) + " \t", None, None),
+    (json.dumps(document()).replace('"iban"', '"seller": 5, "seller": "last", "iban"'), None, None),
     ("[]", "seller_tax_id is no text", "seller_tax_id is no text"),
     (document(drop=["iban"]), "iban is missing or nested", "iban is missing or nested"),
     (document(iban=None), None, None),
