@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from tallyfold.functions.calendar import stamp
 from tallyfold.operators import quality
 from tallyfold.operators.keys import assign_keys, assign_keys_by_range
+from tallyfold.operators.merge import known_rows
 from tallyfold.schemas import NO_DEFAULT, NOW, TODAY, Reference, Table
+from tallyfold.session import stage
 from tallyfold.sources.store import BLOCK, Transaction
 
 # -- expressions ------------------------------------------------------------
@@ -79,7 +81,7 @@ def _children(tables: dict[str, Table], parent: str) -> list[tuple[str, Referenc
 
 
 def _blocks_with(tx: Transaction, name: str, rows: DataFrame) -> list[int]:
-    """Blocks that hold any of these rows of the table."""
+    """Blocks that hold any of these rows of the table; their ids are enough."""
     return [r[0] for r in rows.select(tx.block_of(name).alias(BLOCK)).distinct().collect()]
 
 
@@ -93,27 +95,34 @@ def insert(tx: Transaction, name: str, rows: DataFrame, now, order: str | None =
     given = [c for c in rows.columns if c != order]
     full = with_defaults(rows, table, now, (order,) if order else ())
     if check:
-        quality.enforce(quality.row_violations(table, full), name)
-        for column in (*table.unique, *([table.key] if table.key in full.columns else [])):
-            both = full.select(column).unionByName(tx.read(name).select(column))
-            quality.enforce(quality.unique_violations(both, [column]), f"{name}: {column} exists")
-        for ref in table.references:
-            parent = tx.read(ref.parent)
-            quality.enforce(
-                quality.fk_violations(full, ref.column, parent, ref.parent_column),
-                f"{name}: {ref.column} refers to no row",
-            )
+        # Staged, so that the planner knows how small the rows are when it
+        # joins them to tables that are not.
+        full = stage(full, "rows")
+        _enforce_rules(tx, table, full)
     if table.key in full.columns:
         last = full.agg(F.max(table.key)).first()[0] or 0
+        full = tx.gather_blocks(name, full)
+    elif order:
+        full, last = assign_keys(full, order, tx.high_key(name), table.key, gather=True)
     else:
-        if order:
-            full, last = assign_keys(full, order, tx.high_key(name), table.key)
-        else:
-            full, last = assign_keys_by_range(full, given, tx.high_key(name), table.key)
+        full, last = assign_keys_by_range(full, given, tx.high_key(name), table.key)
     tx.raise_high_key(name, last)
     tx.append(name, full.select(*(F.col(c.name).cast(c.type) for c in table.columns)))
 
 
+def _enforce_rules(tx: Transaction, table: Table, rows: DataFrame) -> None:
+    quality.enforce(quality.row_violations(table, rows), table.name)
+    for column in (*table.unique, *([table.key] if table.key in rows.columns else [])):
+        quality.enforce(quality.unique_violations(rows, [column]), f"{table.name}: {column} is repeated")
+        clash = known_rows(tx.read(table.name).select(column), rows, column)
+        quality.enforce(clash, f"{table.name}: {column} exists")
+    for ref in table.references:
+        keys = tx.read(ref.parent).select(F.col(ref.parent_column).alias(ref.column))
+        found = known_rows(keys, rows, ref.column)
+        dangling = quality.fk_violations(rows, ref.column, found, ref.column)
+        quality.enforce(dangling, f"{table.name}: {ref.column} refers to no row")
+
+
 def update(tx: Transaction, name: str, where: Column, assignments: dict[str, Column], now) -> None:
     """Update a stored table; only blocks with matching rows are rewritten."""
     blocks = _blocks_with(tx, name, tx.read(name).where(where))
@@ -130,27 +139,23 @@ def delete(tx: Transaction, name: str, where: Column) -> None:
     A `restrict` reference from a row that itself stays makes the whole
     statement fail; nothing is changed then.
     """
-    gone = tx.read(name).where(where)
-    plan: list[tuple[str, DataFrame]] = []
-    _collect(tx, name, gone, plan)
     doomed: dict[str, DataFrame] = {}
-    for table, rows in plan:
-        keys = rows.select(tx.table(table).key)
+    plan: list[tuple[str, DataFrame]] = []
+    _collect(tx, name, tx.read(name).where(where), plan)
+    for table, keys in plan:
         doomed[table] = doomed[table].union(keys).distinct() if table in doomed else keys
-    for table, rows in plan:
+    for table, keys in plan:
         for child, ref in _children(tx.store.tables, table):
             if ref.on_delete != "restrict":
                 continue
-            left = tx.read(child)
+            left = known_rows(tx.read(child), keys.toDF(ref.column), ref.column)
             if child in doomed:
                 left = left.join(doomed[child], tx.table(child).key, "left_anti")
-            blockers = restrict_blockers(rows, ref.parent_column, left, ref.column)
-            quality.enforce(blockers, f"{table}: still referred to by {child}")
+            quality.enforce(left, f"{table}: still referred to by {child}")
     changes = []
     for table, keys in doomed.items():
         key = tx.table(table).key
-        hit = tx.read(table).join(keys, key, "left_semi")
-        blocks = _blocks_with(tx, table, hit)
+        blocks = _blocks_with(tx, table, keys)
         if blocks:
             changes.append((table, tx.read(table, blocks).join(keys, key, "left_anti"), blocks))
     for table, kept, blocks in changes:
@@ -158,10 +163,11 @@ def delete(tx: Transaction, name: str, where: Column) -> None:
 
 
 def _collect(tx: Transaction, name: str, gone: DataFrame, plan: list[tuple[str, DataFrame]]) -> None:
-    """The deleted rows of a table and, below it, of every table that cascades."""
-    plan.append((name, gone))
+    """Keys of the deleted rows of a table and, below it, of every table that
+    cascades. They are staged, so that few keys are known to be few."""
+    key = tx.table(name).key
+    keys = stage(gone.select(key), "gone")
+    plan.append((name, keys))
     for child, ref in _children(tx.store.tables, name):
         if ref.on_delete == "cascade":
-            keys = gone.select(F.col(ref.parent_column).alias(ref.column))
-            rows = tx.read(child).join(keys, ref.column, "left_semi")
-            _collect(tx, child, rows, plan)
+            _collect(tx, child, known_rows(tx.read(child), keys.toDF(ref.column), ref.column), plan)

@@ -100,20 +100,22 @@ def assign_keys(
     then: tuple[str, ...] = (),
     found: IdRange | None = None,
     same_ids: DataFrame | None = None,
+    gather: bool = False,
 ) -> tuple[DataFrame, int]:
     """Number rows by the long column `order` (nearly unique), then by `then`.
 
     Returns the rows with `out`, and the last number given. Ids without gaps
-    are numbered by subtraction, with no shuffle. `found` is the range of
-    `order`, if it is known; `same_ids` is a frame with the same values of
-    `order` that is cheaper to count than `df`.
+    are numbered by subtraction, with no shuffle, unless `gather` asks for
+    neighbouring numbers in the same task. `found` is the range of `order`, if
+    it is known; `same_ids` is a frame with the same values of `order` that is
+    cheaper to count than `df`.
     """
     spark = df.sparkSession
     counted = df if same_ids is None else same_ids
     found = found or IdRange.of(counted, order)
     if not found.rows:
         return df.withColumn(out, F.lit(None).cast("long")), start
-    if not then and found.dense(spark):
+    if not (then or gather) and found.dense(spark):
         return df.withColumn(out, F.col(order) - F.lit(found.low) + F.lit(start + 1)), start + found.rows
     width = block_width(spark, found.low, found.high)
     group = F.expr(f"`{order}` div {width}")

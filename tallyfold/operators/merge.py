@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,6 +49,15 @@ def lookup_ids(df: DataFrame, table: DataFrame, natural_key: str, id_column: str
     return df.join(table.select(natural_key, id_column), natural_key, "left")
 
 
+def known_rows(table: DataFrame, rows: DataFrame, key: str) -> DataFrame:
+    """Rows of the table whose key occurs in `rows`.
+
+    The table is the streamed side: when `rows` are few by measured size they
+    are broadcast and the table, however large, is scanned without a shuffle.
+    """
+    return table.join(rows.select(key), key, "left_semi").select(*table.columns)
+
+
 def get_or_create(
     existing: DataFrame,
     candidates: DataFrame,
@@ -59,14 +70,45 @@ def get_or_create(
     """New rows for natural keys that do not exist yet, numbered in input order.
 
     Attributes come from the first candidate of each key, by `order` and then
-    by `then`, and are never refreshed. The new rows are staged, as numbering
-    reads them more than once. Returns them (with `order` and `then`) and the
-    last id given.
+    by `then`, and are never refreshed. Returns the new rows (with `order` and
+    `then`) and the last id given. The first candidates are staged: they are
+    read more than once, and their size is then known to the planner.
     """
+    firsts = _first_candidates(candidates, natural_key, order, then)
+    new = firsts.join(known_rows(existing.select(natural_key), firsts, natural_key), natural_key, "left_anti")
+    return assign_keys(new, order, start, id_column, then)
+
+
+def _first_candidates(candidates: DataFrame, natural_key: str, order: str, then: tuple[str, ...]) -> DataFrame:
     place = F.struct(order, *then) if then else F.col(order)
     named = candidates.where(F.col(natural_key).isNotNull())
-    new = stage(insert_ignore(existing, named, natural_key, place), "created")
-    return assign_keys(new, order, start, id_column, then)
+    return stage(first_per_key(named, natural_key, place), "firsts")
+
+
+def find_or_create(
+    tx: Transaction,
+    name: str,
+    candidates: DataFrame,
+    order: str,
+    then: tuple[str, ...] = (),
+    complete: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+) -> DataFrame:
+    """`get_or_create` on a stored table: ids by natural key for all candidates.
+
+    Only the key and id of the table are scanned, once; the result is no
+    larger than the candidates. `complete` adds the remaining columns to the
+    new rows.
+    """
+    table = tx.table(name)
+    natural_key, id_column = table.natural_key, table.key
+    firsts = _first_candidates(candidates, natural_key, order, then)
+    known = known_rows(tx.read(name).select(natural_key, id_column), firsts, natural_key)
+    known = stage(known.groupBy(natural_key).agg(F.min(id_column).alias(id_column)), "known")
+    new = firsts.join(known, natural_key, "left_anti")
+    keyed, last = assign_keys(complete(new), order, tx.high_key(name), id_column, then, same_ids=new, gather=True)
+    added = tx.append(name, keyed)
+    tx.raise_high_key(name, last)
+    return known.unionByName(added.select(natural_key, id_column))
 
 
 def merged(target: DataFrame, batch: DataFrame, key: str, refresh: tuple[str, ...], on: list[str] | None = None) -> DataFrame:

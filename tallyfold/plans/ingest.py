@@ -16,11 +16,11 @@ from pyspark.sql import functions as F
 
 from tallyfold.functions import numbers
 from tallyfold.functions.calendar import parse_us_date, stamp
+from tallyfold.functions.status import payment_status
 from tallyfold.operators import quality
 from tallyfold.operators.dml import insert, with_defaults
 from tallyfold.operators.keys import assign_keys
-from tallyfold.operators.merge import first_per_key, get_or_create, insert_ignore, lookup_ids
-from tallyfold.operators.reads import derive_status
+from tallyfold.operators.merge import find_or_create, first_per_key, known_rows, lookup_ids
 from tallyfold.plans.cycle import utc_now
 from tallyfold.schemas import CLIENTS, INGEST_TABLES, INVOICES, PRODUCTS, SELLERS
 from tallyfold.session import stage
@@ -304,20 +304,21 @@ class IngestReport:
     rejected: int
 
 
-def _create(tx: Transaction, name: str, candidates: DataFrame, now, then: tuple[str, ...] = ()) -> None:
-    """Find-or-create: add the natural keys the table lacks, in input order."""
+def _typed(tx: Transaction, name: str, now, keep: tuple[str, ...]):
+    """Completes new rows of a table: defaults, and the declared types."""
     table = tx.table(name)
-    new, last = get_or_create(
-        tx.read(name), candidates, table.natural_key, "line_no", table.key, tx.high_key(name), then
-    )
-    _append(tx, name, new.drop("line_no", *then), last, now)
+
+    def complete(rows: DataFrame) -> DataFrame:
+        full = with_defaults(rows, table, now, keep)
+        columns = [c for c in table.columns if c.name != table.key]
+        return full.select(*keep, *(F.col(c.name).cast(c.type).alias(c.name) for c in columns))
+
+    return complete
 
 
-def _append(tx: Transaction, name: str, rows: DataFrame, last: int, now) -> None:
-    if last > tx.high_key(name):
-        full = with_defaults(rows, tx.table(name), now)
-        tx.append(name, full.select(*(F.col(c.name).cast(c.type) for c in tx.table(name).columns)))
-        tx.raise_high_key(name, last)
+def _create(tx: Transaction, name: str, candidates: DataFrame, now, then: tuple[str, ...] = ()) -> DataFrame:
+    """Find-or-create in input order; ids by natural key."""
+    return find_or_create(tx, name, candidates, "line_no", then, _typed(tx, name, now, ("line_no", *then)))
 
 
 def _party(lines: DataFrame, singular: str) -> DataFrame:
@@ -350,50 +351,57 @@ def _products(items: DataFrame) -> DataFrame:
     )
 
 
-def _create_invoices(tx: Transaction, lines: DataFrame, now) -> None:
+def _create_invoices(tx: Transaction, lines: DataFrame, sellers: DataFrame, clients: DataFrame, now) -> DataFrame:
+    """Invoices by number: the first header stays. Parties are looked up for new ones only."""
     header = lines.select("invoice_no", "invoice_date", *HEADER_TAX_IDS, *SUMMARY_KEYS, "line_no")
-    new = stage(insert_ignore(tx.read("invoices"), header, "invoice_no", F.col("line_no")), "invoices")
-    linked = new
-    for party in (SELLERS, CLIENTS):
-        linked = lookup_ids(linked, tx.read(party.name), party.natural_key, party.key)
-    keyed, last = assign_keys(linked, "line_no", tx.high_key("invoices"), "invoice_id", same_ids=new)
-    _append(tx, "invoices", keyed.drop("line_no", *HEADER_TAX_IDS), last, now)
+    typed = _typed(tx, "invoices", now, ("line_no",))
+
+    def complete(new: DataFrame) -> DataFrame:
+        linked = lookup_ids(new, sellers, "seller_tax_id", "seller_id")
+        return typed(lookup_ids(linked, clients, "client_tax_id", "client_id"))
+
+    return find_or_create(tx, "invoices", header, "line_no", complete=complete)
 
 
-def _append_items(tx: Transaction, items: DataFrame, now) -> None:
+def _append_items(tx: Transaction, items: DataFrame, invoices: DataFrame, products: DataFrame, now) -> None:
     good = items.where(F.col("product_fault").isNull() & F.col("item_fault").isNull())
-    linked = lookup_ids(good, tx.read("invoices"), "invoice_no", "invoice_id")
-    linked = lookup_ids(linked, tx.read("products"), "product_name", "product_id")
-    rows = linked.select("invoice_id", "product_id", *ITEM_COLUMNS, "line_no", "pos")
-    keyed, last = assign_keys(rows, "line_no", tx.high_key("invoice_items"), "item_id", ("pos",), same_ids=good)
-    _append(tx, "invoice_items", keyed.drop("line_no", "pos"), last, now)
+    linked = lookup_ids(good, invoices, "invoice_no", "invoice_id")
+    linked = lookup_ids(linked, products, "product_name", "product_id")
+    rows = _typed(tx, "invoice_items", now, ("line_no", "pos"))(linked)
+    high = tx.high_key("invoice_items")
+    keyed, last = assign_keys(rows, "line_no", high, "item_id", ("pos",), same_ids=good)
+    tx.append("invoice_items", keyed)
+    tx.raise_high_key("invoice_items", last)
 
 
 def add_payments(tx: Transaction, payments: DataFrame, now) -> None:
     """Append payments that name their invoice by number, then derive the status
     of the invoices they belong to. Payments of unknown invoices are left out."""
-    linked = payments.join(tx.read("invoices").select("invoice_no", "invoice_id"), "invoice_no")
-    linked = linked.select("invoice_id", *sorted(c for c in payments.columns if c != "invoice_no"))
+    given = stage(payments, "payments")
+    linked = given.join(tx.read("invoices").select("invoice_no", "invoice_id"), "invoice_no")
+    linked = stage(linked.select("invoice_id", *sorted(c for c in payments.columns if c != "invoice_no")), "linked")
     quality.enforce(quality.row_violations(tx.table("payments"), linked), "payments")
     insert(tx, "payments", linked, now, check=False)
-    refresh_status(tx, linked.select("invoice_id"), now)
+    refresh_status(tx, linked, now)
 
 
-def refresh_status(tx: Transaction, invoice_ids: DataFrame, now) -> None:
-    """Derive the payment status of the named invoices; only their blocks are rewritten."""
-    ids = invoice_ids.select("invoice_id").distinct()
-    blocks = [r[0] for r in ids.select(tx.block_of("invoices").alias(BLOCK)).distinct().collect()]
-    blocks = [b for b in blocks if b in tx.blocks("invoices")]
+def refresh_status(tx: Transaction, paid: DataFrame, now) -> None:
+    """Derive the status of the invoices named by `paid.invoice_id`, which have
+    payments; only their blocks are rewritten."""
+    ids = stage(paid.select("invoice_id").distinct(), "paid")
+    blocks = {r[0] for r in ids.select(tx.block_of("invoices").alias(BLOCK)).distinct().collect()}
+    blocks &= tx.blocks("invoices")
     if not blocks:
         return
+    sums = known_rows(tx.read("payments").select("invoice_id", "amount"), ids, "invoice_id")
+    sums = stage(sums.groupBy("invoice_id").agg(F.sum("amount").alias("_paid")), "sums")
     invoices = tx.read("invoices", blocks)
-    named = ids.withColumn("_named", F.lit(True))
-    paid = derive_status(invoices, tx.read("payments")).select("invoice_id", F.col("status").alias("_status"))
+    named = F.col("_paid").isNotNull()
+    status = payment_status(F.col("_paid"), F.col("total_gross_worth"))
     changed = (
-        invoices.join(paid, "invoice_id")
-        .join(named, "invoice_id", "left")
-        .withColumn("status", F.when(F.col("_named"), F.col("_status")).otherwise(F.col("status")))
-        .withColumn("updated_at", F.when(F.col("_named"), stamp(now)).otherwise(F.col("updated_at")))
+        invoices.join(sums, "invoice_id", "left")
+        .withColumn("status", F.when(named, status).otherwise(F.col("status")))
+        .withColumn("updated_at", F.when(named, stamp(now)).otherwise(F.col("updated_at")))
         .select(*invoices.columns)
     )
     tx.rewrite_blocks("invoices", changed, blocks)
@@ -427,12 +435,12 @@ def ingest_invoices(
         firsts = first_per_key(good.select("invoice_no", "line_no"), "invoice_no", F.col("line_no"))
         firsts = firsts.join(tx.read("invoices").select("invoice_no"), "invoice_no", "left_anti")
         good = good.join(firsts.select("line_no"), "line_no", "left_semi")
-    _create(tx, "sellers", _party(good, "seller"), now)
-    _create(tx, "clients", _party(good, "client"), now)
+    sellers = _create(tx, "sellers", _party(good, "seller"), now)
+    clients = _create(tx, "clients", _party(good, "client"), now)
     items = _spread_items(good)
-    _create(tx, "products", _products(items), now, ("pos",))
-    _create_invoices(tx, good, now)
-    _append_items(tx, items, now)
+    products = _create(tx, "products", _products(items), now, ("pos",))
+    invoices = _create_invoices(tx, good, sellers, clients, now)
+    _append_items(tx, items, invoices, products, now)
     if payments is not None:
         add_payments(tx, payments, now)
     bad = lines.where(F.col("reason").isNotNull())

@@ -145,6 +145,9 @@ class Transaction:
             parts = [p for p in parts if p["block"] in wanted]
         if since is not None:
             parts = [p for p in parts if p["newest"] is None or p["newest"] >= since]
+        return self._scan(name, parts)
+
+    def _scan(self, name: str, parts: list[dict]) -> DataFrame:
         schema = self.table(name).schema
         if not parts:
             return self.spark.createDataFrame([], schema)
@@ -196,9 +199,19 @@ class Transaction:
         found = [c for c in self.store._folder.children(path) if c.startswith(f"{BLOCK}=")]
         return [{"path": f"{path}/{c}", "block": int(c.split("=")[1]), **common} for c in sorted(found)]
 
-    def append(self, name: str, df: DataFrame) -> None:
-        """Add rows; nothing that exists is read or rewritten."""
-        self._entry(name)["parts"].extend(self._write(name, df))
+    def append(self, name: str, df: DataFrame) -> DataFrame:
+        """Add rows and return them as stored; nothing that exists is read or rewritten.
+
+        In a table of blocks, rows of a block should lie in few tasks, as each
+        task writes a file for each block it holds rows of.
+        """
+        added = self._write(name, df)
+        self._entry(name)["parts"].extend(added)
+        return self._scan(name, added)
+
+    def gather_blocks(self, name: str, df: DataFrame) -> DataFrame:
+        """Rows of a table, each block in one task. A block has a bounded number of ids."""
+        return df.withColumn(BLOCK, self.block_of(name)).repartition(BLOCK).drop(BLOCK)
 
     def rewrite_blocks(self, name: str, df: DataFrame, blocks: Iterable[int]) -> None:
         """Replace the rows of the named blocks by `df`, which holds no others."""
