@@ -165,6 +165,8 @@ def upsert(tx: Transaction, name: str, batch: DataFrame) -> int:
     )
     if any(p["rows"] != p["keys"] for p in profile):
         raise DuplicateKeyError(f"{name}: the batch repeats a value of {key}")
+    if any(p[BLOCK] is None for p in profile):
+        raise ValueError(f"{name}: the batch has rows without {key}")
     counts = {p[BLOCK]: p["rows"] for p in profile}
     total = sum(counts.values())
     known_blocks = tx.blocks(name) & set(counts)

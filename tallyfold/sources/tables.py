@@ -25,6 +25,7 @@ def read_source_jdbc(
     Filters on the result, such as the mark, are pushed to the database.
     """
     spec = SOURCE_TABLES[table]
+    options = {"preferTimestampNTZ": "true", **options}
     bounds = (
         spark.read.format("jdbc")
         .options(url=url, query=f"SELECT min({spec.key}) lo, max({spec.key}) hi FROM {table}", **options)
