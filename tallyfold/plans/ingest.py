@@ -23,7 +23,7 @@ from tallyfold.operators.keys import assign_keys
 from tallyfold.operators.merge import find_or_create, first_per_key, known_rows, lookup_ids
 from tallyfold.plans.cycle import utc_now
 from tallyfold.schemas import CLIENTS, INGEST_TABLES, INVOICES, PRODUCTS, SELLERS
-from tallyfold.session import stage
+from tallyfold.session import side_by_side, stage
 from tallyfold.sources.invoice_lines import (
     HEADER_NAMES,
     HEADER_TAX_IDS,
@@ -435,16 +435,19 @@ def ingest_invoices(
         firsts = first_per_key(good.select("invoice_no", "line_no"), "invoice_no", F.col("line_no"))
         firsts = firsts.join(tx.read("invoices").select("invoice_no"), "invoice_no", "left_anti")
         good = good.join(firsts.select("line_no"), "line_no", "left_semi")
-    sellers = _create(tx, "sellers", _party(good, "seller"), now)
-    clients = _create(tx, "clients", _party(good, "client"), now)
     items = _spread_items(good)
-    products = _create(tx, "products", _products(items), now, ("pos",))
+    bad = lines.where(F.col("reason").isNotNull())
+    rejected = bad.select(F.lit(load_id).alias("load_id"), "line_no", "reason", "line")
+    sellers, clients, products, _ = side_by_side(
+        lambda: _create(tx, "sellers", _party(good, "seller"), now),
+        lambda: _create(tx, "clients", _party(good, "client"), now),
+        lambda: _create(tx, "products", _products(items), now, ("pos",)),
+        lambda: tx.append("rejected_lines", rejected),
+    )
     invoices = _create_invoices(tx, good, sellers, clients, now)
     _append_items(tx, items, invoices, products, now)
     if payments is not None:
         add_payments(tx, payments, now)
-    bad = lines.where(F.col("reason").isNotNull())
-    tx.append("rejected_lines", bad.select(F.lit(load_id).alias("load_id"), "line_no", "reason", "line"))
     counts = lines.agg(F.count("*").alias("n"), F.count("reason").alias("bad")).first()
     tx.commit()
     return IngestReport(load_id, counts["n"], counts["n"] - counts["bad"], counts["bad"])
