@@ -10,7 +10,7 @@ from tallyfold.operators import quality
 from tallyfold.operators.keys import assign_keys, assign_keys_by_range
 from tallyfold.operators.merge import known_rows
 from tallyfold.schemas import NO_DEFAULT, NOW, TODAY, Reference, Table
-from tallyfold.session import stage
+from tallyfold.session import scratch, stage
 from tallyfold.sources.store import BLOCK, Transaction
 
 # -- expressions ------------------------------------------------------------
@@ -91,6 +91,11 @@ def insert(tx: Transaction, name: str, rows: DataFrame, now, order: str | None =
     Ids follow the long column `order` when one is named (it is not stored),
     else the order of all given values.
     """
+    with scratch(tx.spark):
+        _insert(tx, name, rows, now, order, check)
+
+
+def _insert(tx: Transaction, name: str, rows: DataFrame, now, order: str | None, check: bool) -> None:
     table = tx.table(name)
     given = [c for c in rows.columns if c != order]
     full = with_defaults(rows, table, now, (order,) if order else ())
@@ -113,24 +118,44 @@ def insert(tx: Transaction, name: str, rows: DataFrame, now, order: str | None =
 def _enforce_rules(tx: Transaction, table: Table, rows: DataFrame) -> None:
     quality.enforce(quality.row_violations(table, rows), table.name)
     for column in (*table.unique, *([table.key] if table.key in rows.columns else [])):
-        quality.enforce(quality.unique_violations(rows, [column]), f"{table.name}: {column} is repeated")
-        clash = known_rows(tx.read(table.name).select(column), rows, column)
-        quality.enforce(clash, f"{table.name}: {column} exists")
+        _enforce_unique(table, rows, column, tx.read(table.name))
     for ref in table.references:
-        keys = tx.read(ref.parent).select(F.col(ref.parent_column).alias(ref.column))
-        found = known_rows(keys, rows, ref.column)
-        dangling = quality.fk_violations(rows, ref.column, found, ref.column)
-        quality.enforce(dangling, f"{table.name}: {ref.column} refers to no row")
+        _enforce_reference(tx, table, rows, ref)
+
+
+def _enforce_unique(table: Table, rows: DataFrame, column: str, others: DataFrame) -> None:
+    quality.enforce(quality.unique_violations(rows, [column]), f"{table.name}: {column} is repeated")
+    quality.enforce(known_rows(others.select(column), rows, column), f"{table.name}: {column} exists")
+
+
+def _enforce_reference(tx: Transaction, table: Table, rows: DataFrame, ref: Reference) -> None:
+    keys = tx.read(ref.parent).select(F.col(ref.parent_column).alias(ref.column))
+    found = known_rows(keys, rows, ref.column)
+    dangling = quality.fk_violations(rows, ref.column, found, ref.column)
+    quality.enforce(dangling, f"{table.name}: {ref.column} refers to no row")
 
 
 def update(tx: Transaction, name: str, where: Column, assignments: dict[str, Column], now) -> None:
-    """Update a stored table; only blocks with matching rows are rewritten."""
-    blocks = _blocks_with(tx, name, tx.read(name).where(where))
-    if not blocks:
-        return
-    changed = update_where(tx.read(name, blocks), where, assignments, now)
-    quality.enforce(quality.row_violations(tx.table(name), changed.where(where)), name)
-    tx.rewrite_blocks(name, changed, blocks)
+    """Update a stored table; only blocks with matching rows are rewritten.
+
+    The rules are checked on the new rows; unique columns and references only
+    when they are assigned.
+    """
+    table = tx.table(name)
+    with scratch(tx.spark):
+        blocks = _blocks_with(tx, name, tx.read(name).where(where))
+        if not blocks:
+            return
+        before = tx.read(name, blocks)
+        new = stage(update_where(before.where(where), F.lit(True), assignments, now), "updated")
+        quality.enforce(quality.row_violations(table, new), name)
+        for column in set(table.unique) & set(assignments):
+            others = tx.read(name).join(new.select(table.key), table.key, "left_anti")
+            _enforce_unique(table, new, column, others)
+        for ref in table.references:
+            if ref.column in assignments:
+                _enforce_reference(tx, table, new, ref)
+        tx.rewrite_blocks(name, update_where(before, where, assignments, now), blocks)
 
 
 def delete(tx: Transaction, name: str, where: Column) -> None:
@@ -139,6 +164,11 @@ def delete(tx: Transaction, name: str, where: Column) -> None:
     A `restrict` reference from a row that itself stays makes the whole
     statement fail; nothing is changed then.
     """
+    with scratch(tx.spark):
+        _delete(tx, name, where)
+
+
+def _delete(tx: Transaction, name: str, where: Column) -> None:
     doomed: dict[str, DataFrame] = {}
     plan: list[tuple[str, DataFrame]] = []
     _collect(tx, name, tx.read(name).where(where), plan)

@@ -23,7 +23,7 @@ from tallyfold.operators.keys import assign_keys
 from tallyfold.operators.merge import find_or_create, first_per_key, known_rows, lookup_ids
 from tallyfold.plans.cycle import utc_now
 from tallyfold.schemas import CLIENTS, INGEST_TABLES, INVOICES, PRODUCTS, SELLERS
-from tallyfold.session import side_by_side, stage
+from tallyfold.session import scratch, side_by_side, stage
 from tallyfold.sources.invoice_lines import (
     HEADER_NAMES,
     HEADER_TAX_IDS,
@@ -424,6 +424,11 @@ def ingest_invoices(
     the first header and adds its items again, unless `skip_known_invoices`.
     """
     now = now or utc_now()
+    with scratch(spark):
+        return _ingest(spark, path, store, policy, now, payments, skip_known_invoices, decimal_comma)
+
+
+def _ingest(spark, path, store, policy, now, payments, skip_known_invoices, decimal_comma) -> IngestReport:
     load_id = uuid.uuid4().hex
     documents = split_document(read_invoice_lines(spark, path))
     judged = stage_lines(judge_lines(documents, policy, decimal_comma))

@@ -6,6 +6,8 @@ import os
 import tempfile
 import uuid
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from contextvars import ContextVar, copy_context
 
 from pyspark.sql import SparkSession
 
@@ -56,14 +58,34 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+_scratch: ContextVar[str | None] = ContextVar("scratch", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Keeps the staged tables of one job together and removes them when it ends."""
+    folder = fresh_path(spark, "job")
+    token = _scratch.set(folder)
+    try:
+        yield
+    finally:
+        _scratch.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stage(df, name: str = "stage"):
-    """Write once, read back: cuts lineage and survives the loss of any executor."""
-    path = fresh_path(df.sparkSession, name)
+    """Write once, read back: cuts lineage and survives the loss of any executor.
+
+    Outside of `scratch` the written table stays, as the result depends on it.
+    """
+    spark = df.sparkSession
+    path = f"{_scratch.get() or shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def side_by_side(*jobs):
     """Run independent jobs at once, so that small ones share the cluster; their results in order."""
     with ThreadPoolExecutor(len(jobs)) as pool:
-        return [done.result() for done in [pool.submit(job) for job in jobs]]
+        return [done.result() for done in [pool.submit(copy_context().run, job) for job in jobs]]

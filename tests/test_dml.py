@@ -123,6 +123,22 @@ def test_update_may_not_break_a_rule(store):
         dml.update(tx, "payments", F.lit(True), {"payment_method": "WIRE"}, LATER)
 
 
+def test_update_is_checked_on_the_new_values(store):
+    tx = store.begin()
+    with pytest.raises(ConstraintError):
+        dml.update(tx, "payments", F.col("payment_method") == "BANK_TRANSFER", {"payment_method": "WIRE"}, LATER)
+    with pytest.raises(ConstraintError):
+        dml.update(tx, "invoices", F.col("status") == "UNPAID", {"client_id": F.lit(9)}, LATER)
+    row = [("2", datetime.date(2024, 1, 1), 1, 1)]
+    put(tx, "invoices", row, "invoice_no string, invoice_date date, seller_id long, client_id long")
+    with pytest.raises(ConstraintError):
+        dml.update(tx, "invoices", F.col("invoice_no") == "2", {"invoice_no": "15686725"}, LATER)
+    with pytest.raises(ConstraintError):
+        dml.update(tx, "invoices", F.lit(True), {"invoice_no": "same"}, LATER)
+    dml.update(tx, "invoices", F.col("invoice_no") == "2", {"invoice_no": "2"}, LATER)
+    assert sorted(r[0] for r in tx.read("invoices").select("invoice_no").collect()) == ["15686725", "2"]
+
+
 def test_restrict_then_cascade(store):
     tx = store.begin()
     with pytest.raises(ConstraintError):

@@ -73,6 +73,24 @@ def test_shared_folder_is_the_configured_one(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
+def test_staged_tables_of_a_job_are_removed(spark):
+    import os
+
+    from tallyfold.session import scratch, side_by_side, stage
+
+    def folder(df):
+        return os.path.dirname(df.inputFiles()[0].removeprefix("file://"))
+
+    with scratch(spark):
+        first, second = side_by_side(lambda: stage(spark.range(3)), lambda: stage(spark.range(4)))
+        paths = [folder(first), folder(second)]
+        assert first.count() + second.count() == 7 and all(os.path.exists(p) for p in paths)
+        assert os.path.dirname(paths[0]) == os.path.dirname(paths[1])
+    assert not any(os.path.exists(p) for p in paths)
+    kept = stage(spark.range(3))
+    assert kept.count() == 3
+
+
 def test_a_cluster_needs_a_shared_folder():
     class Conf:
         def get(self, _name, default=None):
