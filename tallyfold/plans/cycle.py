@@ -19,6 +19,8 @@ from tallyfold.sources.store import TableStore, Transaction
 
 MARK_TABLE = "etl_watermarks"
 DIMENSION_STREAMS = ("clients", "sellers", "products")
+# Appends up to this many rows are shuffled once to avoid many small files.
+FEW_ROWS = 1 << 20
 FACT_STREAMS = ("invoices", "invoice_items", "payments")
 
 
@@ -155,6 +157,9 @@ def append_fact(load: Load, tx: Transaction, table: str, stream: str, rows: Data
     if not found.rows:
         return 0
     numbered, last = assign_keys(rows, source_id, tx.high_key(table), key, found=found)
+    if found.rows <= FEW_ROWS:
+        # Rows of a small increment come from many scan tasks: gather them into few files.
+        numbered = numbered.hint("rebalance")
     tx.append(table, numbered)
     tx.raise_high_key(table, last)
     return found.rows

@@ -62,3 +62,31 @@ def test_numbering_joins_offsets_by_broadcast_and_keeps_groups_apart(spark):
     text = plan(keys.assign_keys(ids, "id", 0, "k", ("pos",))[0])
     assert text.count("Exchange hashpartitioning") == 1
     assert "BroadcastHashJoin" in text
+
+
+def test_large_upsert_shuffles_each_side_once(spark):
+    """Both sides are partitioned by block; join and write need nothing more."""
+    from tallyfold.operators.merge import merged
+    from tallyfold.sources.store import BLOCK
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        rows = fixtures.products(spark, FOLDER).select("product_id", "product_name", "unit_price")
+        sides = [rows.selectExpr("*", f"product_id div 16 AS {BLOCK}").repartition(BLOCK) for _ in range(2)]
+        text = plan(merged(*sides, "product_id", ("unit_price",), [BLOCK, "product_id"]))
+        assert text.count("Exchange ") == 2
+        assert "SortMergeJoin" in text
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_small_upsert_does_not_shuffle_the_table(spark):
+    from pyspark.sql import functions as F
+
+    from tallyfold.operators.merge import known_rows, merged
+
+    rows = fixtures.products(spark, FOLDER).select("product_id", "product_name", "unit_price")
+    few = F.broadcast(rows.where("unit_price > 1000"))
+    for df in (merged(rows, few, "product_id", ("unit_price",)), known_rows(rows, few, "product_id")):
+        assert "Exchange hashpartitioning" not in plan(df)
