@@ -36,7 +36,6 @@ from tallyfold.sources.invoice_lines import (
 from tallyfold.sources.store import BLOCK, TableStore, Transaction
 
 LINE, ITEM = "line", "item"
-STRING, VOID = "STRING", "VOID"
 
 
 def open_source(spark: SparkSession, root: str, block_rows: int = 1 << 20) -> TableStore:
@@ -47,17 +46,6 @@ def open_source(spark: SparkSession, root: str, block_rows: int = 1 << 20) -> Ta
 # -- judging lines ----------------------------------------------------------
 
 
-def _is_text(value: Column) -> Column:
-    """True when the key is there with a text; false otherwise, never NULL."""
-    return F.coalesce(value["kind"] == STRING, F.lit(False))
-
-
-def _is_plain(value: Column) -> Column:
-    """True when the key is there with anything that can be stored as text, or null."""
-    nested = value["kind"].startswith("OBJECT") | value["kind"].startswith("ARRAY")
-    return F.coalesce(~nested, F.lit(False))
-
-
 def _known(test: Column) -> Column:
     return F.coalesce(test, F.lit(False))
 
@@ -71,22 +59,20 @@ def _with(item: Column, known: tuple[str, ...], **more: Column) -> Column:
 
 
 def _item_texts(item: Column) -> Column:
-    qty, price, vat, name = item["item_qty"], item["item_net_price"], item["item_vat"], item["item_desc"]
-    vat_given = vat["kind"].isNotNull()
+    vat, vat_there = item["item_vat"], item["item_vat_there"]
     return F.struct(
-        name["text"].alias("product_name"),
-        name["kind"].isNotNull().alias("named"),
-        _is_text(name).alias("name_text"),
-        F.when(_is_text(qty), numbers.item_text(qty["text"])).alias("qty"),
-        F.when(_is_text(price), numbers.item_text(price["text"])).alias("price"),
-        F.when(~vat_given | _is_text(vat), numbers.vat_text(vat["text"], vat_given)).alias("vat"),
+        item["item_desc"].alias("product_name"),
+        item["item_desc_there"].alias("named"),
+        numbers.item_text(item["item_qty"]).alias("qty"),
+        numbers.item_text(item["item_net_price"]).alias("price"),
+        numbers.vat_text(vat, vat_there).alias("vat"),
     )
 
 
 def _item_numbers(item: Column) -> Column:
     return _with(
         item,
-        ("product_name", "named", "name_text", "qty", "price", "vat"),
+        ("product_name", "named", "qty", "price", "vat"),
         qty_value=numbers.to_decimal(item["qty"]),
         price_value=numbers.to_decimal(item["price"]),
         vat_value=numbers.to_decimal(item["vat"], "decimal(9,4)"),
@@ -96,7 +82,7 @@ def _item_numbers(item: Column) -> Column:
 def _item_net(item: Column) -> Column:
     return _with(
         item,
-        ("product_name", "named", "name_text", "vat_value"),
+        ("product_name", "named", "vat_value"),
         price_ok=numbers.is_number(item["price"], item["price_value"]),
         vat_ok=numbers.is_number(item["vat"], item["vat_value"]),
         qty_ok=numbers.is_number(item["qty"], item["qty_value"]),
@@ -110,7 +96,7 @@ def _item_net(item: Column) -> Column:
 def _item_stored(item: Column) -> Column:
     return _with(
         item,
-        ("product_name", "named", "name_text", "price_ok", "vat_ok", "qty_ok"),
+        ("product_name", "named", "price_ok", "vat_ok", "qty_ok"),
         item_qty=item["item_qty"],
         item_net_price=item["item_net_price"],
         item_vat_rate=item["item_vat_rate"],
@@ -137,7 +123,7 @@ def _item_faults(item: Column) -> Column:
     # Rules of the product row: these break the line even when the quantity is bad.
     name_limit = PRODUCTS.column("product_name").max_length
     product_breach = F.coalesce(
-        F.when(~item["name_text"], F.lit("item_desc is no text")),
+        F.when(item["product_name"].isNull(), F.lit("item_desc is no text")),
         F.when(F.length(item["product_name"]) > name_limit, F.lit("product_name is too long")),
         F.when(item["item_net_price"].isNull(), F.lit("item_net_price is out of range")),
         F.when(item["item_vat_rate"].isNull(), F.lit("item_vat_rate is out of range")),
@@ -205,9 +191,10 @@ def judge_lines(documents: DataFrame, policy: str = LINE, decimal_comma: bool =
     header, summary = F.col("header"), F.col("summary")
     typed = documents.select(
         *(c for c in documents.columns if c not in ("header", "summary", "items")),
-        *(header[k]["text"].alias(k) for k in (*HEADER_TAX_IDS, *HEADER_NAMES, *HEADER_TEXTS)),
-        *(numbers.summary_amount(summary[k]["text"], decimal_comma).alias(k) for k in SUMMARY_KEYS),
-        parse_us_date(header["invoice_date"]["text"]).alias("date"),
+        *(header[k].alias(k) for k in (*HEADER_TAX_IDS, *HEADER_TEXTS)),
+        *(header[k]["text"].alias(k) for k in HEADER_NAMES),
+        *(numbers.summary_amount(summary[k], decimal_comma).alias(k) for k in SUMMARY_KEYS),
+        parse_us_date(header["invoice_date"]).alias("date"),
         _worked_items(F.col("items")).alias("items"),
         header,
         summary,
@@ -215,9 +202,9 @@ def judge_lines(documents: DataFrame, policy: str = LINE, decimal_comma: bool =
 
     reasons = [
         F.when(~F.col("document"), F.lit("not a JSON document")),
-        *(F.when(~_is_text(header[k]), F.lit(f"{k} is no text")) for k in (*HEADER_TAX_IDS, *HEADER_TEXTS)),
-        *(F.when(~_is_plain(header[k]), F.lit(f"{k} is missing or nested")) for k in HEADER_NAMES),
-        *(F.when(~_is_text(summary[k]), F.lit(f"{k} is no text")) for k in SUMMARY_KEYS),
+        *(F.when(header[k].isNull(), F.lit(f"{k} is no text")) for k in (*HEADER_TAX_IDS, *HEADER_TEXTS)),
+        *(F.when(~_known(header[k]["storable"]), F.lit(f"{k} is missing or nested")) for k in HEADER_NAMES),
+        *(F.when(summary[k].isNull(), F.lit(f"{k} is no text")) for k in SUMMARY_KEYS),
         F.when(~_known(F.col("items_kind").startswith("ARRAY")), F.lit("items is no list")),
         F.when(F.col("date").isNull(), F.lit("invoice_date is no date")),
         *(F.when(F.col(k).isNull(), F.lit(f"{k} is no amount in range")) for k in SUMMARY_KEYS),
