@@ -23,19 +23,19 @@ NOW = "2024-05-01 10:00:00"
         "products",
         select="""
 SELECT product_id,
-       CASE WHEN unit_price > 1000 THEN product_name || ' new' ELSE product_name END AS product_name,
-       CASE WHEN product_description = 'PROMO' AND unit_price > 1000 THEN 'PROMO new' ELSE product_description END
+       CASE WHEN unit_price > 910 THEN product_name || ' new' ELSE product_name END AS product_name,
+       CASE WHEN product_description = 'PROMO' AND unit_price > 910 THEN 'PROMO new' ELSE product_description END
          AS product_description,
-       CASE WHEN unit_price > 1000 THEN NULL ELSE unit_price END AS unit_price
+       CASE WHEN unit_price > 910 THEN NULL ELSE unit_price END AS unit_price
 FROM products
-WHERE product_description <> 'PROMO' OR unit_price > 1000""",
+WHERE product_description <> 'PROMO' OR unit_price > 910""",
     ),
 )
 def upsert_frozen(spark, folder):
     """Known products lose their price and keep their description; PROMO products are new."""
     rows = fixtures.products(spark, folder).select("product_id", "product_name", "product_description", "unit_price")
     target = rows.where("product_description <> 'PROMO'")
-    batch = rows.where("unit_price > 1000").select(
+    batch = rows.where("unit_price > 910").select(
         "product_id",
         F.concat("product_name", F.lit(" new")).alias("product_name"),
         F.concat("product_description", F.lit(" new")).alias("product_description"),

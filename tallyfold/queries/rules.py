@@ -127,12 +127,12 @@ def references(spark, folder):
         "invoice_items",
         select="""
 SELECT item_id, product_id FROM invoice_items i WHERE NOT EXISTS (
-  SELECT 1 FROM products p WHERE p.product_id = i.product_id AND unit_price <= 1000)""",
+  SELECT 1 FROM products p WHERE p.product_id = i.product_id AND unit_price <= 910)""",
     ),
 )
 def item_references(spark, folder):
     items = numbered_items(spark, folder).select("item_id", "product_id")
-    products = fixtures.products(spark, folder).where("unit_price <= 1000")
+    products = fixtures.products(spark, folder).where("unit_price <= 910")
     return quality.fk_violations(items, "product_id", products, "product_id")
 
 
