@@ -4,6 +4,7 @@ import oracle
 import pytest
 
 import __spark_entry__ as entry_point
+from tallyfold.queries import QUERIES, SQL
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -13,10 +14,10 @@ def connection():
     return oracle.connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, connection, name):
-    df = entry_point.queries()[name](spark, FOLDER)
-    assert oracle.compare(df, connection, entry_point.oracle_sql()[name]) == []
+    df = QUERIES[name](spark, FOLDER)
+    assert oracle.compare(df, connection, SQL[name]) == []
 
 
 def test_entry(spark):
