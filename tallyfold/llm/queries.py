@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfold.llm import chat
-from tallyfold.llm.common import table
+from tallyfold.llm import chat, mixture
+from tallyfold.llm.common import table, word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -72,3 +72,91 @@ def op9_chat_format(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2("learned", 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
     )
+
+
+MIX_SQL = r"""
+WITH sized AS (
+  SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size
+  FROM documents),
+counted AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, CAST(ceil(count(*) / 4096) AS BIGINT) AS shards,
+         row_number() OVER (ORDER BY source NULLS LAST) AS place
+  FROM sized GROUP BY source),
+weighed AS (
+  SELECT *, CASE (place - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight, source_size * 3 AS full_size,
+         sum(source_size) OVER () AS words
+  FROM counted),
+filled AS (
+  SELECT *, CAST(words - coalesce(sum(full_size) OVER (fill ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS DOUBLE)
+            / CAST(sum(weight) OVER (fill ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS DOUBLE) AS rate
+  FROM weighed WINDOW fill AS (ORDER BY full_size / weight, place)),
+sources AS (
+  SELECT source, source_size, shards, place,
+         coalesce(least(CAST(full_size AS DOUBLE),
+                        max(CASE WHEN full_size >= rate * weight THEN rate END) OVER () * weight),
+                  CAST(full_size AS DOUBLE)) AS target
+  FROM filled),
+dealt AS (
+  SELECT d.*, s.source_size, s.place, s.target,
+         CAST('0x' || substr(md5('42:shard:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) % s.shards AS shard,
+         CAST('0x' || substr(md5('42:row:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) AS turn
+  FROM sized d JOIN sources s ON d.source IS NOT DISTINCT FROM s.source),
+shards AS (
+  SELECT place, shard, CAST(sum(size) AS BIGINT) AS shard_size, CAST(ceil(sum(size) / 16) AS BIGINT) AS blocks
+  FROM dealt GROUP BY place, shard),
+seats AS (
+  SELECT s.place, s.target AS share, CAST(round(sum(s.source_size) OVER () / 16) AS BIGINT) AS wanted,
+         b.most, sum(s.target) OVER () AS total, count(*) OVER () AS members
+  FROM sources s JOIN (SELECT place, CAST(sum(blocks) * 3 AS BIGINT) AS most FROM shards GROUP BY place) b USING (place)),
+seat_bounds AS (
+  SELECT *, CASE WHEN total > 0 THEN CAST(least(greatest(ceil(share * (wanted - members / 2.0) / total - 0.5) - 1, 0), most) AS BIGINT)
+                 ELSE 0 END AS sure,
+         CASE WHEN total > 0 THEN CAST(least(floor(share * (wanted + members / 2.0) / total + 0.5) + 1, most) AS BIGINT)
+              ELSE least(1, most) END AS last
+  FROM seats),
+source_quotas AS (
+  SELECT place, sure + coalesce(won, 0) AS source_quota
+  FROM seat_bounds LEFT JOIN (
+    SELECT place, count(*) AS won
+    FROM (SELECT place, row_number() OVER (ORDER BY share / (2 * seat - 1) DESC, place, seat) AS rank, spare
+          FROM (SELECT *, wanted - sum(sure) OVER () AS spare FROM seat_bounds) x, LATERAL (SELECT unnest(range(sure + 1, last + 1)) AS seat)) y
+    WHERE rank <= spare GROUP BY place) w USING (place)),
+shard_seats AS (
+  SELECT place, shard, blocks, CAST(shard_size AS DOUBLE) AS share, source_quota AS wanted, blocks * 3 AS most,
+         sum(shard_size) OVER (PARTITION BY place) AS total, count(*) OVER (PARTITION BY place) AS members
+  FROM shards JOIN source_quotas USING (place)),
+shard_bounds AS (
+  SELECT *, CASE WHEN total > 0 THEN CAST(least(greatest(ceil(share * (wanted - members / 2.0) / total - 0.5) - 1, 0), most) AS BIGINT)
+                 ELSE 0 END AS sure,
+         CASE WHEN total > 0 THEN CAST(least(floor(share * (wanted + members / 2.0) / total + 0.5) + 1, most) AS BIGINT)
+              ELSE least(1, most) END AS last
+  FROM shard_seats),
+quotas AS (
+  SELECT place, shard, blocks, sure + coalesce(won, 0) AS quota,
+         CASE WHEN blocks > 0 THEN CAST('0x' || substr(md5('42:first:' || place || ':' || shard), 1, 8) AS BIGINT) % blocks
+              ELSE 0 END AS first
+  FROM shard_bounds LEFT JOIN (
+    SELECT place, shard, count(*) AS won
+    FROM (SELECT place, shard, spare,
+                 row_number() OVER (PARTITION BY place ORDER BY share / (2 * seat - 1) DESC, shard, seat) AS rank
+          FROM (SELECT *, wanted - sum(sure) OVER (PARTITION BY place) AS spare FROM shard_bounds) x,
+               LATERAL (SELECT unnest(range(sure + 1, last + 1)) AS seat)) y
+    WHERE rank <= spare GROUP BY place, shard) w USING (place, shard)),
+laid AS (
+  SELECT d.*, q.blocks, q.first, CASE WHEN q.blocks > 0 THEN q.quota // q.blocks ELSE 0 END AS rounds,
+         CASE WHEN q.blocks > 0 THEN q.first + q.quota % q.blocks ELSE q.first END AS end_block,
+         sum(size) OVER (PARTITION BY d.place, d.shard ORDER BY turn, doc_id, size
+                         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - size AS start
+  FROM dealt d JOIN quotas q USING (place, shard))
+SELECT doc_id, size, source_size, target,
+       CAST(rounds * size + greatest(least(greatest(end_block - blocks, 0) * 16 - start, size), 0)
+         + greatest(least(least(end_block, blocks) * 16 - start, size) - greatest(first * 16 - start, 0), 0) AS BIGINT) AS taken
+FROM laid
+"""
+
+
+@query("op2_mix_sources", MIX_SQL)
+def op2_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "source", "text")
+    mixed = mixture.mix(docs, "doc_id", "source", word_count(F.col("text")))
+    return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
