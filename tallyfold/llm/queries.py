@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfold.llm import chat, mixture, quality, simhash
+from tallyfold.llm import chat, mixture, packing, quality, simhash
 from tallyfold.llm.common import table, word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -187,3 +187,11 @@ def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
         "score",
         (F.col("score") >= ACCEPT).cast("int").alias("predicted"),
     )
+
+
+@query("op10_pack")
+def op10_pack(spark: SparkSession, folder: str) -> DataFrame:
+    """Where each piece of every document goes."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    packed = packing.best_fit(docs, "doc_id", word_count(F.col("text")))
+    return packed.withColumnRenamed("id", "doc_id")
