@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfold.llm import chat, mixture, packing, quality, simhash
+from tallyfold.llm import chat, mixture, packing, quality, simhash, surrogates
 from tallyfold.llm.common import table, word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -195,3 +195,13 @@ def op10_pack(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     packed = packing.best_fit(docs, "doc_id", word_count(F.col("text")))
     return packed.withColumnRenamed("id", "doc_id")
+
+
+# Stands for a secret kept outside the repository; the query must give the same result each time.
+PII_KEY = b"example key"
+
+
+@query("op3_pii_surrogates")
+def op3_pii_surrogates(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return surrogates.replace(docs, PII_KEY).select("row.doc_id", "text", "spans")
