@@ -202,10 +202,11 @@ def mix(
     return place_rows(full if carry else slim.withColumn("row", F.lit(None)), sources, quotas, **block)
 
 
-def mixed_texts(mixed: DataFrame, text: str) -> DataFrame:
+def mixed_texts(mixed: DataFrame, text: str, length: str = "n_chars") -> DataFrame:
     """The rows of the mix itself: each row `rounds` times, and once more with the words of its parts, if any.
 
-    Columns are those of `row`. The parts of a text are joined by a space and keep the gaps inside them.
+    Columns are those of `row`; `length`, if there is such a column, is the length of the new text. The parts of a text
+    are joined by a space and keep the gaps inside them.
     """
     words = F.regexp_extract_all(F.col(f"row.{text}"), F.lit(r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*"), F.lit(0))
     pieces = F.transform(
@@ -218,7 +219,13 @@ def mixed_texts(mixed: DataFrame, text: str) -> DataFrame:
         F.array_repeat(F.col(f"row.{text}"), F.col("rounds").cast("int")),
         F.when(F.size("parts") > 0, F.array(partial)).otherwise(F.array().cast("array<string>")),
     )
-    names = mixed.schema["row"].dataType.names
-    return mixed.select("row", F.explode(copies).alias("copy")).select(
-        *[F.col("copy").alias(text) if n == text else F.col(f"row.`{n}`").alias(n) for n in names]
-    )
+
+    def column(field) -> Column:
+        if field.name == text:
+            return F.col("copy").alias(text)
+        if field.name == length:
+            return F.length("copy").cast(field.dataType).alias(length)
+        return F.col(f"row.`{field.name}`").alias(field.name)
+
+    copied = mixed.select("row", F.explode(copies).alias("copy"))
+    return copied.select(*[column(f) for f in mixed.schema["row"].dataType.fields])

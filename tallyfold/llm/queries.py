@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tallyfold.llm import chat, mixture, packing, quality, simhash, surrogates
 from tallyfold.llm.common import table, word_count
 
@@ -173,8 +174,6 @@ def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-ACCEPT = 0.3
-
 
 @query("op7_quality")
 def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
@@ -185,7 +184,7 @@ def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
         "row.doc_id",
         quality.held_out(F.col("row.doc_id")).alias("held_out"),
         "score",
-        (F.col("score") >= ACCEPT).cast("int").alias("predicted"),
+        (F.col("score") >= corpus_pipeline.ACCEPT).cast("int").alias("predicted"),
     )
 
 
@@ -197,11 +196,13 @@ def op10_pack(spark: SparkSession, folder: str) -> DataFrame:
     return packed.withColumnRenamed("id", "doc_id")
 
 
-# Stands for a secret kept outside the repository; the query must give the same result each time.
-PII_KEY = b"example key"
-
 
 @query("op3_pii_surrogates")
 def op3_pii_surrogates(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    return surrogates.replace(docs, PII_KEY).select("row.doc_id", "text", "spans")
+    return surrogates.replace(docs, corpus_pipeline.PII_KEY).select("row.doc_id", "text", "spans")
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL:
+    SQL["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -13,7 +13,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyfold.llm.arrow import by_batch, cells, meet, runs
@@ -47,13 +47,22 @@ def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> i
 
 
 def fingerprints(docs: DataFrame, identity: str, text: str, shingle: int = SHINGLE) -> DataFrame:
-    """(id, fp) for every row; fp is the fingerprint's 64 bits as a long."""
+    """(id, mark, fp) for every row; mark is a hash of the text, fp the fingerprint's 64 bits as a long."""
+    rows = docs.select(_identity(identity), _mark(text), F.col(text).alias("text"))
 
     def work(batch: pa.RecordBatch) -> dict:
-        values = np.array([fingerprint(t.as_py(), shingle) for t in batch.column(1)], np.uint64)
-        return {"id": batch.column(0), "fp": values.view(np.int64)}
+        values = np.array([fingerprint(t.as_py(), shingle) for t in batch.column(2)], np.uint64)
+        return {"id": batch.column(0), "mark": batch.column(1), "fp": values.view(np.int64)}
 
-    return by_batch(docs.select(F.col(identity).cast("long").alias("id"), F.col(text).alias("text")), work, "id long, fp long")
+    return by_batch(rows, work, "id long, mark long, fp long")
+
+
+def _identity(identity: str) -> Column:
+    return F.col(identity).cast("long").alias("id")
+
+
+def _mark(text: str) -> Column:
+    return F.xxhash64(text).alias("mark")
 
 
 def _keys(fp: Column, max_bits: int) -> Column:
@@ -110,7 +119,8 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 def near_duplicates(
     docs: DataFrame, identity: str = "doc_id", text: str = "text", shingle: int = SHINGLE, max_bits: int = MAX_BITS
 ) -> DataFrame:
-    """One row per row of `docs`: id, fp (long) and component, the least id reachable over links, itself included.
+    """One row per row of `docs`: id, mark (a hash of the text), fp (long) and component, the least id reachable over
+    links, itself included, and root, a name of the component (long).
 
     Null and empty texts have fingerprint 0 and link like any other. Rows with equal ids are rows of their own; a null
     id takes part but is no component's id unless the component has no other. Texts are taken whole. Other columns
@@ -124,5 +134,20 @@ def near_duplicates(
         "root", F.coalesce("root", "fp")
     )
     least = rooted.groupBy("root").agg(F.min("first").alias("component"))
-    labels = stage(rooted.join(least, "root").select("fp", "component"), "labels")
-    return marked.join(labels, "fp").select("id", "fp", "component")
+    labels = stage(rooted.join(least, "root").select("fp", "root", "component"), "labels")
+    return marked.join(labels, "fp").select("id", "mark", "fp", "root", "component")
+
+
+def keep_one(docs: DataFrame, identity: str = "doc_id", text: str = "text", **parameters) -> DataFrame:
+    """The rows of `docs` without near-duplicates: of each component the row with the least id.
+
+    Among rows of that id the least text hash stays, and of rows that also share their text one; null ids come last.
+    """
+    found = near_duplicates(docs, identity, text, **parameters)
+    first = F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "mark"))
+    kept = stage(found.groupBy("root").agg(first.alias("first")).select("first.id", "first.mark"), "kept")
+    rows = docs.select(F.struct("*").alias("row"), _identity(identity), _mark(text))
+    both = rows["id"].eqNullSafe(kept["id"]) & (rows["mark"] == kept["mark"])
+    order = Window.partitionBy("id", "mark").orderBy(F.xxhash64("row"))
+    single = rows.join(kept, both, "left_semi").withColumn("copy", F.row_number().over(order)).where("copy = 1")
+    return single.select("row.*")
