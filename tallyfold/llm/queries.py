@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tallyfold.llm import chat, mixture, packing, quality, simhash, surrogates
+from tallyfold.llm import chat, mixture, packing, quality, simhash, spherical, surrogates
 from tallyfold.llm.common import table, word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -203,6 +203,17 @@ def op3_pii_surrogates(spark: SparkSession, folder: str) -> DataFrame:
     return surrogates.replace(docs, corpus_pipeline.PII_KEY).select("row.doc_id", "text", "spans")
 
 
+@query("op1_spherical_filters")
+def op1_spherical_filters(spark: SparkSession, folder: str) -> DataFrame:
+    found = spherical.near_duplicates(table(spark, folder, "embeddings"), cosine=0.9)
+    return found.select(
+        F.col("id").alias("vec_id"),
+        F.col("links").alias("n_links"),
+        F.col("component").alias("component_id"),
+        F.col("id").eqNullSafe(F.col("component")).alias("kept"),
+    )
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     SQL["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -1,0 +1,101 @@
+import brute
+import numpy as np
+import pytest
+
+from tallyfold.llm import spherical
+from tallyfold.llm.queries import QUERIES
+
+SCHEMA = "vec_id long, embedding array<float>, label int, links string, node string"
+
+
+def truth(matrix, ids):
+    near = spherical.cosines(matrix, matrix) >= 0.9
+    np.fill_diagonal(near, False)
+    pairs = [(ids[a], ids[b]) for a, b in zip(*np.nonzero(near)) if a < b]
+    return dict(zip(ids, near.sum(1).tolist())), brute.roots(ids, pairs), len(pairs)
+
+
+def clustered(rng, dim, groups, noise):
+    rows = []
+    for size, spread in groups:
+        centre = rng.standard_normal(dim)
+        centre /= np.linalg.norm(centre)
+        rows += [centre + spread * rng.standard_normal(dim) / np.sqrt(dim) for _ in range(size)]
+    rows += list(rng.standard_normal((noise, dim)))
+    return np.array(rows, np.float32)
+
+
+@pytest.mark.parametrize("dim, rows", [(64, 500), (64, 50_000), (8, 2000), (3, 300), (2, 100), (1, 10), (200, 5000)])
+def test_recall_at_the_threshold(dim, rows):
+    """Fresh random pairs at cosine 0.9."""
+    at = spherical.threshold(dim, rows)
+    codes = spherical.codes_for(dim, rows)
+    rng = np.random.default_rng(0)
+    x = spherical._unit(rng.standard_normal((400, dim)))
+    z = rng.standard_normal((400, dim))
+    z -= (z * x).sum(1, keepdims=True) * x
+    y = x if dim == 1 else 0.9 * x + np.sqrt(0.19) * spherical._unit(z)
+    a, b = codes.decode(x, at), codes.decode(y, at)
+    lists = [set(zip(*map(np.ndarray.tolist, v))) for v in (a, b)]
+    assert len({r for r, _ in lists[0] & lists[1]}) / 400 > 0.97
+
+
+def test_decode_is_complete():
+    """All directions that reach the threshold, and only these."""
+    codes = spherical.Codes(10, 400)
+    unit = spherical._unit(np.random.default_rng(2).standard_normal((30, 10)))
+    row, name = codes.decode(unit, 0.5)
+    wanted = set()
+    for i, (turn, (first, second)) in enumerate(codes.codes):
+        for a, u in enumerate(first):
+            for b, v in enumerate(second):
+                direction = turn @ np.concatenate([u, v]) / np.sqrt(2)
+                for r in np.flatnonzero(unit @ direction >= 0.5):
+                    wanted.add((int(r), (i * codes.size + a) * codes.size + b))
+    assert set(zip(row.tolist(), name.tolist())) == wanted and len(row) == len(wanted)
+
+
+def test_against_brute_force(spark, monkeypatch):
+    """Near copies, a large group cut into chunks, borderline groups, copies, odd vectors, clashing columns."""
+    monkeypatch.setattr(spherical, "CHUNK", 40)
+    rng = np.random.default_rng(1)
+    matrix = clustered(rng, 32, [(150, 0.1), (20, 0.2), (30, 0.3), (5, 0.05), (40, 0.33)], 300)
+    matrix = np.concatenate([matrix, matrix[:60], matrix[:10] * 4])
+    ids = [int(i) * 3 for i in rng.permutation(len(matrix))]
+    rows = [(i, v.tolist(), 0, "x", "x") for i, v in zip(ids, matrix)]
+    nan, inf = float("nan"), float("inf")
+    odd = [None, [], [0.0] * 32, [nan] * 32, [nan] * 32, [inf] + [1.0] * 31, [None] + [1.0] * 31, [1.0] * 31]
+    rows += [(10_000 + i, v, 0, "x", "x") for i, v in enumerate(odd)]
+    rows += [(None, matrix[0].tolist(), 0, "x", "x"), (None, None, 0, "x", "x")]
+    found = spherical.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert len(found) == len(rows)
+    links, roots, pairs = truth(np.concatenate([matrix, matrix[:1]]).astype(float), [*ids, 10**9])
+    by_id = {r.id: r for r in found if r.id is not None}
+    assert all(by_id[i].links <= links[i] for i in ids)
+    assert sum(by_id[i].links for i in ids) >= 0.95 * (sum(links.values()) - links[10**9])
+    for i in ids[:150]:
+        assert by_id[i].links >= 0.9 * links[i] and by_id[i].component == roots[i]
+    for i in range(len(odd)):
+        assert (by_id[10_000 + i].links, by_id[10_000 + i].component) == (0, 10_000 + i)
+    unnamed = sorted((r.links, r.component) for r in found if r.id is None and r.component is not None)
+    assert unnamed == [(by_id[ids[0]].links, roots[ids[0]])]
+
+
+def test_shared_ids_and_exact_threshold(spark):
+    rows = [(1, [1.0, 0.0, 0.0, 0.0], 0, "", ""), (2, [9.0, 3.0, 3.0, 1.0], 0, "", ""), (3, [-1.0, 0.0, 0.0, 0.0], 0, "", "")]
+    rows += [(2, [0.0, 0.0, 5.0, 0.0], 0, "", ""), (4, [0.0, 0.0, 1.0, 0.0], 0, "", "")]
+    found = spherical.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted((r.id, r.links, r.component) for r in found) == [(1, 1, 1), (2, 1, 1), (2, 1, 1), (3, 0, 3), (4, 1, 1)]
+
+
+def test_empty(spark):
+    assert spherical.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_recall_on_test_vectors(spark, small):
+    rows = spark.read.parquet(f"{small}/embeddings.parquet").select("vec_id", "embedding").collect()
+    links, roots, _ = truth(np.array([r.embedding for r in rows], float), [r.vec_id for r in rows])
+    found = {r.vec_id: r for r in QUERIES["op1_spherical_filters"](spark, small).collect()}
+    assert {i: found[i].n_links for i in found} == links
+    assert {i: found[i].component_id for i in found} == roots
+    assert all(r.kept == (r.vec_id == r.component_id) for r in found.values())
