@@ -241,8 +241,8 @@ def near_duplicates(
     Linked are rows whose cosine is at least `cosine`, computed in double precision; no pair below it is linked, and
     of pairs at the very threshold about `recall` are found. Vectors that are null, empty or zero, or hold null or
     non-finite components, link with nothing, nor do vectors of different lengths. Rows with equal vectors link. Rows
-    that share an id are one node with several vectors; a null id takes part but names no component. Other columns
-    are ignored. No rows give no rows.
+    that share an id are one node with the links of all its vectors; a null id takes part but names no component.
+    Other columns are ignored. No rows give no rows.
     """
     vectors = rows.select(F.col(identity).cast("long").alias("id"), F.col(vector).alias("vector"))
     grouped = vectors.where(_valid(F.col("vector"))).groupBy("vector")

@@ -85,7 +85,7 @@ def test_shared_ids_and_exact_threshold(spark):
     rows = [(1, [1.0, 0.0, 0.0, 0.0], 0, "", ""), (2, [9.0, 3.0, 3.0, 1.0], 0, "", ""), (3, [-1.0, 0.0, 0.0, 0.0], 0, "", "")]
     rows += [(2, [0.0, 0.0, 5.0, 0.0], 0, "", ""), (4, [0.0, 0.0, 1.0, 0.0], 0, "", "")]
     found = spherical.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()
-    assert sorted((r.id, r.links, r.component) for r in found) == [(1, 1, 1), (2, 1, 1), (2, 1, 1), (3, 0, 3), (4, 1, 1)]
+    assert sorted((r.id, r.links, r.component) for r in found) == [(1, 1, 1), (2, 2, 1), (2, 2, 1), (3, 0, 3), (4, 1, 1)]
 
 
 def test_empty(spark):
