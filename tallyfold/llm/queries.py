@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tallyfold.llm import chat, mixture, packing, quality, simhash, spherical, surrogates
+from tallyfold.llm import chat, imatch, mixture, packing, quality, simhash, spherical, surrogates
 from tallyfold.llm.common import table, word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -214,6 +214,12 @@ def op1_spherical_filters(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op8_imatch")
+def op8_imatch(spark: SparkSession, folder: str) -> DataFrame:
+    found = imatch.edit_likeness(table(spark, folder, "documents"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
