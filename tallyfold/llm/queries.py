@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tallyfold.llm import chat, imatch, mixture, packing, quality, simhash, spherical, surrogates
+from tallyfold.llm import chat, imatch, licenses, mixture, packing, quality, simhash, spherical, surrogates
 from tallyfold.llm.common import table, word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -220,6 +220,48 @@ def op8_imatch(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id")
 
 
+def _license_sql() -> str:
+    """Every window against every template, without hashes."""
+    rows = ",\n".join(
+        "({}, '{}', '{}')".format(i, name, text.replace("'", "''")) for i, (name, text) in enumerate(licenses.TEMPLATES)
+    )
+    sizes = [licenses.SMALLEST]
+    while sizes[-1] < 1000:
+        sizes.append(licenses.size_class(sizes[-1] + 1))
+    size = " ".join(f"WHEN shingles <= {n} THEN {n}" for n in sizes)
+    words = r"list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '')"
+    return f"""
+WITH templates(template, license, text) AS (VALUES {rows}),
+cut AS (SELECT template, license, {words} AS words FROM templates),
+kinds AS (SELECT *, least(len(words), 5) AS k FROM cut),
+parts AS (
+  SELECT DISTINCT template, license, k, array_to_string(words[i:i + k - 1], ' ') AS shingle
+  FROM kinds, LATERAL (SELECT unnest(range(1, len(words) - k + 2)) AS i)),
+counted AS (SELECT *, count(*) OVER (PARTITION BY template) AS shingles FROM parts),
+sized AS (SELECT *, CASE {size} END AS size FROM counted),
+texts AS (SELECT doc_id, {words} AS words FROM documents),
+places AS (
+  SELECT doc_id, k, i - 1 AS place, array_to_string(words[i:i + k - 1], ' ') AS shingle
+  FROM texts, (SELECT DISTINCT k FROM kinds) ks, LATERAL (SELECT unnest(range(1, len(words) - k + 2)) AS i)),
+hits AS (
+  SELECT doc_id, place, k, shingle, template, license, shingles, size, (size + 1) // 2 AS step
+  FROM places JOIN sized USING (k, shingle)),
+windows AS (
+  SELECT *, unnest(range(greatest((place - size - step) // step, 0), place // step + 1)) * step AS start FROM hits),
+verified AS (
+  SELECT doc_id, license, template, start, count(DISTINCT shingle) / any_value(shingles) AS share,
+         min(place) AS first, max(place + k) AS last
+  FROM windows WHERE place < start + size + step GROUP BY doc_id, license, template, start)
+SELECT doc_id, license, max(share) AS containment, min(first) AS start_word, max(last) AS end_word
+FROM verified WHERE share >= 0.8 GROUP BY doc_id, license
+"""
+
+
+@query("op4_license_scan", _license_sql())
+def op4_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(table(spark, folder, "documents")).withColumnRenamed("id", "doc_id")
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
