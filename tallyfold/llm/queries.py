@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tallyfold.llm import chat, imatch, licenses, mixture, packing, quality, simhash, spherical, surrogates
+from tallyfold.llm import chat, imatch, licenses, mixture, packing, passages, quality, simhash, spherical, surrogates
 from tallyfold.llm.common import table, word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -262,6 +262,12 @@ def op4_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(table(spark, folder, "documents")).withColumnRenamed("id", "doc_id")
 
 
+@query("op6_near_passages")
+def op6_near_passages(spark: SparkSession, folder: str) -> DataFrame:
+    found = passages.near_passages(table(spark, folder, "documents"))
+    return found.withColumnsRenamed({"id": "doc_id", "first_id": "first_doc_id"})
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
