@@ -9,15 +9,19 @@ from pyspark.sql import functions as F
 NUMBER_PATTERN = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 DEFAULT_VAT = "10%"
 
-# Wide enough that only values beyond every declared column are lost.
-PARSED = "decimal(18,6)"
+# Wider than the declared columns, so that the products of quantity, price and rate are exact to the last digit: the
+# three scales add up to what a decimal of 38 digits holds beside ten digits before the point. Digits beyond these
+# scales are rounded.
+QUANTITY = "decimal(16,8)"
+PRICE = "decimal(18,8)"
+RATE = "decimal(9,6)"
 
 
 def _digits(text: Column) -> Column:
     return F.replace(text, F.lit("_"), F.lit(""))
 
 
-def to_decimal(text: Column, type_name: str = PARSED) -> Column:
+def to_decimal(text: Column, type_name: str = PRICE) -> Column:
     """Decimal value of number text; NULL when it is no number or does not fit."""
     return F.trim(_digits(text)).try_cast(type_name)
 
@@ -50,7 +54,7 @@ def item_text(text: Column) -> Column:
     return F.replace(text, F.lit(","), F.lit("."))
 
 
-def item_number(text: Column, type_name: str = PARSED) -> Column:
+def item_number(text: Column, type_name: str = PRICE) -> Column:
     return to_decimal(item_text(text), type_name)
 
 
@@ -61,18 +65,18 @@ def vat_text(text: Column, present: Column | None = None) -> Column:
     return F.trim(F.replace(text, F.lit("%"), F.lit("")))
 
 
-def vat_rate(text: Column, present: Column | None = None, type_name: str = "decimal(9,4)") -> Column:
+def vat_rate(text: Column, present: Column | None = None, type_name: str = RATE) -> Column:
     return to_decimal(vat_text(text, present), type_name)
 
 
 def net_worth(qty: Column, price: Column) -> Column:
     """Exact product; NULL when it is beyond any declared money column."""
-    return F.try_multiply(qty, price).try_cast("decimal(22,12)")
+    return F.try_multiply(qty, price).try_cast("decimal(26,16)")
 
 
 def gross_worth(net: Column, vat: Column) -> Column:
     """Net plus VAT, from the unrounded net."""
-    return net + net * vat * F.lit("0.01").cast("decimal(2,2)")
+    return net + net * (vat * F.lit("0.01").cast("decimal(2,2)")).try_cast("decimal(11,8)")
 
 
 def round_half_even(value: Column, digits: int = 2) -> Column:

@@ -138,8 +138,8 @@ def _enforce_reference(tx: Transaction, table: Table, rows: DataFrame, ref: Refe
 def update(tx: Transaction, name: str, where: Column, assignments: dict[str, Column], now) -> None:
     """Update a stored table; only blocks with matching rows are rewritten.
 
-    The rules are checked on the new rows; unique columns and references only
-    when they are assigned.
+    The rules are checked on the new rows; the key, unique columns and references only when they are assigned. A key
+    that rows of another table name may not go.
     """
     table = tx.table(name)
     with scratch(tx.spark):
@@ -147,17 +147,31 @@ def update(tx: Transaction, name: str, where: Column, assignments: dict[str, Col
         if not blocks:
             return
         before = tx.read(name, blocks)
-        new = stage(update_where(before.where(where), F.lit(True), assignments, now), "updated")
+        old = stage(before.where(where), "outdated")
+        new = stage(update_where(old, F.lit(True), assignments, now), "updated")
         quality.enforce(quality.row_violations(table, new), name)
-        for column in set(table.unique) & set(assignments):
-            others = tx.read(name).join(new.select(table.key), table.key, "left_anti")
+        for column in {*table.unique, table.key} & set(assignments):
+            others = tx.read(name).join(old.select(table.key), table.key, "left_anti")
             _enforce_unique(table, new, column, others)
+        if table.key in assignments:
+            _keep_named_keys(tx, name, old, new)
+            tx.raise_high_key(name, new.agg(F.max(table.key)).first()[0] or 0)
         for ref in table.references:
             if ref.column in assignments:
                 _enforce_reference(tx, table, new, ref)
         tx.rewrite_blocks(name, update_where(before, where, assignments, now), blocks)
 
 
+def _keep_named_keys(tx: Transaction, name: str, old: DataFrame, new: DataFrame) -> None:
+    """Raise when a key that no row has any more is still named by a child."""
+    key = tx.table(name).key
+    gone = old.select(key).join(new.select(key), key, "left_anti")
+    for child, ref in _children(tx.store.tables, name):
+        if ref.parent_column == key:
+            left = known_rows(tx.read(child), gone.toDF(ref.column), ref.column)
+            quality.enforce(left, f"{name}: {key} is still referred to by {child}")
+
+
 def delete(tx: Transaction, name: str, where: Column) -> None:
     """Delete rows, and whatever refers to them, as the references declare.
 

@@ -153,7 +153,7 @@ def payments(spark: SparkSession, folder: str) -> DataFrame:
     amount = F.col("value").cast("decimal(14,2)") * F.lit(1000)
     df = raw(spark, folder, "events").select(
         F.col("event_id").alias("payment_id"),
-        F.floor(F.col("event_id") / 4).alias("invoice_id"),
+        F.expr("event_id div 4").alias("invoice_id"),
         F.col("ts").alias("payment_date"),
         _mapped("event_type", METHOD).alias("payment_method"),
         F.concat(F.lit("EV-"), "event_id").alias("payment_reference"),

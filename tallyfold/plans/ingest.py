@@ -73,9 +73,9 @@ def _item_numbers(item: Column) -> Column:
     return _with(
         item,
         ("product_name", "named", "qty", "price", "vat"),
-        qty_value=numbers.to_decimal(item["qty"]),
+        qty_value=numbers.to_decimal(item["qty"], numbers.QUANTITY),
         price_value=numbers.to_decimal(item["price"]),
-        vat_value=numbers.to_decimal(item["vat"], "decimal(9,4)"),
+        vat_value=numbers.to_decimal(item["vat"], numbers.RATE),
     )
 
 
@@ -113,6 +113,8 @@ def _item_faults(item: Column) -> Column:
 
     `product_fault` keeps even the product from being made, `item_fault` only
     the item, and `line_fault` is a broken rule that takes the line along.
+    `product_breach` is a rule that a new product would break, for an item that
+    is left out anyway: it takes the line along unless the product exists.
     """
     product_fault = F.coalesce(
         F.when(~item["named"], F.lit("item_desc is missing")),
@@ -120,7 +122,6 @@ def _item_faults(item: Column) -> Column:
         F.when(~item["vat_ok"], F.lit("item_vat is no number text")),
     )
     item_fault = F.when(~item["qty_ok"], F.lit("item_qty is no number text"))
-    # Rules of the product row: these break the line even when the quantity is bad.
     name_limit = PRODUCTS.column("product_name").max_length
     product_breach = F.coalesce(
         F.when(item["product_name"].isNull(), F.lit("item_desc is no text")),
@@ -134,15 +135,14 @@ def _item_faults(item: Column) -> Column:
         F.when(item["item_net_worth"].isNull(), F.lit("item_net_worth is out of range")),
         F.when(item["item_gross_worth"].isNull(), F.lit("item_gross_worth is out of range")),
     )
-    line_fault = F.when(
-        product_fault.isNull(), F.coalesce(product_breach, F.when(item_fault.isNull(), item_breach))
-    )
+    line_fault = F.when(product_fault.isNull() & item_fault.isNull(), F.coalesce(product_breach, item_breach))
     return _with(
         item,
         ("product_name", *ITEM_COLUMNS),
         product_fault=product_fault,
         item_fault=item_fault,
         line_fault=line_fault,
+        product_breach=F.when(product_fault.isNull() & item_fault.isNotNull(), product_breach),
     )
 
 
@@ -157,7 +157,7 @@ def _first_fault(items: Column, strict: bool) -> Column:
 
     def fault(item: Column) -> Column:
         if strict:
-            return F.coalesce(item["product_fault"], item["line_fault"], item["item_fault"])
+            return F.coalesce(item["product_fault"], item["line_fault"], item["product_breach"], item["item_fault"])
         return item["line_fault"]
 
     faults = F.filter(F.transform(items, fault), lambda f: f.isNotNull())
@@ -178,13 +178,42 @@ def _party_fault(singular: str) -> Column:
     )
 
 
+def _makes_product(item: Column) -> Column:
+    """Whether an item of an accepted line makes sure that its product exists."""
+    return item["product_fault"].isNull() & item["product_breach"].isNull()
+
+
+def _asked(items: Column) -> Column:
+    """Items (product_name, pos, fault) that need a product which they, and those before them in the line, cannot make."""
+    placed = F.transform(items, lambda item, pos: F.struct(item.alias("item"), pos.alias("pos")))
+
+    def open_(at: Column) -> Column:
+        made = F.exists(
+            placed,
+            lambda other: (other["pos"] < at["pos"])
+            & (other["item"]["product_name"] == at["item"]["product_name"])
+            & _makes_product(other["item"]),
+        )
+        return at["item"]["product_breach"].isNotNull() & ~F.coalesce(made, F.lit(False))
+
+    return F.transform(
+        F.filter(placed, open_),
+        lambda at: F.struct(
+            at["item"]["product_name"].alias("product_name"),
+            at["pos"].alias("pos"),
+            at["item"]["product_breach"].alias("fault"),
+        ),
+    )
+
+
 def judge_lines(documents: DataFrame, policy: str = LINE, decimal_comma: bool = False) -> DataFrame:
     """Typed fields of each document, and `reason` when the line is refused.
 
     Under policy `line` any bad item refuses the line. Under policy `item` a
     bad item is left out alone, unless it breaks a rule of the tables.
     `seller_fault` and `client_fault` refuse the line only if that party does
-    not exist by then; `settle_parties` decides.
+    not exist by then, and `asked`, items whose product could not be made, only
+    if that product does not; `settle_lines` decides.
     """
     if policy not in (LINE, ITEM):
         raise ValueError(f"unknown policy {policy!r}")
@@ -217,7 +246,8 @@ def judge_lines(documents: DataFrame, policy: str = LINE, decimal_comma: bool =
         typed.withColumn("reason", F.coalesce(*reasons))
         .withColumn("seller_fault", F.when(F.col("reason").isNull(), _party_fault("seller")))
         .withColumn("client_fault", F.when(F.col("reason").isNull(), _party_fault("client")))
-        .withColumn("line", F.when(suspect, F.col("line")))
+        .withColumn("asked", F.when(F.col("reason").isNull(), _asked(F.col("items"))))
+        .withColumn("line", F.when(suspect | (F.size("asked") > 0), F.col("line")))
         .withColumn("items", F.when(F.col("reason").isNull(), F.col("items")))
         .drop("header", "summary", "document", "items_kind", "invoice_date")
         .withColumnRenamed("date", "invoice_date")
@@ -230,33 +260,44 @@ def _first_lines(lines: DataFrame, tax_id: str, fault: str) -> DataFrame:
     return able.groupBy(tax_id).agg(F.min("line_no").alias("first"))
 
 
-def settle_parties(tx: Transaction, lines: DataFrame) -> DataFrame:
-    """Decide the lines whose seller or client they could not create.
+def _first_products(lines: DataFrame) -> DataFrame:
+    """For each product the first line that makes it sure to exist."""
+    made = lines.select("line_no", F.explode(F.filter("items", _makes_product)).alias("item"))
+    return made.groupBy(F.col("item.product_name").alias("product_name")).agg(F.min("line_no").alias("first"))
+
 
-    Such a line stands if each party in question exists, in the tables or
-    through an earlier line that stands. As that line may itself be in
-    question, the lines in question are judged in rounds, each with what the
-    round before let through, until nothing is added. Without such lines,
-    the usual case, nothing is done.
+def settle_lines(tx: Transaction, lines: DataFrame) -> DataFrame:
+    """Decide the lines whose seller, client or a product they could not create.
+
+    Such a line stands if each of them exists, in the tables or through an
+    earlier line that stands. As that line may itself be in question, the
+    lines in question are judged in rounds, each with what the round before
+    let through, until nothing is added. Without such lines, the usual case,
+    nothing is done.
     """
     parties = [(p, p.natural_key, p.natural_key.replace("tax_id", "fault")) for p in (SELLERS, CLIENTS)]
     sound = F.col("reason").isNull()
-    clear = F.col("seller_fault").isNull() & F.col("client_fault").isNull()
-    columns = ["line_no", *HEADER_TAX_IDS, "seller_fault", "client_fault"]
+    clear = F.col("seller_fault").isNull() & F.col("client_fault").isNull() & (F.size("asked") == 0)
+    columns = ["line_no", *HEADER_TAX_IDS, "seller_fault", "client_fault", "asked", "items"]
     open_lines = lines.where(sound & ~clear).select(*columns)
-    settled = lines.drop("seller_fault", "client_fault")
+    settled = lines.drop("seller_fault", "client_fault", "asked")
     waiting = open_lines.count()
     if not waiting:
         return settled
 
     open_lines = stage(open_lines, "open")
-    # First line, or 0 for a stored row, of the parties in question.
+    asked = open_lines.select("line_no", F.inline("asked"))
+    stored = F.lit(0).cast("long").alias("first")
+    # First line, or 0 for a stored row, of the parties and products in question.
     known = {}
     for party, tax_id, fault in parties:
         wanted = open_lines.where(F.col(fault).isNotNull()).select(tax_id).distinct()
-        stored = tx.read(party.name).select(tax_id, F.lit(0).cast("long").alias("first"))
         created = _first_lines(lines.where(sound & clear), tax_id, fault)
-        known[tax_id] = stage(stored.unionByName(created).join(wanted, tax_id, "left_semi"), "known")
+        rows = tx.read(party.name).select(tax_id, stored).unionByName(created)
+        known[tax_id] = stage(rows.join(wanted, tax_id, "left_semi"), "known")
+    wanted = asked.select("product_name").distinct()
+    rows = tx.read("products").select("product_name", stored).unionByName(_first_products(lines.where(sound & clear)))
+    products = stage(rows.join(wanted, "product_name", "left_semi"), "known")
 
     accepted, passed = open_lines.where(F.lit(False)), 0
     while True:
@@ -266,12 +307,15 @@ def settle_parties(tx: Transaction, lines: DataFrame) -> DataFrame:
             first = first.groupBy(tax_id).agg(F.min("first").alias(f"first_{tax_id}"))
             judged = judged.join(first, tax_id, "left")
             stands &= F.col(fault).isNull() | _known(F.col(f"first_{tax_id}") < F.col("line_no"))
+        made = products.unionByName(_first_products(accepted)).groupBy("product_name").agg(F.min("first").alias("first"))
+        lacking = asked.join(made, "product_name", "left").where(~_known(F.col("first") < F.col("line_no")))
+        judged = judged.join(lacking.select("line_no"), "line_no", "left_anti")
         accepted = stage(judged.where(stands).select(*columns), "accepted")
         before, passed = passed, accepted.count()
         if passed in (before, waiting):
             break
-    refused = open_lines.join(accepted, "line_no", "left_anti").select(
-        "line_no", F.coalesce("seller_fault", "client_fault").alias("_refused")
+    refused = open_lines.join(accepted.select("line_no"), "line_no", "left_anti").select(
+        "line_no", F.coalesce("seller_fault", "client_fault", F.get("asked", F.lit(0))["fault"]).alias("_refused")
     )
     return (
         settled.join(refused, "line_no", "left")
@@ -319,16 +363,16 @@ def _party(lines: DataFrame, singular: str) -> DataFrame:
     )
 
 
-def _spread_items(lines: DataFrame) -> DataFrame:
+def _spread_items(lines: DataFrame, *keep: str) -> DataFrame:
     """One row per item of the accepted lines, with its place in the line."""
-    return lines.select("line_no", "invoice_no", F.posexplode("items").alias("pos", "item")).select(
-        "line_no", "invoice_no", "pos", "item.*"
+    return lines.select("line_no", *keep, F.posexplode("items").alias("pos", "item")).select(
+        "line_no", *keep, "pos", "item.*"
     )
 
 
 def _products(items: DataFrame) -> DataFrame:
     """Products named by the items, with the price and rate of each item."""
-    return items.where(F.col("product_fault").isNull()).select(
+    return items.where(F.col("product_fault").isNull() & F.col("product_breach").isNull()).select(
         "product_name",
         F.col("product_name").alias("product_description"),
         F.col("item_net_price").alias("unit_price"),
@@ -350,26 +394,43 @@ def _create_invoices(tx: Transaction, lines: DataFrame, sellers: DataFrame, clie
     return find_or_create(tx, "invoices", header, "line_no", complete=complete)
 
 
-def _append_items(tx: Transaction, items: DataFrame, invoices: DataFrame, products: DataFrame, now) -> None:
-    good = items.where(F.col("product_fault").isNull() & F.col("item_fault").isNull())
-    linked = lookup_ids(good, invoices, "invoice_no", "invoice_id")
-    linked = lookup_ids(linked, products, "product_name", "product_id")
+def _append_items(tx: Transaction, lines: DataFrame, invoices: DataFrame, products: DataFrame, now) -> None:
+    """Lines get the id of their invoice before they are spread: items, the largest rows, are joined once."""
+    items = _spread_items(lookup_ids(lines.select("line_no", "invoice_no", "items"), invoices, "invoice_no", "invoice_id"), "invoice_id")
+    whole = F.col("product_fault").isNull() & F.col("item_fault").isNull()
+    linked = lookup_ids(items.where(whole), products, "product_name", "product_id")
     rows = _typed(tx, "invoice_items", now, ("line_no", "pos"))(linked)
     high = tx.high_key("invoice_items")
-    keyed, last = assign_keys(rows, "line_no", high, "item_id", ("pos",), same_ids=good)
+    keyed, last = assign_keys(
+        rows, "line_no", high, "item_id", ("pos",), same_ids=_spread_items(lines).where(whole).select("line_no")
+    )
     tx.append("invoice_items", keyed)
     tx.raise_high_key("invoice_items", last)
 
 
-def add_payments(tx: Transaction, payments: DataFrame, now) -> None:
+def _left_out(items: DataFrame, load_id: str) -> DataFrame:
+    """Items of accepted lines that were left out, with the reason."""
+    reason = F.coalesce("product_fault", "item_fault")
+    return items.where(reason.isNotNull()).select(
+        F.lit(load_id).alias("load_id"), "line_no", F.col("pos").cast("long").alias("pos"), "product_name", reason.alias("reason")
+    )
+
+
+def add_payments(tx: Transaction, payments: DataFrame, now, load_id: str) -> None:
     """Append payments that name their invoice by number, then derive the status
-    of the invoices they belong to. Payments of unknown invoices are left out."""
+    of the invoices they belong to. Payments of unknown invoices, or that break
+    a rule, go to `rejected_payments`."""
     given = stage(payments, "payments")
-    linked = given.join(tx.read("invoices").select("invoice_no", "invoice_id"), "invoice_no")
-    linked = stage(linked.select("invoice_id", *sorted(c for c in payments.columns if c != "invoice_no")), "linked")
-    quality.enforce(quality.row_violations(tx.table("payments"), linked), "payments")
-    insert(tx, "payments", linked, now, check=False)
-    refresh_status(tx, linked, now)
+    linked = given.join(tx.read("invoices").select("invoice_no", "invoice_id"), "invoice_no", "left")
+    unknown = F.when(F.col("invoice_id").isNull(), F.lit("invoice_no refers to no invoice"))
+    judged = stage(linked.withColumn("reason", F.coalesce(unknown, quality.breach(tx.table("payments"), linked))), "linked")
+    named = {c.name: F.col(c.name) if c.name in judged.columns else F.lit(None) for c in tx.table("rejected_payments").columns}
+    named["load_id"] = F.lit(load_id)
+    refused = judged.where(F.col("reason").isNotNull())
+    tx.append("rejected_payments", refused.select(*(c.cast("string").alias(n) for n, c in named.items())))
+    good = judged.where(F.col("reason").isNull()).select("invoice_id", *sorted(c for c in payments.columns if c != "invoice_no"))
+    insert(tx, "payments", good, now, check=False)
+    refresh_status(tx, good, now)
 
 
 def refresh_status(tx: Transaction, paid: DataFrame, now) -> None:
@@ -421,7 +482,7 @@ def _ingest(spark, path, store, policy, now, payments, skip_known_invoices, deci
     judged = stage_lines(judge_lines(documents, policy, decimal_comma))
 
     tx = store.begin()
-    lines = settle_parties(tx, judged)
+    lines = settle_lines(tx, judged)
     good = lines.where(F.col("reason").isNull())
     if skip_known_invoices:
         firsts = first_per_key(good.select("invoice_no", "line_no"), "invoice_no", F.col("line_no"))
@@ -430,16 +491,17 @@ def _ingest(spark, path, store, policy, now, payments, skip_known_invoices, deci
     items = _spread_items(good)
     bad = lines.where(F.col("reason").isNotNull())
     rejected = bad.select(F.lit(load_id).alias("load_id"), "line_no", "reason", "line")
-    sellers, clients, products, _ = side_by_side(
+    sellers, clients, products, *_ = side_by_side(
         lambda: _create(tx, "sellers", _party(good, "seller"), now),
         lambda: _create(tx, "clients", _party(good, "client"), now),
         lambda: _create(tx, "products", _products(items), now, ("pos",)),
         lambda: tx.append("rejected_lines", rejected),
+        lambda: tx.append("rejected_items", _left_out(items, load_id)),
     )
     invoices = _create_invoices(tx, good, sellers, clients, now)
-    _append_items(tx, items, invoices, products, now)
+    _append_items(tx, good, invoices, products, now)
     if payments is not None:
-        add_payments(tx, payments, now)
+        add_payments(tx, payments, now, load_id)
     counts = lines.agg(F.count("*").alias("n"), F.count("reason").alias("bad")).first()
     tx.commit()
     return IngestReport(load_id, counts["n"], counts["n"] - counts["bad"], counts["bad"])

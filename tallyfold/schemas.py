@@ -72,8 +72,6 @@ class Table:
 
 STAMPS = (Column("created_at", STAMP, default=NOW), Column("updated_at", STAMP, default=NOW))
 
-PAYMENT_METHODS = ("CASH", "BANK_TRANSFER", "CREDIT_CARD", "CHECK", "ONLINE")
-
 
 def _party(name: str, singular: str) -> Table:
     return Table(
@@ -190,10 +188,41 @@ REJECTED_LINES = Table(
     key="line_no",
 )
 
+# Items that were left out of an accepted line, with the reason.
+REJECTED_ITEMS = Table(
+    "rejected_items",
+    (
+        Column("load_id", TEXT, True),
+        Column("line_no", LONG, True),
+        Column("pos", LONG, True),
+        Column("product_name", TEXT),
+        Column("reason", TEXT, True),
+    ),
+    key="line_no",
+)
+
+# Payments that name no known invoice or break a rule, with the reason; values as text, as they may fit no column.
+REJECTED_PAYMENTS = Table(
+    "rejected_payments",
+    (
+        Column("load_id", TEXT, True),
+        Column("invoice_no", TEXT),
+        Column("payment_date", TEXT),
+        Column("payment_method", TEXT),
+        Column("payment_reference", TEXT),
+        Column("amount", TEXT),
+        Column("reason", TEXT, True),
+    ),
+    key="invoice_no",
+)
+
 SOURCE_TABLES: dict[str, Table] = {
     t.name: t for t in (CLIENTS, SELLERS, PRODUCTS, INVOICES, INVOICE_ITEMS, PAYMENTS)
 }
-INGEST_TABLES: dict[str, Table] = {**SOURCE_TABLES, REJECTED_LINES.name: REJECTED_LINES}
+INGEST_TABLES: dict[str, Table] = {
+    **SOURCE_TABLES,
+    **{t.name: t for t in (REJECTED_LINES, REJECTED_ITEMS, REJECTED_PAYMENTS)},
+}
 
 # The six streams and the time their marks start at.
 STREAMS = ("clients", "sellers", "products", "invoices", "invoice_items", "payments")

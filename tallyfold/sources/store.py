@@ -19,6 +19,7 @@ import json
 import uuid
 from collections.abc import Iterable
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,7 +38,9 @@ class _Folder:
     def __init__(self, spark: SparkSession, root: str):
         self._jvm = spark._jvm
         self._root = root.rstrip("/")
-        self._fs = self._path("").getFileSystem(spark._jsc.hadoopConfiguration())
+        self._gateway = spark.sparkContext._gateway
+        self._conf = spark._jsc.hadoopConfiguration()
+        self._fs = self._path("").getFileSystem(self._conf)
 
     def _path(self, name: str):
         return self._jvm.org.apache.hadoop.fs.Path(f"{self._root}/{name}".rstrip("/"))
@@ -60,12 +63,23 @@ class _Folder:
             stream.close()
 
     def publish(self, name: str, text: str) -> bool:
-        """Write under a private name, then rename; False when the name is taken."""
+        """Write under a private name, then rename; False when the name is taken.
+
+        The rename itself fails if the target exists, so of two writers one wins; the loser's draft is removed.
+        """
         draft = f"{name}.{uuid.uuid4().hex}"
         self.write(draft, text)
-        if self.exists(name):
-            return False
-        return self._fs.rename(self._path(draft), self._path(name))
+        fs = self._jvm.org.apache.hadoop.fs
+        files = fs.FileContext.getFileContext(self._path("").toUri(), self._conf)
+        keep = self._gateway.new_array(getattr(fs, "Options$Rename"), 0)
+        try:
+            files.rename(files.makeQualified(self._path(draft)), files.makeQualified(self._path(name)), keep)
+        except Py4JJavaError as error:
+            self._fs.delete(self._path(draft), False)
+            if "FileAlreadyExistsException" in str(error.java_exception.getClass().getName()):
+                return False
+            raise
+        return True
 
     def children(self, name: str) -> list[str]:
         return [s.getPath().getName() for s in self._fs.listStatus(self._path(name)) if s.isDirectory()]

@@ -66,7 +66,7 @@ LINES = [
     (document(seller_tax_id="9" * 31), "seller_tax_id is too long", "seller_tax_id is too long"),
     (document(client=7), None, None),
     (document(client=["x"]), "client is missing or nested", "client is missing or nested"),
-    (document(seller="s" * 256), None, None),  # left to settle_parties
+    (document(seller="s" * 256), None, None),  # left to settle_lines
     (document(no="n" * 51), "invoice_no is too long", "invoice_no is too long"),
     (document(summary={"total_vat": 1}), "total_vat is no text", "total_vat is no text"),
     (document(summary={"total_vat": "x"}), "total_vat is no amount in range", "total_vat is no amount in range"),
