@@ -111,17 +111,28 @@ def find_or_create(
     return known.unionByName(added.select(natural_key, id_column))
 
 
-def merged(target: DataFrame, batch: DataFrame, key: str, refresh: tuple[str, ...], on: list[str] | None = None) -> DataFrame:
+def merged(
+    target: DataFrame,
+    batch: DataFrame,
+    key: str,
+    refresh: tuple[str, ...],
+    on: list[str] | None = None,
+    newer: bool = False,
+) -> DataFrame:
     """Target rows with `refresh` taken from the matching batch row, if any.
 
-    The match is told by a flag, so a NULL that comes in does overwrite.
+    The match is told by a flag, so a NULL that comes in does overwrite. With
+    `newer`, a batch row older than the target row (`updated_at`) does not.
     """
     on = on or [key]
+    takes = F.col(MATCHED)
+    if newer:
+        takes &= F.coalesce(F.col("_new_updated_at") >= F.col("updated_at"), F.lit(True))
     incoming = batch.select(*on, *(F.col(c).alias(f"_new_{c}") for c in refresh), F.lit(True).alias(MATCHED))
     joined = target.join(incoming, on, "left")
     return joined.select(
         *(
-            F.when(F.col(MATCHED), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) if c in refresh else F.col(c)
+            F.when(takes, F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) if c in refresh else F.col(c)
             for c in target.columns
         )
     )
@@ -141,9 +152,11 @@ def row_bytes(df: DataFrame) -> Column:
     return total
 
 
-def upsert(tx: Transaction, name: str, batch: DataFrame) -> int:
+def upsert(tx: Transaction, name: str, batch: DataFrame, newer: bool = False) -> int:
     """Upsert a batch into a stored table; returns the number of batch rows.
 
+    The batch is read several times and should be staged. `newer`: see `merged`.
+
     Known rows get the table's `refresh` columns and keep all others,
     surrogate key included. New rows are numbered after the highest key, in
     order of their natural key. Only blocks that the batch touches are read
@@ -188,7 +201,7 @@ def upsert(tx: Transaction, name: str, batch: DataFrame) -> int:
     if known_blocks:
         if small:
             # Each task rewrites the block files it scans; nothing is shuffled.
-            kept = merged(target, F.broadcast(batch), key, table.refresh)
+            kept = merged(target, F.broadcast(batch), key, table.refresh, newer=newer)
         else:
             # Both sides arrive by block, which is also how the result is written.
             kept = merged(
@@ -197,6 +210,7 @@ def upsert(tx: Transaction, name: str, batch: DataFrame) -> int:
                 key,
                 table.refresh,
                 [BLOCK, key],
+                newer,
             )
         tx.rewrite_blocks(name, kept, known_blocks)
     if numbered is not None:

@@ -8,13 +8,14 @@ from dataclasses import dataclass, field
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallyfold.operators import star
 from tallyfold.operators.incremental import advance_marks, changed_since, seed_marks
 from tallyfold.operators.keys import IdRange, assign_keys
 from tallyfold.operators.merge import insert_ignore, latest_per_key, upsert
 from tallyfold.schemas import SOURCE_TABLES, star_tables
-from tallyfold.session import side_by_side
+from tallyfold.session import scratch, side_by_side, stage
 from tallyfold.sources.store import TableStore, Transaction
 
 MARK_TABLE = "etl_watermarks"
@@ -66,7 +67,9 @@ class Load:
     `source` is a store of the source tables, of which only folders with new
     rows are read, or a function from stream name to DataFrame. `overlap` is subtracted
     from the marks to catch rows committed late. `newest_only` keeps the newest
-    row of each key, for sources that hold several versions of a row.
+    row of each key, for sources that hold several versions of a row, and leaves
+    alone what the star has from a newer one. `every_row` takes all rows of the
+    source whatever their stamp, for sources that give each row once.
     `on_unresolved` receives the rows that found no dimension row.
     """
 
@@ -74,6 +77,7 @@ class Load:
     source: TableStore | Callable[[str], DataFrame]
     overlap: timedelta = timedelta(0)
     newest_only: bool = False
+    every_row: bool = False
     on_unresolved: Callable[[str, DataFrame], None] | None = None
     rows: dict[str, int] = field(default_factory=dict)
     _marks: tuple[Transaction | None, dict[str, datetime]] = (None, {})
@@ -93,6 +97,8 @@ class Load:
         low = self.low(tx, stream)
         if low is None:
             return tx.spark.createDataFrame([], SOURCE_TABLES[stream].schema)
+        if self.every_row:
+            return self.source.read(stream) if isinstance(self.source, TableStore) else self.source(stream)
         if isinstance(self.source, TableStore):
             rows = self.source.read(stream, since=low.isoformat(sep=" "))
         else:
@@ -104,7 +110,7 @@ def _load_dimension(load: Load, tx: Transaction, stream: str, table: str, projec
     batch = project(load.changes(tx, stream, "updated_at"))
     if load.newest_only:
         batch = latest_per_key(batch, tx.table(table).natural_key, "updated_at")
-    load.rows[table] = upsert(tx, table, batch)
+    load.rows[table] = upsert(tx, table, stage(batch, table), newer=load.newest_only)
 
 
 def load_dim_client(load: Load, tx: Transaction) -> None:
@@ -130,11 +136,13 @@ def load_fact_invoice(load: Load, tx: Transaction) -> None:
     if load.newest_only:
         changed = latest_per_key(changed, "invoice_id", "updated_at")
     sellers, clients = tx.read("dim_seller"), tx.read("dim_client")
-    resolved = star.resolve_invoice_keys(changed, sellers, clients)
     if load.on_unresolved:
+        changed = stage(changed, "invoices")
         load.on_unresolved("invoices", star.unresolved_invoices(changed, sellers, clients))
+    # Staged once: dates, counts, the merge and the new rows all read what was read and joined here.
+    resolved = stage(star.resolve_invoice_keys(changed, sellers, clients), "resolved")
     ensure_dates(tx, resolved.select("invoice_date"))
-    load.rows["fact_invoice"] = upsert(tx, "fact_invoice", star.project_invoice(resolved))
+    load.rows["fact_invoice"] = upsert(tx, "fact_invoice", star.project_invoice(resolved), newer=load.newest_only)
 
 
 def append_fact(load: Load, tx: Transaction, table: str, stream: str, rows: DataFrame, source_id: str) -> int:
@@ -142,17 +150,23 @@ def append_fact(load: Load, tx: Transaction, table: str, stream: str, rows: Data
 
     In append mode a row read twice is stored twice. In idempotent mode rows
     whose source id is stored are left out; a stored copy carries the same
-    creation stamp, so only folders that reach up to the mark are searched.
+    creation stamp, so only folders that reach up to the mark are searched, or
+    up to the oldest row where rows come whatever their stamp. The rows are
+    staged once; they are counted and numbered as stored there.
     """
     key = tx.table(table).key
+    rows = stage(rows, table)
     if load.idempotent:
         low = load.low(tx, stream)
+        if low is not None and load.every_row:
+            low = rows.agg(F.min("created_at")).first()[0]
         if low is None:
             return 0
         stored = changed_since(tx.read(table, since=low.isoformat(sep=" ")), "created_at", low)
         if load.newest_only:
             rows = rows.dropDuplicates([source_id])
-        rows = rows.join(stored.select(source_id), source_id, "left_anti")
+        if stored.limit(1).count():
+            rows = stage(rows.join(stored.select(source_id), source_id, "left_anti"), table)
     found = IdRange.of(rows, source_id)
     if not found.rows:
         return 0
@@ -169,13 +183,14 @@ def load_fact_item(load: Load, tx: Transaction) -> None:
     changed = load.changes(tx, "invoice_items", "created_at")
     products = tx.read("dim_product")
     if load.on_unresolved:
+        changed = stage(changed, "items")
         load.on_unresolved("invoice_items", star.unresolved_items(changed, products))
     rows = star.project_item(star.resolve_item_keys(changed, products))
     load.rows["fact_invoice_item"] = append_fact(load, tx, "fact_invoice_item", "invoice_items", rows, "item_id")
 
 
 def load_fact_payment(load: Load, tx: Transaction) -> None:
-    changed = load.changes(tx, "payments", "created_at")
+    changed = stage(load.changes(tx, "payments", "created_at"), "payments")
     ensure_dates(tx, changed.select("payment_date"))
     rows = star.project_payment(changed)
     load.rows["fact_payment"] = append_fact(load, tx, "fact_payment", "payments", rows, "payment_id")
@@ -188,29 +203,31 @@ def _advance(tx: Transaction, streams, batch_ts) -> None:
 def load_dimensions(load: Load, batch_ts: datetime | str | None = None) -> int:
     """All dimensions and their marks, published together."""
     batch_ts = batch_ts or utc_now()
-    tx = load.star.begin()
-    side_by_side(
-        lambda: load_dim_client(load, tx),
-        lambda: load_dim_seller(load, tx),
-        lambda: load_dim_product(load, tx),
-    )
-    _advance(tx, DIMENSION_STREAMS, batch_ts)
-    return tx.commit()
+    with scratch(load.star.spark):
+        tx = load.star.begin()
+        side_by_side(
+            lambda: load_dim_client(load, tx),
+            lambda: load_dim_seller(load, tx),
+            lambda: load_dim_product(load, tx),
+        )
+        _advance(tx, DIMENSION_STREAMS, batch_ts)
+        return tx.commit()
 
 
 def load_facts(load: Load, batch_ts: datetime | str | None = None) -> int:
     """All facts, their dates and their marks, published together."""
     batch_ts = batch_ts or utc_now()
-    tx = load.star.begin()
+    with scratch(load.star.spark):
+        tx = load.star.begin()
 
-    def dated() -> None:
-        # One after the other, as both add to the date dimension.
-        load_fact_invoice(load, tx)
-        load_fact_payment(load, tx)
+        def dated() -> None:
+            # One after the other, as both add to the date dimension.
+            load_fact_invoice(load, tx)
+            load_fact_payment(load, tx)
 
-    side_by_side(dated, lambda: load_fact_item(load, tx))
-    _advance(tx, FACT_STREAMS, batch_ts)
-    return tx.commit()
+        side_by_side(dated, lambda: load_fact_item(load, tx))
+        _advance(tx, FACT_STREAMS, batch_ts)
+        return tx.commit()
 
 
 def run_cycle(

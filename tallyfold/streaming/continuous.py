@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import timedelta
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -49,7 +47,7 @@ def run_stream(
     folders: dict[str, str],
     checkpoint: str,
     interval: str | None = "5 minutes",
-    overlap: timedelta = timedelta(hours=1),
+    on_unresolved: Callable[[str, DataFrame], None] | None = None,
     retries: int = 1,
     retry_delay: float = 120.0,
     files_per_trigger: int | None = None,
@@ -58,14 +56,16 @@ def run_stream(
     """Start the continuous cycle; `interval=None` takes what is there and stops.
 
     A missed interval is not made up for: the next batch holds all files that
-    arrived. Batches may be repeated after a failure, so the star should be in
-    idempotent mode. A row is stamped before its file arrives; `overlap` must
-    exceed that delay, or the mark, which moves to the time of the batch,
-    shuts the row out.
+    arrived. The checkpoint gives each file once, so every row is taken
+    whatever its stamp; an older version of a row never replaces a newer one.
+    Batches may be repeated after a failure, so the star should be in idempotent
+    mode. `on_unresolved` receives the rows that found no dimension row.
     """
 
     def cycle(batch: DataFrame, _number: int) -> None:
-        load = Load(star, lambda name: rows_of(batch, name), overlap=overlap, newest_only=True)
+        load = Load(
+            star, lambda name: rows_of(batch, name), newest_only=True, every_row=True, on_unresolved=on_unresolved
+        )
         run_cycle(load, clock(), retries=retries, retry_delay=retry_delay)
 
     writer = (
