@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyfold.operators import dml
+from tallyfold.operators import dml, quality
 from tallyfold.operators.keys import assign_keys, assign_keys_by_range
 from tallyfold.operators.merge import get_or_create, insert_ignore, latest_per_key, upsert_frame
 from tallyfold.plans import fixtures
 from tallyfold.plans.ingest import open_source
 from tallyfold.queries.reads import numbered_items
-from tallyfold.queries.registry import once, query, with_sources
+from tallyfold.queries.registry import SQL, once, query, with_sources
 from tallyfold.schemas import INVOICES
 from tallyfold.session import fresh_path
 
@@ -177,18 +177,43 @@ def delete_rows(spark, folder):
     return dml.delete_where(fixtures.invoices(spark, folder), F.col("seller_id") < 50)
 
 
+ALL_PRODUCTS = """
+every AS (
+  SELECT * FROM products
+  UNION ALL
+  SELECT 1000000000 + n_nationkey, n_name, CASE WHEN n_regionkey = 0 THEN 'PROMO' ELSE 'NATION' END,
+         CAST(n_nationkey + 1 AS DECIMAL(12,2)), CAST(10.00 AS DECIMAL(5,2)), TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-01'
+  FROM nation)"""
+
+
+def _every_product(spark, folder):
+    """The products, and one for each nation that no item refers to."""
+    products = fixtures.products(spark, folder)
+    made = F.lit("2024-01-01").cast("timestamp_ntz")
+    unsold = fixtures.raw(spark, folder, "nation").select(
+        (F.col("n_nationkey") + 1_000_000_000).alias("product_id"),
+        F.col("n_name").alias("product_name"),
+        F.when(F.col("n_regionkey") == 0, "PROMO").otherwise("NATION").alias("product_description"),
+        (F.col("n_nationkey") + 1).alias("unit_price"),
+        F.lit("10.00").alias("vat_rate"),
+        made.alias("created_at"),
+        made.alias("updated_at"),
+    )
+    return products.unionByName(unsold.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in products.schema)))
+
+
 @query(
     "restrict_blockers",
     with_sources(
         "products",
+        then=ALL_PRODUCTS,
         select="""
-SELECT * FROM products WHERE product_description = 'PROMO' AND product_id IN (
-  SELECT l_partkey FROM lineitem WHERE l_quantity = 50)""",
+SELECT * FROM every WHERE product_description = 'PROMO' AND product_id IN (SELECT l_partkey FROM lineitem)""",
     ),
 )
 def blockers(spark, folder):
-    items = fixtures.invoice_items(spark, folder, numbered=False).where("item_qty = 50")
-    doomed = fixtures.products(spark, folder).where("product_description = 'PROMO'")
+    items = fixtures.invoice_items(spark, folder, numbered=False)
+    doomed = _every_product(spark, folder).where("product_description = 'PROMO'")
     return dml.restrict_blockers(doomed, "product_id", items, "product_id")
 
 
@@ -196,12 +221,13 @@ def blockers(spark, folder):
     "restrict_free",
     with_sources(
         "products",
-        select="SELECT * FROM products WHERE product_id NOT IN (SELECT l_partkey FROM lineitem WHERE l_quantity = 50)",
+        then=ALL_PRODUCTS,
+        select="SELECT * FROM every WHERE product_id NOT IN (SELECT l_partkey FROM lineitem)",
     ),
 )
 def free(spark, folder):
-    items = fixtures.invoice_items(spark, folder, numbered=False).where("item_qty = 50")
-    return dml.without_children(fixtures.products(spark, folder), "product_id", items.select("product_id"))
+    items = fixtures.invoice_items(spark, folder, numbered=False)
+    return dml.without_children(_every_product(spark, folder), "product_id", items.select("product_id"))
 
 
 # -- a stored source model, changed -----------------------------------------
@@ -316,3 +342,15 @@ def touched(spark, folder):
     """An update that changes nothing still touches its rows."""
     same = dml.update_where(fixtures.clients(spark, folder), F.lit(True), {"iban": F.col("iban")}, NOW)
     return same.select("client_id", "updated_at")
+
+
+@query("restrict_delete_refused", SQL["stored_update_insert"])
+def restrict_delete_refused(spark, folder):
+    """Products that items name cannot be deleted, those without items among them included: all rows stay."""
+    store = _stored(spark, folder)
+    tx = store.begin()
+    try:
+        dml.delete(tx, "products", F.lit(True))
+    except quality.ConstraintError:
+        return tx.read("products")
+    raise AssertionError("the delete was not refused")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tallyfold.functions.calendar import stamp
 from tallyfold.operators import reads
 from tallyfold.plans import fixtures
-from tallyfold.plans.cycle import Load, init_marks, init_star, load_dimensions, open_star, reset_star, run_cycle
+from tallyfold.plans.cycle import Load, init_marks, init_star, open_star, reset_star, run_cycle
 from tallyfold.queries.reads import numbered_items
 from tallyfold.queries.registry import once, query, with_sources
 from tallyfold.schemas import SOURCE_TABLES
@@ -316,16 +316,20 @@ def marks_after_cycle(spark, folder):
 
 @query(
     "cycle_twice",
-    """
-SELECT 'clients' AS stream, (SELECT count(*) FROM customer) AS n
-UNION ALL SELECT 'invoice_items', (SELECT count(*) FROM lineitem)
-UNION ALL SELECT 'invoices', (SELECT count(DISTINCT l_orderkey) FROM lineitem JOIN orders ON o_orderkey = l_orderkey)
-UNION ALL SELECT 'payments', (SELECT count(*) FROM events)
-UNION ALL SELECT 'products', (SELECT count(*) FROM part)
-UNION ALL SELECT 'sellers', (SELECT count(*) FROM supplier)""",
-)
+    with_sources(
+        "clients", "sellers", "products", "invoices", "invoice_items", "payments",
+        then="linked AS (SELECT i.* FROM invoices i JOIN sellers USING (seller_id) JOIN clients USING (client_id))",
+        select="""
+SELECT 'clients' AS stream, client_id AS id, client_name || '|' || client_tax_id AS value FROM clients
+UNION ALL SELECT 'sellers', seller_id, seller_name || '|' || seller_tax_id FROM sellers
+UNION ALL SELECT 'products', product_id, product_name || '|' || CAST(unit_price AS VARCHAR) FROM products
+UNION ALL SELECT 'invoices', invoice_id, invoice_no || '|' || CAST(total_gross_worth AS VARCHAR) FROM linked
+UNION ALL SELECT 'invoice_items', item_id, CAST(item_qty AS VARCHAR) || '|' || CAST(item_gross_worth AS VARCHAR) FROM invoice_items
+UNION ALL SELECT 'payments', payment_id, payment_reference || '|' || CAST(amount AS VARCHAR) FROM payments""",
+    ),
+)
 def cycle_twice(spark, folder):
-    """Two cycles over the same unchanged source, with marks before all rows, store each row once."""
+    """Two cycles over the same unchanged source, with marks before all rows, store each row once, with its values."""
     star = open_star(spark, fresh_path(spark, "star-twice"), block_rows=BLOCK_ROWS)
     init_star(star)
     init_marks(star)
@@ -336,19 +340,20 @@ def cycle_twice(spark, folder):
     for _ in range(2):
         run_cycle(Load(star, table), "1950-01-01 00:00:00", retries=0)
     stored = {
-        "clients": "dim_client",
-        "sellers": "dim_seller",
-        "products": "dim_product",
-        "invoices": "fact_invoice",
-        "invoice_items": "fact_invoice_item",
-        "payments": "fact_payment",
+        "clients": ("dim_client", "client_id", "client_name", "client_tax_id"),
+        "sellers": ("dim_seller", "seller_id", "seller_name", "seller_tax_id"),
+        "products": ("dim_product", "product_id", "product_name", "unit_price"),
+        "invoices": ("fact_invoice", "invoice_id", "invoice_no", "total_gross"),
+        "invoice_items": ("fact_invoice_item", "item_id", "qty", "gross_worth"),
+        "payments": ("fact_payment", "payment_id", "reference", "amount"),
     }
-    counts = [
-        star.read(t).agg(F.lit(stream).alias("stream"), F.count("*").alias("n")) for stream, t in stored.items()
+    parts = [
+        star.read(t).select(F.lit(stream).alias("stream"), F.col(i).alias("id"), F.concat_ws("|", a, b).alias("value"))
+        for stream, (t, i, a, b) in stored.items()
     ]
-    union = counts[0]
-    for c in counts[1:]:
-        union = union.unionByName(c)
+    union = parts[0]
+    for part in parts[1:]:
+        union = union.unionByName(part)
     return union
 
 
@@ -367,15 +372,43 @@ def verify_newest(spark, folder):
     return found.select("client_key", "client_id", "client_name", "updated_at")
 
 
-@query("star_reset", "SELECT count(*) AS n FROM region WHERE false")
+@query(
+    "star_reset",
+    with_sources(
+        "clients", "sellers", "products", "invoices", "invoice_items", "payments",
+        then="""linked AS (SELECT i.* FROM invoices i JOIN sellers USING (seller_id) JOIN clients USING (client_id)),
+days AS (SELECT invoice_date AS d FROM linked UNION SELECT payment_date FROM payments)""",
+        select="""
+SELECT 'dim_client' AS name, count(*) AS before, 0 AS after FROM clients
+UNION ALL SELECT 'dim_seller', count(*), 0 FROM sellers
+UNION ALL SELECT 'dim_product', count(*), 0 FROM products
+UNION ALL SELECT 'dim_date', count(*), 0 FROM days
+UNION ALL SELECT 'fact_invoice', count(*), 0 FROM linked
+UNION ALL SELECT 'fact_invoice_item', count(*), 0 FROM invoice_items
+UNION ALL SELECT 'fact_payment', count(*), 0 FROM payments
+UNION ALL SELECT 'etl_watermarks', 6, 0""",
+    ),
+)
 def star_reset(spark, folder):
-    """After a reset no client is left, although the source has them all."""
+    """Rows of all eight tables before and after a reset."""
+    root = _landed(spark, folder)
     star = open_star(spark, fresh_path(spark, "star-reset"), block_rows=BLOCK_ROWS)
     init_star(star)
     init_marks(star)
-    load_dimensions(Load(star, lambda name: fixtures.READERS[name](spark, folder)), FIRST)
+    run_cycle(Load(star, lambda name: read_source(spark, root, name)), FIRST, retries=0)
+    full = star.latest()
     reset_star(star)
-    return star.read("dim_client").agg(F.count("*").alias("n"))
+
+    def count(table):
+        n = F.count("*")
+        before = star.read(table, full).agg(F.lit(table).alias("name"), n.alias("before"))
+        return before.crossJoin(star.read(table).agg(n.cast("int").alias("after")))
+
+    counts = [count(t) for t in star.tables]
+    union = counts[0]
+    for c in counts[1:]:
+        union = union.unionByName(c)
+    return union
 
 
 def _landed(spark, folder):
@@ -421,3 +454,72 @@ def stream_fact_invoice(spark, folder):
     run = run_stream(spark, star, folders, fresh_path(spark, "stream-state"), interval=None, retries=0)
     run.awaitTermination()
     return star.read("fact_invoice")
+
+
+LATE = "2020-01-01 00:00:00"
+
+
+def _streamed_twice(spark, folder):
+    """A second landing behind the first: an older version of every client and a newer one of some, every payment once
+    more, and as many new payments stamped long before the first mark."""
+
+    def build():
+        landed, root = _landed(spark, folder), fresh_path(spark, "landed-twice")
+        star = open_star(spark, fresh_path(spark, "star-stream-twice"), block_rows=BLOCK_ROWS)
+        init_star(star)
+        init_marks(star)
+        state = fresh_path(spark, "stream-twice-state")
+
+        def land(name, rows):
+            rows.write.mode("append").parquet(f"{root}/{name}")
+
+        def take():
+            folders = {name: f"{root}/{name}" for name in SOURCE_TABLES}
+            run_stream(spark, star, folders, state, interval=None, retries=0).awaitTermination()
+
+        for name, table in SOURCE_TABLES.items():
+            land(name, spark.read.schema(table.schema).parquet(f"{landed}/{name}"))
+        take()
+        clients, payments = fixtures.clients(spark, folder), fixtures.payments(spark, folder)
+        older = {"client_name": F.lit("old"), "updated_at": stamp("2023-01-01 00:00:00")}
+        newer = {"client_name": F.concat("client_name", F.lit(" v2")), "updated_at": stamp(CHANGED)}
+        land("clients", clients.withColumns(older))
+        land("clients", clients.where(TOUCHED["clients"]).withColumns(newer))
+        land("payments", payments)
+        late = {"payment_id": F.col("payment_id") + 1_000_000_000, "created_at": stamp(LATE)}
+        land("payments", payments.withColumns(late))
+        take()
+        return star
+
+    return once(spark, "streamed-twice", folder, build)
+
+
+@query(
+    "stream_increment_client",
+    with_sources(
+        "clients",
+        select=f"""
+SELECT row_number() OVER (ORDER BY client_id) AS client_key, client_id,
+       CASE WHEN {TOUCHED["clients"]} THEN client_name || ' v2' ELSE client_name END AS client_name,
+       CASE WHEN {TOUCHED["clients"]} THEN TIMESTAMP '{CHANGED}' ELSE updated_at END AS updated_at
+FROM clients""",
+    ),
+)
+def stream_increment_client(spark, folder):
+    return _streamed_twice(spark, folder).read("dim_client").select("client_key", "client_id", "client_name", "updated_at")
+
+
+@query(
+    "stream_increment_payment",
+    with_sources(
+        "payments",
+        select=f"""
+SELECT row_number() OVER (ORDER BY payment_id) AS payment_key, payment_id, invoice_id, amount, created_at
+FROM (SELECT payment_id, invoice_id, amount, created_at FROM payments
+      UNION ALL
+      SELECT payment_id + 1000000000, invoice_id, amount, TIMESTAMP '{LATE}' FROM payments)""",
+    ),
+)
+def stream_increment_payment(spark, folder):
+    found = _streamed_twice(spark, folder).read("fact_payment")
+    return found.select("payment_key", "payment_id", "invoice_id", "amount", "created_at")

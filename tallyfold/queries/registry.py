@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyfold.session import outside_scratch
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -29,7 +31,8 @@ def once(spark: SparkSession, name: str, folder: str, build: Callable[[], object
     """Result of `build`, made once per session, name and data folder."""
     key = (spark.sparkContext.applicationId, name, folder)
     if key not in _kept:
-        _kept[key] = build()
+        with outside_scratch():
+            _kept[key] = build()
     return _kept[key]
 
 

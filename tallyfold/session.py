@@ -74,6 +74,16 @@ def scratch(spark: SparkSession):
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+@contextmanager
+def outside_scratch():
+    """What is staged inside stays, whatever job is under way."""
+    token = _scratch.set(None)
+    try:
+        yield
+    finally:
+        _scratch.reset(token)
+
+
 def stage(df, name: str = "stage"):
     """Write once, read back: cuts lineage and survives the loss of any executor.
 

@@ -203,6 +203,18 @@ def test_violations_cover_all_rules(store):
     ].count() == 1
 
 
+def test_key_updates_are_checked(spark, store):
+    tx = store.begin()
+    with pytest.raises(ConstraintError):  # invoices name seller 1
+        dml.update(tx, "sellers", F.col("seller_id") == 1, {"seller_id": F.lit(2)}, LATER)
+    with pytest.raises(ConstraintError):  # product 2 exists
+        dml.update(tx, "products", F.col("product_id") == 1, {"product_id": F.lit(2)}, LATER)
+    put(tx, "products", [("loose", D("1"))], "product_name string, unit_price decimal(12,2)")
+    dml.update(tx, "products", F.col("product_name") == "loose", {"product_id": F.lit(90)}, LATER)
+    assert sorted(r[0] for r in tx.read("products").select("product_id").collect()) == [1, 2, 3, 90]
+    assert tx.high_key("products") == 90
+
+
 def test_new_client_reaches_the_dimension_first(store, spark, tmp_path):
     """The manual check: a demo client is inserted, a cycle later it is the newest."""
     star = open_star(spark, str(tmp_path / "star"))

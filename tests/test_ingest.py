@@ -224,6 +224,54 @@ def test_payments_set_the_status(spark, root):
     ]
 
 
+def test_left_out_items_and_payments_are_recorded(spark, root):
+    docs = [document("1", items=[item("a"), item("b", qty="x"), item("c", price="y")])]
+    payments = spark.createDataFrame(
+        [("1", "CASH", D("1.00")), ("1", "WIRE", D("2.00")), ("9", "CASH", D("3.00"))],
+        "invoice_no string, payment_method string, amount decimal(14,2)",
+    )
+    store, _ = load(spark, root, docs, "item", payments=payments)
+    assert values(store, "rejected_items", "line_no", "pos", "product_name", "reason") == [
+        (1, 1, "b", "item_qty is no number text"),
+        (1, 2, "c", "item_net_price is no number text"),
+    ]
+    assert values(store, "rejected_payments", "invoice_no", "amount", "reason") == [
+        ("1", "2.00", "payment_method_known fails"),
+        ("9", "3.00", "invoice_no refers to no invoice"),
+    ]
+    assert values(store, "payments", "payment_id", "amount") == [(1, D("1.00"))]
+
+
+def test_product_rules_matter_only_for_new_products(spark, root):
+    """An item that is left out anyway may name a price that fits no column, if its product exists by then."""
+    far = "99999999999"
+    docs = [
+        document("1", items=[item("p", price=far, qty="x")]),  # p does not exist yet
+        document("2", items=[item("p")]),
+        document("3", items=[item("p", price=far, qty="x"), item("q")]),  # now it does
+        document("4", items=[item("r"), item("r", price=far, qty="x")]),  # made by the item before
+        document("5", items=[item("s", price=far, qty="x"), item("s")]),
+        # In question itself, but stands, and so makes t known.
+        document("6", items=[item("p", price=far, qty="x"), item("t")]),
+        document("7", items=[item("t", price=far, qty="x")]),
+        document("8", items=[item("p", price=far)]),  # the item itself fits no column
+    ]
+    store, _ = load(spark, root, docs, "item")
+    assert values(store, "invoices", "invoice_no") == [("2",), ("3",), ("4",), ("6",), ("7",)]
+    assert values(store, "products", "product_name") == [("p",), ("q",), ("r",), ("t",)]
+    out_of_range = "item_net_price is out of range"
+    assert values(store, "rejected_lines", "line_no", "reason") == [(1, out_of_range), (5, out_of_range), (8, out_of_range)]
+    assert values(store, "rejected_items", "line_no", "pos") == [(3, 0), (4, 1), (6, 0), (7, 0)]
+
+
+def test_worths_are_exact(spark, root):
+    docs = [document("1", items=[item("a", qty="2,9999996", price="1000000"), item("b", qty="1", price="1000000", item_vat="8.33333%")])]
+    store, _ = load(spark, root, docs)
+    found = [r[0] for r in store.read("invoice_items").orderBy("item_id").select("item_net_worth").collect()]
+    assert found == [D("2999999.60"), D("1000000.00")]
+    assert store.read("invoice_items").where("item_id = 2").first()["item_gross_worth"] == D("1083333.30")
+
+
 def test_names_matter_only_for_new_parties(spark, root):
     """A name that could not be stored is no fault when the party exists already."""
     long = "n" * 256
