@@ -31,6 +31,20 @@ def first_per_key(df: DataFrame, key: str, order: Column) -> DataFrame:
     return df.groupBy(key).agg(first).select(key, *(F.col(f"_first.`{c}`").alias(c) for c in rest))
 
 
+def first_rows(df: DataFrame, key: str, order: str, then: str | None = None) -> DataFrame:
+    """The row with the least place for each key; the long `order`, with the int `then`, identifies a row.
+
+    Only key and place are aggregated, which one number per key and task can do in a hash table; the rows are then
+    fetched by their place, wherever they lie. Nothing is sorted.
+    """
+    place = F.col(order)
+    if then:
+        place = (place.cast("decimal(20,0)") * F.lit(1 << 31) + F.col(then)).cast("decimal(38,0)")
+    placed = df.withColumn("_place", place)
+    least = placed.groupBy(key).agg(F.min("_place").alias("_place")).select("_place")
+    return placed.join(least, "_place", "left_semi").select(*df.columns)
+
+
 def latest_per_key(df: DataFrame, key: str, stamp_column: str) -> DataFrame:
     """The newest row of each key; rows with one stamp are ranked by their values."""
     rest = [c for c in df.columns if c != key]
@@ -96,12 +110,14 @@ def find_or_create(
     """`get_or_create` on a stored table: ids by natural key for all candidates.
 
     Only the key and id of the table are scanned, once; the result is no
-    larger than the candidates. `complete` adds the remaining columns to the
+    larger than the candidates. `order`, with the int column `then` if there is
+    one, identifies a candidate. `complete` adds the remaining columns to the
     new rows.
     """
     table = tx.table(name)
     natural_key, id_column = table.natural_key, table.key
-    firsts = _first_candidates(candidates, natural_key, order, then)
+    named = candidates.where(F.col(natural_key).isNotNull())
+    firsts = stage(first_rows(named, natural_key, order, *then), "firsts")
     known = known_rows(tx.read(name).select(natural_key, id_column), firsts, natural_key)
     known = stage(known.groupBy(natural_key).agg(F.min(id_column).alias(id_column)), "known")
     new = firsts.join(known, natural_key, "left_anti")

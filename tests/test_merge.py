@@ -94,3 +94,12 @@ def test_lookup_never_matches_null(spark):
     df = spark.createDataFrame([("a",), (None,), ("z",)], "k string")
     got = {r["k"]: r["id"] for r in merge.lookup_ids(df, table, "k", "id").collect()}
     assert got == {"a": 1, None: None, "z": None}
+
+
+def test_first_rows_aggregate_without_sorting(spark):
+    rows = [("k", 2, 0, "b"), ("k", 1, 5, None), ("k", 1, 3, "x"), ("l", 3, 0, "c"), ("m", 1 << 40, 2, "d"), ("m", 1 << 40, 1, "e")]
+    df = spark.createDataFrame(rows, "k string, o long, p int, a string")
+    got = {r["k"]: r["a"] for r in merge.first_rows(df, "k", "o", "p").collect()}
+    assert got == {"k": "x", "l": "c", "m": "e"}
+    plan = merge.first_rows(df, "k", "o", "p")._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
