@@ -399,16 +399,15 @@ def star_reset(spark, folder):
     full = star.latest()
     reset_star(star)
 
-    def count(table):
-        n = F.count("*")
-        before = star.read(table, full).agg(F.lit(table).alias("name"), n.alias("before"))
-        return before.crossJoin(star.read(table).agg(n.cast("int").alias("after")))
-
-    counts = [count(t) for t in star.tables]
-    union = counts[0]
-    for c in counts[1:]:
-        union = union.unionByName(c)
-    return union
+    def rows(table, version, column):
+        return star.read(table, version).select(F.lit(table).alias("name"), F.lit(column).alias("column"))
+
+    parts = [rows(t, v, c) for t in star.tables for v, c in ((full, "before"), (None, "after"))]
+    union = parts[0]
+    for part in parts[1:]:
+        union = union.unionByName(part)
+    n = [F.count_if(F.col("column") == c) for c in ("before", "after")]
+    return union.groupBy("name").agg(n[0].alias("before"), n[1].cast("int").alias("after"))
 
 
 def _landed(spark, folder):
