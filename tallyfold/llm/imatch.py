@@ -98,17 +98,19 @@ def fingerprint(found: np.ndarray, words: np.ndarray) -> str:
     at[at == len(words)] = 0
     kept = found[words[at] == found] if len(words) else found[:0]
     if not len(kept):
-        return _hash(found) * len(_LIMITS)
+        return _hash(found.tobytes()) * len(_LIMITS)
     # A term is in a subset if its hash under the subset's multiplier is below the density.
     mixed = kept[:, None] * _MULTIPLIERS
     mixed ^= mixed >> np.uint64(32)
     mixed *= _MULTIPLIERS
-    inside = mixed <= _LIMITS
-    return "".join(_hash(kept[column]) if column.any() else EMPTY for column in inside.T)
+    subset, member = np.nonzero((mixed <= _LIMITS).T)
+    members = kept[member].tobytes()
+    edges = (8 * np.searchsorted(subset, np.arange(len(_LIMITS) + 1))).tolist()
+    return "".join(_hash(members[a:b]) if a < b else EMPTY for a, b in zip(edges, edges[1:]))
 
 
-def _hash(hashes: np.ndarray) -> str:
-    return f"{xxhash.xxh3_64_intdigest(hashes.tobytes(), SEED) % (16**DIGITS - 1) + 1:0{DIGITS}x}"
+def _hash(members: bytes) -> str:
+    return f"{xxhash.xxh3_64_intdigest(members, SEED) % (16**DIGITS - 1) + 1:0{DIGITS}x}"
 
 
 def likeness(a: str, b: str) -> float:
