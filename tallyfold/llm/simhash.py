@@ -144,10 +144,13 @@ def keep_one(docs: DataFrame, identity: str = "doc_id", text: str = "text", **pa
     Among rows of that id the least text hash stays, and of rows that also share their text one; null ids come last.
     """
     found = near_duplicates(docs, identity, text, **parameters)
-    first = F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "mark"))
-    kept = stage(found.groupBy("root").agg(first.alias("first")).select("first.id", "first.mark"), "kept")
+    unnamed = F.col("id").isNull().alias("unnamed")
+    first = F.min(F.struct(unnamed, F.coalesce("id", F.lit(0)).alias("id"), "mark"))
+    kept = stage(found.groupBy("root").agg(first.alias("first")).select("first.*"), "kept")
     rows = docs.select(F.struct("*").alias("row"), _identity(identity), _mark(text))
-    both = rows["id"].eqNullSafe(kept["id"]) & (rows["mark"] == kept["mark"])
-    order = Window.partitionBy("id", "mark").orderBy(F.xxhash64("row"))
-    single = rows.join(kept, both, "left_semi").withColumn("copy", F.row_number().over(order)).where("copy = 1")
+    # Plain equality of keys without nulls: the join and the window share one shuffle of the texts.
+    name = ["unnamed", "id", "mark"]
+    rows = rows.select("row", unnamed, F.coalesce("id", F.lit(0)).alias("id"), "mark")
+    order = Window.partitionBy(*name).orderBy(F.xxhash64("row"))
+    single = rows.join(kept, name, "left_semi").withColumn("copy", F.row_number().over(order)).where("copy = 1")
     return single.select("row.*")
