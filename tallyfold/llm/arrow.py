@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+PART = 1024  # rows
+
+
 def by_batch(df: DataFrame, work: Callable[[pa.RecordBatch], dict], schema: str) -> DataFrame:
     """Applies `work` to every batch; it returns a column list for each column of `schema`."""
     return df.mapInArrow(_Mapper(work, df.sparkSession, schema), schema)
@@ -23,8 +26,9 @@ class _Mapper:
         self.work, self.schema = work, to_arrow_schema(_parse_datatype_string(schema))
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            columns = self.work(batch)
+        # A part of a batch at a time, so that few of its texts are Python objects at once.
+        for part in (batch.slice(s, PART) for batch in batches for s in range(0, batch.num_rows, PART)):
+            columns = self.work(part)
             yield pa.RecordBatch.from_arrays(
                 [_array(columns[f.name], f.type) for f in self.schema], schema=self.schema
             )
