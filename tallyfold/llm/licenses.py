@@ -3,10 +3,11 @@
 Texts and templates are cut into words (runs of letters and digits, lower case) and these into shingles of five words; a
 template of fewer words is one shingle. Templates are sorted into size classes, a factor of 1.5 apart. For a class of
 size c a text is cut into windows of 1.5 c shingles, one every c / 2: a notice of up to c shingles always lies whole
-in some window. A window and a template that share at least 0.8 of the template's shingles have a Jaccard similarity
-of at least 0.8 / (1.5 * 1.5 + 0.2) = 0.33, and each of the `BANDS` bands, one min-hash each, collides with that
-probability: the chance that none does is below 1e-4. Templates whose bands collide are verified by the exact share of
-their shingles that the window holds.
+in some window. Each band, one min-hash each, collides with a probability of the Jaccard similarity J of window and
+template, and a class has as many bands as keep the chance that none does, (1 - J) ** bands, below `MISS`. J is the least
+that a window can have with a template of the class of which it holds `least`: from about 0.33 in most classes, where a
+template fills two thirds of its class, down to 1/6 in the first, whose windows have six shingles for templates of one.
+Templates whose bands collide are verified by the exact share of their shingles that the window holds.
 
 A band collides only if the window holds the very shingle of the template that has the least hash there. Windows
 without any such shingle are left out before anything is hashed for them, which loses nothing.
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 
 SHINGLE = 5
 CONTAINED = 0.8
-BANDS = 24
+MISS = 1e-4
 SMALLEST = 4
 
 # Notices by which public licences are granted.
@@ -83,18 +84,18 @@ def _hashes(words: str, k: int) -> Column:
     return _shingles(words, k, lambda i: F.xxhash64(*[F.element_at(words, i + j) for j in range(k)]))
 
 
-def _bands(hashes: Column) -> Column:
+def _bands(hashes: Column, bands: Column | int) -> Column:
     """For each band the least hash of the shingles, mixed with the band's number so that bands stay apart."""
     return F.transform(
-        F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda j: F.array_min(F.transform(hashes, lambda h: F.xxhash64(h, j)))
+        F.sequence(F.lit(0), F.lit(bands) - 1), lambda j: F.array_min(F.transform(hashes, lambda h: F.xxhash64(h, j)))
     )
 
 
-def _decisive(hashes: Column) -> Column:
+def _decisive(hashes: Column, bands: Column | int) -> Column:
     """For each band the shingle that has the least hash."""
     pair = lambda h, j: F.struct(F.xxhash64(h, j).alias("value"), h.alias("hash"))
     return F.transform(
-        F.sequence(F.lit(0), F.lit(BANDS - 1)),
+        F.sequence(F.lit(0), F.lit(bands) - 1),
         lambda j: F.array_min(F.transform(hashes, lambda h: pair(h, j)))["hash"],
     )
 
@@ -106,25 +107,39 @@ def size_class(shingles: int) -> int:
     return size
 
 
+def bands_of(shingles: int, least: float) -> int:
+    """Bands that find a template in any window of its class that holds `least` of it, but for a chance of `MISS`."""
+    size = size_class(shingles)
+    window = size + math.ceil(size / 2)
+    held = max(math.ceil(least * shingles - 1e-9), 1)
+    jaccard = held / (window + shingles - held)
+    return 1 if jaccard >= 1 else math.ceil(math.log(MISS) / math.log1p(-jaccard))
+
+
 def _constant(value, kind: str) -> Column:
     """A nested literal of any size as one expression."""
     return F.from_json(F.lit(json.dumps(value)), kind)
 
 
-def _library(spark: SparkSession, templates) -> list[Row]:
-    """One row per template: template, license, k, hashes and texts of its distinct shingles, bands, decisive."""
+def _library(spark: SparkSession, templates, least: float) -> tuple[list[Row], dict[tuple[int, int], int]]:
+    """One row per template: template, license, k, hashes and texts of its distinct shingles, bands, decisive; and the
+    number of bands of each class (k, size)."""
     rows = [{"template": i, "license": name, "text": text} for i, (name, text) in enumerate(templates)]
     given = spark.range(1).select(F.inline(_constant(rows, "array<struct<template:int,license:string,text:string>>")))
     cut = _computed(given, ["template", "license"], words=words_of(F.col("text")))
     sizes = {r["n"] for r in cut.select(F.size("words").alias("n")).distinct().collect()}
-    found = []
+    found, counts = [], {}
     for k in sorted({min(n, SHINGLE) for n in sizes if n}):
         own = F.size("words") == k if k < SHINGLE else F.size("words") >= k
         distinct = {"hashes": F.array_distinct(_hashes("words", k)), "texts": F.array_distinct(_texts("words", k))}
         rows = _computed(cut.where(own), ["template", "license"], **distinct)
-        bands = {"bands": _bands(F.col("hashes")), "decisive": _decisive(F.col("hashes"))}
+        for n in {r["n"] for r in rows.select(F.size("hashes").alias("n")).distinct().collect()}:
+            key = (k, size_class(n))
+            counts[key] = max(counts.get(key, 0), bands_of(n, least))
+        most = max(n for key, n in counts.items() if key[0] == k)
+        bands = {"bands": _bands(F.col("hashes"), most), "decisive": _decisive(F.col("hashes"), most)}
         found += rows.select("*", F.lit(k).alias("k"), *[c.alias(n) for n, c in bands.items()]).collect()
-    return found
+    return found, counts
 
 
 def _texts(words: str, k: int) -> Column:
@@ -146,17 +161,17 @@ def scan(
     by the plan: some hundreds are no burden.
     """
     spark = docs.sparkSession
-    # Bounded by the templates: BANDS decisive shingles each.
-    library = _library(spark, templates)
+    # Bounded by the templates: a decisive shingle for each band of each.
+    library, counts = _library(spark, templates, least)
     classes = sorted({(t["k"], size_class(len(t["hashes"]))) for t in library})
     keys = {
-        (k, size): sorted({h for t in library if (t["k"], size_class(len(t["hashes"]))) == (k, size) for h in t["decisive"]})
+        (k, size): sorted({h for t in library if (t["k"], size_class(len(t["hashes"]))) == (k, size) for h in t["decisive"][: counts[k, size]]})
         for k, size in classes
     }
     bands = [
         {"template": t["template"], "k": t["k"], "size": size_class(len(t["hashes"])), "band": j, "value": v}
         for t in library
-        for j, v in enumerate(t["bands"])
+        for j, v in enumerate(t["bands"][: counts[t["k"], size_class(len(t["hashes"]))]])
     ]
     texts = [{"template": t["template"], "license": t["license"], "texts": t["texts"]} for t in library]
     words = _computed(docs.select(F.col(identity).alias("id"), F.col(text).alias("text")), ["id"], words=words_of(F.col("text")))
@@ -167,9 +182,9 @@ def scan(
     marked = hashed.where(reduce(Column.__or__, overlaps))
 
     # All windows of all classes in one array, so that the text is cut once.
-    windows = F.concat(*[_windows(k, size, keys[k, size]) for k, size in classes])
+    windows = F.concat(*[_windows(k, size, keys[k, size], counts[k, size]) for k, size in classes])
     cut = marked.select("id", F.explode(windows).alias("w")).select("id", "w.*")
-    hashed_windows = cut.select("id", "k", "size", "start", "words", _bands(F.col("hashes")).alias("bands"))
+    hashed_windows = cut.select("id", "k", "size", "start", "words", _bands(F.col("hashes"), F.col("n")).alias("bands"))
     met = hashed_windows.select("id", "k", "size", "start", "words", F.posexplode("bands").alias("band", "value")).join(
         _rows(spark, bands, "template:int,k:int,size:int,band:int,value:bigint"), ["k", "size", "band", "value"]
     )
@@ -206,8 +221,8 @@ def _rows(spark: SparkSession, rows: list[dict], fields: str) -> DataFrame:
     return spark.range(1).select(F.inline(_constant(rows, f"array<struct<{fields}>>")))
 
 
-def _windows(k: int, size: int, keys: list[int]) -> Column:
-    """Windows of a class that hold a decisive shingle, as structs (k, size, start, hashes, words)."""
+def _windows(k: int, size: int, keys: list[int], bands: int) -> Column:
+    """Windows of a class that hold a decisive shingle, as structs (k, size, n, start, hashes, words), n bands each."""
     step, length = math.ceil(size / 2), size + math.ceil(size / 2)
     decisive = _constant(keys, "array<bigint>")
     starts = F.sequence(F.lit(0), F.greatest(F.size(f"h{k}") - 1, F.lit(0)), F.lit(step))
@@ -217,6 +232,7 @@ def _windows(k: int, size: int, keys: list[int]) -> Column:
         lambda s: F.struct(
             F.lit(k).alias("k"),
             F.lit(size).alias("size"),
+            F.lit(bands).alias("n"),
             s.alias("start"),
             F.slice(f"h{k}", s + 1, F.lit(length)).alias("hashes"),
             F.slice("words", s + 1, F.lit(length + k - 1)).alias("words"),
