@@ -20,6 +20,7 @@ from tallyfold.llm import (
     simhash,
     spherical,
     surrogates,
+    whitening,
 )
 from tallyfold.llm.common import table, word_count
 
@@ -311,6 +312,13 @@ def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     return negatives.mine(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
 
 
+@query("op12_whitening")
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    white = whitening.whiten(table(spark, folder, "embeddings"))
+    # A sum of squares may outgrow a long where there are very many rows.
+    return white.withColumnRenamed("id", "vec_id").withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
