@@ -17,6 +17,7 @@ from tallyfold.llm import (
     packing,
     passages,
     quality,
+    secret_scan,
     simhash,
     spherical,
     surrogates,
@@ -319,6 +320,23 @@ def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return white.withColumnRenamed("id", "vec_id").withColumn("deviation", F.col("deviation").try_cast("long"))
 
 
+@query("op13_secret_scan")
+def op13_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = secret_scan.scan(docs, secret_scan.train(docs))
+    base = F.filter("spans", lambda s: s["kind"] != secret_scan.FOUND)
+    told = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    counts = [count(kind) for kind in secret_scan.BASE]
+    return found.select(
+        F.col("id").alias("doc_id"),
+        *counts,
+        F.sha2(told(base), 256).alias("base_sha256"),
+        told(F.col("spans")).alias("spans"),
+        count(secret_scan.FOUND),
+    )
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
