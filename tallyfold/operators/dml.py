@@ -6,12 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyfold.functions.calendar import stamp
-from tallyfold.operators import quality
+from tallyfold.operators import quality, totals
 from tallyfold.operators.keys import assign_keys, assign_keys_by_range
 from tallyfold.operators.merge import known_rows
 from tallyfold.schemas import NO_DEFAULT, NOW, TODAY, Reference, Table
 from tallyfold.session import scratch, stage
-from tallyfold.sources.store import BLOCK, Transaction
+from tallyfold.sources.store import Transaction
 
 # -- expressions ------------------------------------------------------------
 
@@ -80,9 +80,11 @@ def _children(tables: dict[str, Table], parent: str) -> list[tuple[str, Referenc
     return [(t.name, r) for t in tables.values() for r in t.references if r.parent == parent]
 
 
-def _blocks_with(tx: Transaction, name: str, rows: DataFrame) -> list[int]:
-    """Blocks that hold any of these rows of the table; their ids are enough."""
-    return [r[0] for r in rows.select(tx.block_of(name).alias(BLOCK)).distinct().collect()]
+def _referring(tx: Transaction, child: str, ref: Reference, keys: DataFrame) -> DataFrame:
+    """Rows of `child` that refer to the parent keys; only their blocks are opened where the child lies by this key."""
+    wanted = keys.select(F.col(ref.parent_column).alias(ref.column))
+    blocks = tx.blocks_of(child, wanted) if tx.table(child).block_by == ref.column else None
+    return known_rows(tx.read(child, blocks), wanted, ref.column)
 
 
 def insert(tx: Transaction, name: str, rows: DataFrame, now, order: str | None = None, check: bool = True) -> None:
@@ -112,13 +114,14 @@ def _insert(tx: Transaction, name: str, rows: DataFrame, now, order: str | None,
     else:
         full, last = assign_keys_by_range(full, given, tx.high_key(name), table.key)
     tx.raise_high_key(name, last)
-    tx.append(name, full.select(*(F.col(c.name).cast(c.type) for c in table.columns)))
+    totals.add(tx, name, tx.append(name, full.select(*(F.col(c.name).cast(c.type) for c in table.columns))))
 
 
 def _enforce_rules(tx: Transaction, table: Table, rows: DataFrame) -> None:
     quality.enforce(quality.row_violations(table, rows), table.name)
     for column in (*table.unique, *([table.key] if table.key in rows.columns else [])):
-        _enforce_unique(table, rows, column, tx.read(table.name))
+        others = tx.ids_of(table.name, rows) if column == table.natural_key else tx.read(table.name)
+        _enforce_unique(table, rows, column, others)
     for ref in table.references:
         _enforce_reference(tx, table, rows, ref)
 
@@ -143,7 +146,7 @@ def update(tx: Transaction, name: str, where: Column, assignments: dict[str, Col
     """
     table = tx.table(name)
     with scratch(tx.spark):
-        blocks = _blocks_with(tx, name, tx.read(name).where(where))
+        blocks = tx.blocks_of(name, tx.read(name).where(where))
         if not blocks:
             return
         before = tx.read(name, blocks)
@@ -159,7 +162,9 @@ def update(tx: Transaction, name: str, where: Column, assignments: dict[str, Col
         for ref in table.references:
             if ref.column in assignments:
                 _enforce_reference(tx, table, new, ref)
-        tx.rewrite_blocks(name, update_where(before, where, assignments, now), blocks)
+        keys_change = bool({table.key, table.natural_key} & set(assignments))
+        tx.rewrite_blocks(name, update_where(before, where, assignments, now), blocks, keys_change)
+        totals.replace(tx, name, old, new)
 
 
 def _keep_named_keys(tx: Transaction, name: str, old: DataFrame, new: DataFrame) -> None:
@@ -192,26 +197,28 @@ def _delete(tx: Transaction, name: str, where: Column) -> None:
         for child, ref in _children(tx.store.tables, table):
             if ref.on_delete != "restrict":
                 continue
-            left = known_rows(tx.read(child), keys.toDF(ref.column), ref.column)
+            left = _referring(tx, child, ref, keys)
             if child in doomed:
                 left = left.join(doomed[child], tx.table(child).key, "left_anti")
             quality.enforce(left, f"{table}: still referred to by {child}")
     changes = []
     for table, keys in doomed.items():
         key = tx.table(table).key
-        blocks = _blocks_with(tx, table, keys)
+        blocks = tx.blocks_of(table, keys)
         if blocks:
-            changes.append((table, tx.read(table, blocks).join(keys, key, "left_anti"), blocks))
-    for table, kept, blocks in changes:
-        tx.rewrite_blocks(table, kept, blocks)
+            rows = tx.read(table, blocks)
+            changes.append((table, rows.join(keys, key, "left_anti"), known_rows(rows, keys, key), blocks))
+    for table, kept, gone, blocks in changes:
+        tx.rewrite_blocks(table, kept, blocks, keys_change=True)
+        totals.remove(tx, table, gone)
 
 
 def _collect(tx: Transaction, name: str, gone: DataFrame, plan: list[tuple[str, DataFrame]]) -> None:
-    """Keys of the deleted rows of a table and, below it, of every table that
+    """Keys of the deleted rows of a table, with what tells their blocks, and below it of every table that
     cascades. They are staged, so that few keys are known to be few."""
-    key = tx.table(name).key
-    keys = stage(gone.select(key), "gone")
+    table = tx.table(name)
+    keys = stage(gone.select(*dict.fromkeys((table.key, table.block_by))), "gone")
     plan.append((name, keys))
     for child, ref in _children(tx.store.tables, name):
         if ref.on_delete == "cascade":
-            _collect(tx, child, known_rows(tx.read(child), keys.toDF(ref.column), ref.column), plan)
+            _collect(tx, child, _referring(tx, child, ref, keys), plan)

@@ -109,8 +109,9 @@ def find_or_create(
 ) -> DataFrame:
     """`get_or_create` on a stored table: ids by natural key for all candidates.
 
-    Only the key and id of the table are scanned, once; the result is no
-    larger than the candidates. `order`, with the int column `then` if there is
+    Ids are found through the index of the natural key, of which only the
+    blocks of the candidates are opened; the result is no larger than the
+    candidates. `order`, with the int column `then` if there is
     one, identifies a candidate. `complete` adds the remaining columns to the
     new rows.
     """
@@ -118,7 +119,7 @@ def find_or_create(
     natural_key, id_column = table.natural_key, table.key
     named = candidates.where(F.col(natural_key).isNotNull())
     firsts = stage(first_rows(named, natural_key, order, *then), "firsts")
-    known = known_rows(tx.read(name).select(natural_key, id_column), firsts, natural_key)
+    known = known_rows(tx.ids_of(name, firsts), firsts, natural_key)
     known = stage(known.groupBy(natural_key).agg(F.min(id_column).alias(id_column)), "known")
     new = firsts.join(known, natural_key, "left_anti")
     keyed, last = assign_keys(complete(new), order, tx.high_key(name), id_column, then, same_ids=new, gather=True)

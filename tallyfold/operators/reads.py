@@ -2,25 +2,31 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyfold.functions.numbers import gross_worth, net_worth, store_money
 from tallyfold.functions.status import payment_status
+from tallyfold.sources.store import TableStore
 
 # Invoice numbers are unique, so a point read finds one id; more than this
 # many ids (a broken table) are joined instead of listed in the filter.
 LISTED_IDS = 1000
 
 
-def invoice_detail(tables, invoice_no: str | None = None) -> DataFrame:
+def invoice_detail(tables: TableStore | Callable[[str], DataFrame], invoice_no: str | None = None) -> DataFrame:
     """Invoices with parties, items, products and payments, one row per item
-    and payment. `tables` gives a DataFrame by table name.
+    and payment. `tables` is a store, or gives a DataFrame by table name.
 
     For one invoice its id is looked up first and goes into the scans of items
     and payments as a literal, where Parquet statistics skip all other
-    row groups.
+    row groups. In a store the id comes from the index of invoice numbers, and
+    only the blocks of this invoice are opened.
     """
+    if isinstance(tables, TableStore):
+        tables = _of_invoice(tables, invoice_no) if invoice_no is not None else tables.read
     invoices, items, payments = tables("invoices"), tables("invoice_items"), tables("payments")
     if invoice_no is not None:
         invoices = invoices.where(F.col("invoice_no") == invoice_no)
@@ -51,6 +57,16 @@ def invoice_detail(tables, invoice_no: str | None = None) -> DataFrame:
     )
 
 
+def _of_invoice(store: TableStore, invoice_no: str) -> Callable[[str], DataFrame]:
+    """Tables of a store, invoices and their children narrowed to the blocks of one invoice."""
+    tx = store.begin()
+    number = store.spark.createDataFrame([(invoice_no,)], "invoice_no string")
+    ids = tx.ids_of("invoices", number).where(F.col("invoice_no") == invoice_no).select("invoice_id")
+    ids = store.spark.createDataFrame(ids.limit(LISTED_IDS + 1).collect(), ids.schema)
+    narrow = ("invoices", "invoice_items", "payments")
+    return lambda name: tx.read(name, tx.blocks_of(name, ids, "invoice_id") if name in narrow else None)
+
+
 def derive_status(invoices: DataFrame, payments: DataFrame) -> DataFrame:
     """Invoices with the status that the sum of their payments gives."""
     paid = payments.groupBy("invoice_id").agg(F.sum("amount").alias("_paid"))

@@ -16,12 +16,10 @@ from tallyfold.operators.keys import IdRange, assign_keys
 from tallyfold.operators.merge import insert_ignore, latest_per_key, upsert
 from tallyfold.schemas import SOURCE_TABLES, star_tables
 from tallyfold.session import scratch, side_by_side, stage
-from tallyfold.sources.store import TableStore, Transaction
+from tallyfold.sources.store import BLOCK, MONTH, TableStore, Transaction
 
 MARK_TABLE = "etl_watermarks"
 DIMENSION_STREAMS = ("clients", "sellers", "products")
-# Appends up to this many rows are shuffled once to avoid many small files.
-FEW_ROWS = 1 << 20
 FACT_STREAMS = ("invoices", "invoice_items", "payments")
 
 
@@ -29,9 +27,12 @@ def utc_now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
 
-def open_star(spark: SparkSession, root: str, mode: str = "idempotent", block_rows: int = 1 << 20) -> TableStore:
-    """The star at `root`. `mode` is `idempotent` or `append` (see `append_fact`)."""
-    return TableStore(spark, root, star_tables(mode), block_rows)
+def open_star(
+    spark: SparkSession, root: str, mode: str = "idempotent", block_rows: int = 1 << 20, period: str = MONTH
+) -> TableStore:
+    """The star at `root`. `mode` is `idempotent` or `append` (see `append_fact`); appended facts lie by the `period`
+    of their stamp."""
+    return TableStore(spark, root, star_tables(mode), block_rows, period=period)
 
 
 def init_star(store: TableStore) -> None:
@@ -69,7 +70,10 @@ class Load:
     from the marks to catch rows committed late. `newest_only` keeps the newest
     row of each key, for sources that hold several versions of a row, and leaves
     alone what the star has from a newer one. `every_row` takes all rows of the
-    source whatever their stamp, for sources that give each row once.
+    source whatever their stamp, those without one included, for sources that
+    give each row once. `batch` names the source and numbers what it gives: a
+    number is published with the rows, and one that is not beyond the published
+    number loads nothing.
     `on_unresolved` receives the rows that found no dimension row.
     """
 
@@ -79,6 +83,7 @@ class Load:
     newest_only: bool = False
     every_row: bool = False
     on_unresolved: Callable[[str, DataFrame], None] | None = None
+    batch: tuple[str, int] | None = None
     rows: dict[str, int] = field(default_factory=dict)
     _marks: tuple[Transaction | None, dict[str, datetime]] = (None, {})
 
@@ -150,30 +155,25 @@ def append_fact(load: Load, tx: Transaction, table: str, stream: str, rows: Data
 
     In append mode a row read twice is stored twice. In idempotent mode rows
     whose source id is stored are left out; a stored copy carries the same
-    creation stamp, so only folders that reach up to the mark are searched, or
-    up to the oldest row where rows come whatever their stamp. The rows are
-    staged once; they are counted and numbered as stored there.
+    creation stamp, so only the periods that the rows name are searched, however
+    old one of them is. Rows without a stamp have a place of their own and are
+    stored once, too. The rows are staged once; they are counted and numbered as
+    stored there.
     """
     key = tx.table(table).key
     rows = stage(rows, table)
     if load.idempotent:
-        low = load.low(tx, stream)
-        if low is not None and load.every_row:
-            low = rows.agg(F.min("created_at")).first()[0]
-        if low is None:
-            return 0
-        stored = changed_since(tx.read(table, since=low.isoformat(sep=" ")), "created_at", low)
         if load.newest_only:
             rows = rows.dropDuplicates([source_id])
-        if stored.limit(1).count():
-            rows = stage(rows.join(stored.select(source_id), source_id, "left_anti"), table)
+        periods = tx.blocks_of(table, rows)
+        if periods:
+            at = tx.block_of(table).alias(BLOCK)
+            stored = tx.read(table, periods).select(at, source_id)
+            rows = stage(rows.select("*", at).join(stored, [BLOCK, source_id], "left_anti").drop(BLOCK), table)
     found = IdRange.of(rows, source_id)
     if not found.rows:
         return 0
     numbered, last = assign_keys(rows, source_id, tx.high_key(table), key, found=found)
-    if found.rows <= FEW_ROWS:
-        # Rows of a small increment come from many scan tasks: gather them into few files.
-        numbered = numbered.hint("rebalance")
     tx.append(table, numbered)
     tx.raise_high_key(table, last)
     return found.rows
@@ -200,11 +200,23 @@ def _advance(tx: Transaction, streams, batch_ts) -> None:
     tx.replace(MARK_TABLE, advance_marks(tx.read(MARK_TABLE), streams, batch_ts).coalesce(1))
 
 
+def _fresh(load: Load, tx: Transaction, group: str) -> bool:
+    """Whether the batch of the load is still to be loaded; notes its number, to be published with the rows."""
+    if load.batch is None:
+        return True
+    source, number = load.batch
+    last = tx.noted(f"{source}/{group}")
+    tx.note(f"{source}/{group}", number)
+    return last is None or number > last
+
+
 def load_dimensions(load: Load, batch_ts: datetime | str | None = None) -> int:
     """All dimensions and their marks, published together."""
     batch_ts = batch_ts or utc_now()
     with scratch(load.star.spark):
         tx = load.star.begin()
+        if not _fresh(load, tx, "dimensions"):
+            return load.star.latest()
         side_by_side(
             lambda: load_dim_client(load, tx),
             lambda: load_dim_seller(load, tx),
@@ -219,6 +231,8 @@ def load_facts(load: Load, batch_ts: datetime | str | None = None) -> int:
     batch_ts = batch_ts or utc_now()
     with scratch(load.star.spark):
         tx = load.star.begin()
+        if not _fresh(load, tx, "facts"):
+            return load.star.latest()
 
         def dated() -> None:
             # One after the other, as both add to the date dimension.

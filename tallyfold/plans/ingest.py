@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tallyfold.functions import numbers
 from tallyfold.functions.calendar import parse_us_date, stamp
 from tallyfold.functions.status import payment_status
-from tallyfold.operators import quality
+from tallyfold.operators import quality, totals
 from tallyfold.operators.dml import insert, with_defaults
 from tallyfold.operators.keys import assign_keys
 from tallyfold.operators.merge import find_or_create, first_per_key, known_rows, lookup_ids
@@ -33,14 +33,14 @@ from tallyfold.sources.invoice_lines import (
     split_document,
     stage_lines,
 )
-from tallyfold.sources.store import BLOCK, TableStore, Transaction
+from tallyfold.sources.store import TableStore, Transaction
 
 LINE, ITEM = "line", "item"
 
 
-def open_source(spark: SparkSession, root: str, block_rows: int = 1 << 20) -> TableStore:
-    """The source model at `root`: six tables and the rejected lines."""
-    return TableStore(spark, root, INGEST_TABLES, block_rows)
+def open_source(spark: SparkSession, root: str, block_rows: int = 1 << 20, buckets: int = 256) -> TableStore:
+    """The source model at `root`: six tables, the kept totals and what was rejected."""
+    return TableStore(spark, root, INGEST_TABLES, block_rows, buckets)
 
 
 # -- judging lines ----------------------------------------------------------
@@ -293,10 +293,10 @@ def settle_lines(tx: Transaction, lines: DataFrame) -> DataFrame:
     for party, tax_id, fault in parties:
         wanted = open_lines.where(F.col(fault).isNotNull()).select(tax_id).distinct()
         created = _first_lines(lines.where(sound & clear), tax_id, fault)
-        rows = tx.read(party.name).select(tax_id, stored).unionByName(created)
+        rows = tx.ids_of(party.name, wanted).select(tax_id, stored).unionByName(created)
         known[tax_id] = stage(rows.join(wanted, tax_id, "left_semi"), "known")
     wanted = asked.select("product_name").distinct()
-    rows = tx.read("products").select("product_name", stored).unionByName(_first_products(lines.where(sound & clear)))
+    rows = tx.ids_of("products", wanted).select("product_name", stored).unionByName(_first_products(lines.where(sound & clear)))
     products = stage(rows.join(wanted, "product_name", "left_semi"), "known")
 
     accepted, passed = open_lines.where(F.lit(False)), 0
@@ -421,7 +421,8 @@ def add_payments(tx: Transaction, payments: DataFrame, now, load_id: str) -> Non
     of the invoices they belong to. Payments of unknown invoices, or that break
     a rule, go to `rejected_payments`."""
     given = stage(payments, "payments")
-    linked = given.join(tx.read("invoices").select("invoice_no", "invoice_id"), "invoice_no", "left")
+    found = known_rows(tx.ids_of("invoices", given), given, "invoice_no")
+    linked = given.join(found, "invoice_no", "left")
     unknown = F.when(F.col("invoice_id").isNull(), F.lit("invoice_no refers to no invoice"))
     judged = stage(linked.withColumn("reason", F.coalesce(unknown, quality.breach(tx.table("payments"), linked))), "linked")
     named = {c.name: F.col(c.name) if c.name in judged.columns else F.lit(None) for c in tx.table("rejected_payments").columns}
@@ -435,14 +436,14 @@ def add_payments(tx: Transaction, payments: DataFrame, now, load_id: str) -> Non
 
 def refresh_status(tx: Transaction, paid: DataFrame, now) -> None:
     """Derive the status of the invoices named by `paid.invoice_id`, which have
-    payments; only their blocks are rewritten."""
+    payments; only their blocks are rewritten. What was paid comes from the kept
+    totals, no payment is read."""
     ids = stage(paid.select("invoice_id").distinct(), "paid")
-    blocks = {r[0] for r in ids.select(tx.block_of("invoices").alias(BLOCK)).distinct().collect()}
-    blocks &= tx.blocks("invoices")
+    blocks = tx.blocks_of("invoices", ids)
     if not blocks:
         return
-    sums = known_rows(tx.read("payments").select("invoice_id", "amount"), ids, "invoice_id")
-    sums = stage(sums.groupBy("invoice_id").agg(F.sum("amount").alias("_paid")), "sums")
+    sums = known_rows(totals.of(tx, "payments", ids), ids, "invoice_id")
+    sums = stage(sums.select("invoice_id", F.col("paid").alias("_paid")), "sums")
     invoices = tx.read("invoices", blocks)
     named = F.col("_paid").isNotNull()
     status = payment_status(F.col("_paid"), F.col("total_gross_worth"))
@@ -486,7 +487,8 @@ def _ingest(spark, path, store, policy, now, payments, skip_known_invoices, deci
     good = lines.where(F.col("reason").isNull())
     if skip_known_invoices:
         firsts = first_per_key(good.select("invoice_no", "line_no"), "invoice_no", F.col("line_no"))
-        firsts = firsts.join(tx.read("invoices").select("invoice_no"), "invoice_no", "left_anti")
+        firsts = stage(firsts, "firsts")
+        firsts = firsts.join(tx.ids_of("invoices", firsts), "invoice_no", "left_anti")
         good = good.join(firsts.select("line_no"), "line_no", "left_semi")
     items = _spread_items(good)
     bad = lines.where(F.col("reason").isNotNull())

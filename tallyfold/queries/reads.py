@@ -15,17 +15,14 @@ ALL = ("clients", "sellers", "products", "invoices", "invoice_items", "payments"
 
 # One row per item and payment of its invoice: what was bought, from whom, and how it was paid.
 DETAIL = """
-SELECT number AS invoice_no, day AS invoice_date, vendor AS seller_name, buyer AS client_name, goods AS product_name,
-       quantity AS item_qty, price AS item_net_price, gross AS item_gross_worth, money AS payment_amount,
-       way AS payment_method, paid_on AS payment_date
-FROM (SELECT invoice_id AS bought_on, product_name AS goods, item_qty AS quantity, item_net_price AS price,
-             item_gross_worth AS gross
-      FROM products JOIN invoice_items USING (product_id)) purchase
-LEFT JOIN (SELECT invoice_id AS settles, amount AS money, payment_method AS way, payment_date AS paid_on
-           FROM payments) receipt ON settles = bought_on
-JOIN (SELECT invoice_id AS document, invoice_no AS number, invoice_date AS day, seller_name AS vendor,
-             client_name AS buyer
-      FROM clients JOIN (sellers JOIN invoices USING (seller_id)) USING (client_id)) head ON document = bought_on
+SELECT invoice_no, invoice_date, seller_name, client_name, product_name, item_qty, item_net_price, item_gross_worth,
+       payments.amount AS payment_amount, payment_method, payment_date
+FROM invoice_items
+JOIN products USING (product_id)
+JOIN invoices USING (invoice_id)
+JOIN sellers USING (seller_id)
+JOIN clients USING (client_id)
+LEFT JOIN payments USING (invoice_id)
 """
 
 
@@ -49,7 +46,7 @@ def invoice_detail(spark, folder):
     return reads.invoice_detail(tables(spark, folder))
 
 
-@query("invoice_point", with_sources(*ALL, select=DETAIL + "WHERE number = 'INV-42'"))
+@query("invoice_point", with_sources(*ALL, select=DETAIL + "WHERE invoice_no = 'INV-42'"))
 def invoice_point(spark, folder):
     return reads.invoice_detail(tables(spark, folder), "INV-42")
 

@@ -38,6 +38,18 @@ class Reference:
     on_delete: str = "restrict"
 
 
+@dataclass(frozen=True)
+class Totals:
+    """For each value of `by` the number of rows and the sum of `amount`, in `table`."""
+
+    table: str
+    by: str
+    amount: str
+
+
+RANGE, HASH, PERIOD = "range", "hash", "period"
+
+
 @dataclass(frozen=True)
 class Table:
     name: str
@@ -50,8 +62,17 @@ class Table:
     natural_key: str | None = None
     # Columns that an upsert refreshes; all others keep their first value.
     refresh: tuple[str, ...] = ()
-    # Id column by which stored rows are grouped into blocks of neighbouring ids.
+    # Column by which stored rows are grouped into blocks, and how: RANGE puts neighbouring ids together, HASH spreads
+    # the values over a fixed number of blocks, PERIOD has a block for each month or day.
     block_by: str | None = None
+    layout: str = RANGE
+    # Sums that are kept up to date with the rows of this table.
+    totals: Totals | None = None
+
+    @property
+    def indexed(self) -> bool:
+        """Whether the natural key says nothing about the block, so that finding a row by it needs an index."""
+        return self.natural_key is not None and self.natural_key != self.block_by
 
     @property
     def schema(self) -> T.StructType:
@@ -152,7 +173,9 @@ INVOICE_ITEMS = Table(
         Reference("invoice_id", "invoices", "invoice_id", "cascade"),
         Reference("product_id", "products", "product_id", "restrict"),
     ),
-    block_by="item_id",
+    # Children lie with their parent, as an index on the parent's id would have it.
+    block_by="invoice_id",
+    layout=HASH,
 )
 
 PAYMENTS = Table(
@@ -173,9 +196,26 @@ PAYMENTS = Table(
         "amount_positive": "amount > 0",
     },
     references=(Reference("invoice_id", "invoices", "invoice_id", "cascade"),),
-    block_by="payment_id",
+    block_by="invoice_id",
+    layout=HASH,
+    totals=Totals("payment_totals", "invoice_id", "amount"),
+)
+
+# What has been paid for each invoice that has payments.
+PAYMENT_TOTALS = Table(
+    "payment_totals",
+    (Column("invoice_id", LONG, True), Column("payments", LONG, True), Column("paid", money(24), True)),
+    key="invoice_id",
+    block_by="invoice_id",
 )
 
+
+def key_index(table: Table) -> Table:
+    """(natural key, id) of a table, grouped by a hash of the natural key."""
+    columns = (table.column(table.natural_key), table.column(table.key))
+    return Table(f"{table.name}_by_{table.natural_key}", columns, table.key, block_by=table.natural_key, layout=HASH)
+
+
 # Input lines that the ingest refused, with the reason.
 REJECTED_LINES = Table(
     "rejected_lines",
@@ -221,7 +261,7 @@ SOURCE_TABLES: dict[str, Table] = {
 }
 INGEST_TABLES: dict[str, Table] = {
     **SOURCE_TABLES,
-    **{t.name: t for t in (REJECTED_LINES, REJECTED_ITEMS, REJECTED_PAYMENTS)},
+    **{t.name: t for t in (PAYMENT_TOTALS, REJECTED_LINES, REJECTED_ITEMS, REJECTED_PAYMENTS)},
 }
 
 # The six streams and the time their marks start at.
@@ -338,6 +378,8 @@ FACT_INVOICE_ITEM = Table(
     ),
     key="invoice_item_key",
     references=(Reference("product_key", "dim_product", "product_key"),),
+    block_by="created_at",
+    layout=PERIOD,
 )
 
 FACT_PAYMENT = Table(
@@ -353,6 +395,8 @@ FACT_PAYMENT = Table(
     ),
     key="payment_key",
     references=(Reference("payment_date_key", "dim_date", "date_key"),),
+    block_by="created_at",
+    layout=PERIOD,
 )
 
 

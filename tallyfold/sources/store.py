@@ -5,11 +5,20 @@ each table, the live data folders; publishing it moves every table at once, so
 data and high-water marks advance together. Folders left by a failed run are
 in no version and are never read.
 
-Rows of a table with `block_by` are grouped into blocks of neighbouring ids
-(`id div block_rows`). A block holds at most `block_rows` ids, whatever the
-data look like, so it is a safe unit of work: a change rewrites only the blocks
-that hold changed rows, and new blocks appear as ids grow. The folder list is
-the only thing kept on the driver, one entry per block or appended batch.
+Rows of a table with `block_by` are grouped into blocks, each a set of folders:
+
+- RANGE: neighbouring ids (`id div block_rows`). A block holds at most
+  `block_rows` ids, whatever the data look like, and ids are given in time
+  order, so changes meet in few, recent blocks.
+- HASH: a fixed number of blocks by a hash of the column. Rows of one parent
+  lie in one block, and no set of ids makes more blocks.
+- PERIOD: a block for each month (or day) of a stamp; rows without one are in
+  block 0.
+
+Reads, rewrites and deletes open only the blocks that their keys lie in. A
+block that has gathered many small folders is written anew as one (`_merge`).
+A table whose natural key says nothing about its block has an index: (natural
+key, id) in a table of its own, by a hash of the natural key.
 """
 
 from __future__ import annotations
@@ -17,15 +26,20 @@ from __future__ import annotations
 import copy
 import json
 import uuid
+from collections import Counter
 from collections.abc import Iterable
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfold.schemas import Table
+from tallyfold.schemas import HASH, PERIOD, RANGE, Table, key_index
+from tallyfold.session import stage
 
 BLOCK = "_block"
+# A block with so many folders of one level gets one of the next level instead.
+CROWDED = 8
+MONTH, DAY = "month", "day"
 
 
 class ConflictError(RuntimeError):
@@ -86,11 +100,22 @@ class _Folder:
 
 
 class TableStore:
-    def __init__(self, spark: SparkSession, root: str, tables: dict[str, Table], block_rows: int = 1 << 20):
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        tables: dict[str, Table],
+        block_rows: int = 1 << 20,
+        buckets: int = 256,
+        period: str = MONTH,
+    ):
+        if period not in (MONTH, DAY):
+            raise ValueError(f"unknown period {period!r}")
         self.spark = spark
         self.root = root.rstrip("/")
         self.tables = tables
-        self.block_rows = block_rows
+        self.indexes = {t.name: key_index(t) for t in tables.values() if t.indexed}
+        self.layout = {"block_rows": block_rows, "buckets": buckets, "period": period}
         self._folder = _Folder(spark, root)
 
     # -- versions ---------------------------------------------------------
@@ -133,11 +158,20 @@ class Transaction:
         self._content["version"] = base["version"] + 1
 
     def table(self, name: str) -> Table:
-        return self.store.tables[name]
+        if name in self.store.tables:
+            return self.store.tables[name]
+        return next(i for i in self.store.indexes.values() if i.name == name)
 
     def _entry(self, name: str) -> dict:
-        blank = {"parts": [], "high_key": 0, "block_rows": self.store.block_rows}
-        return self._content["tables"].setdefault(name, blank)
+        return self._content["tables"].setdefault(name, {"parts": [], "high_key": 0, **self.store.layout})
+
+    # -- notes ------------------------------------------------------------
+    def noted(self, name: str) -> int | None:
+        """A number published with the tables under this name."""
+        return self._content.get("notes", {}).get(name)
+
+    def note(self, name: str, value: int) -> None:
+        self._content.setdefault("notes", {})[name] = value
 
     def exists(self, name: str) -> bool:
         return name in self._content["tables"]
@@ -172,9 +206,35 @@ class Transaction:
         return {p["block"] for p in self._entry(name)["parts"]}
 
     def block_of(self, name: str, column: str | None = None) -> Column:
-        """Block number of a row, from its id."""
-        source = column or self.table(name).block_by
-        return F.expr(f"`{source}` div {self._entry(name)['block_rows']}")
+        """Block number of a row, from the column that the table is grouped by."""
+        table, entry = self.table(name), self._entry(name)
+        source = F.col(column or table.block_by)
+        if table.layout == HASH:
+            kind = table.column(table.block_by).type
+            return F.pmod(F.xxhash64(source.cast(kind)), F.lit(entry["buckets"]).cast("long"))
+        if table.layout == PERIOD:
+            month = F.year(source) * 100 + F.month(source)
+            return F.coalesce(month if entry["period"] == MONTH else month * 100 + F.day(source), F.lit(0)).cast("long")
+        return F.expr(f"`{column or table.block_by}` div {entry['block_rows']}")
+
+    def blocks_of(self, name: str, rows: DataFrame, column: str | None = None) -> set[int]:
+        """Blocks that exist and may hold rows with the values that `rows` has in the column the table is grouped by."""
+        known = self.blocks(name)
+        if not known:
+            return known
+        return known & {r[0] for r in rows.select(self.block_of(name, column).alias(BLOCK)).distinct().collect()}
+
+    def ids_of(self, name: str, rows: DataFrame) -> DataFrame:
+        """(natural key, id) of the stored rows whose natural key may occur in `rows`; other rows may be among them.
+
+        With an index only the blocks of these keys are opened.
+        """
+        table = self.table(name)
+        index = self.store.indexes.get(name)
+        if index:
+            return self.read(index.name, self.blocks_of(index.name, rows))
+        blocks = self.blocks_of(name, rows) if table.block_by == table.natural_key else None
+        return self.read(name, blocks).select(table.natural_key, table.key)
 
     # -- keys -------------------------------------------------------------
     def high_key(self, name: str) -> int:
@@ -186,7 +246,7 @@ class Transaction:
         entry["high_key"] = max(entry["high_key"], value)
 
     # -- writing ----------------------------------------------------------
-    def _write(self, name: str, df: DataFrame) -> list[dict]:
+    def _write(self, name: str, df: DataFrame, level: int = 0) -> list[dict]:
         """Write a folder and return its parts, none for no rows.
 
         Whether there are rows, and their newest stamp, is observed during the write.
@@ -197,50 +257,93 @@ class Transaction:
         newest = F.max(table.stamp) if table.stamp else F.lit(None).cast("timestamp_ntz")
         rows = df.select(*table.names).observe(seen, F.count(F.lit(1)).alias("rows"), newest.alias("newest"))
         if table.block_by:
-            writer = rows.withColumn(BLOCK, self.block_of(name)).write.partitionBy(BLOCK)
+            rows = rows.withColumn(BLOCK, self.block_of(name))
+            if table.layout != RANGE:
+                # Few files for each block, a hot block in several; sorted, so that statistics skip row groups.
+                rows = rows.hint("rebalance", F.col(BLOCK)).sortWithinPartitions(BLOCK, table.block_by)
+            writer = rows.write.partitionBy(BLOCK)
         else:
             writer = rows.write
         if table.natural_key and table.column(table.natural_key).type.typeName() == "string":
             # Stands in for the unique index: point reads skip row groups.
             writer = writer.option(f"parquet.bloom.filter.enabled#{table.natural_key}", "true")
         writer.parquet(f"{self.store.root}/{path}")
-        if not seen.get["rows"]:
+        found = [path]
+        if table.block_by:
+            # Without rows there are no folders, and an exchange that is empty at run time leaves nothing observed.
+            found = sorted(f"{path}/{c}" for c in self.store._folder.children(path) if c.startswith(f"{BLOCK}="))
+        if not found or not seen.get["rows"]:
             return []
         stamp = seen.get["newest"]
-        common = {"newest": stamp.isoformat(sep=" ") if stamp else None}
-        if not table.block_by:
-            return [{"path": path, "block": None, **common}]
-        found = [c for c in self.store._folder.children(path) if c.startswith(f"{BLOCK}=")]
-        return [{"path": f"{path}/{c}", "block": int(c.split("=")[1]), **common} for c in sorted(found)]
+        common = {"newest": stamp.isoformat(sep=" ") if stamp else None, "level": level}
+        return [{"path": p, "block": int(p.rsplit("=", 1)[1]) if table.block_by else None, **common} for p in found]
 
     def append(self, name: str, df: DataFrame) -> DataFrame:
-        """Add rows and return them as stored; nothing that exists is read or rewritten.
+        """Add rows and return them as stored; nothing that exists is changed.
 
-        In a table of blocks, rows of a block should lie in few tasks, as each
+        In a table of id ranges, rows of a block should lie in few tasks, as each
         task writes a file for each block it holds rows of.
         """
         added = self._write(name, df)
         self._entry(name)["parts"].extend(added)
-        return self._scan(name, added)
+        rows = self._scan(name, added)
+        index = self.store.indexes.get(name)
+        if index and added:
+            self.append(index.name, rows.select(*index.names))
+        self._merge(name)
+        return rows
+
+    def _merge(self, name: str) -> None:
+        """Write the folders of each crowded block as one folder of the next level.
+
+        Levels keep the work small: a row is written once more for each level, of which a block has as many as the
+        logarithm of its appends, and a block never has more than CROWDED folders of a level.
+        """
+        entry = self._entry(name)
+        level = 0
+        while self.table(name).block_by and any(p["level"] >= level for p in entry["parts"]):
+            at = Counter(p["block"] for p in entry["parts"] if p["level"] == level)
+            full = {b for b, n in at.items() if n >= CROWDED}
+            small = [p for p in entry["parts"] if p["level"] == level and p["block"] in full]
+            if small:
+                merged = self._write(name, self.gather_blocks(name, self._scan(name, small)), level + 1)
+                entry["parts"] = [p for p in entry["parts"] if p not in small] + merged
+            level += 1
 
     def gather_blocks(self, name: str, df: DataFrame) -> DataFrame:
-        """Rows of a table, each block in one task. A block has a bounded number of ids."""
+        """Rows of a table of id ranges, each block in one task. A block has a bounded number of ids."""
+        if self.table(name).layout != RANGE:
+            return df
         return df.withColumn(BLOCK, self.block_of(name)).repartition(BLOCK).drop(BLOCK)
 
-    def rewrite_blocks(self, name: str, df: DataFrame, blocks: Iterable[int]) -> None:
-        """Replace the rows of the named blocks by `df`, which holds no others."""
+    def rewrite_blocks(self, name: str, df: DataFrame, blocks: Iterable[int], keys_change: bool = False) -> None:
+        """Replace the rows of the named blocks by `df`, which holds no others.
+
+        `keys_change` says that natural keys or ids come, go or change, so that the index has to follow.
+        """
         gone = set(blocks)
-        added = self._write(name, df)
         entry = self._entry(name)
+        before = [p for p in entry["parts"] if p["block"] in gone]
+        added = self._write(name, df)
         entry["parts"] = [p for p in entry["parts"] if p["block"] not in gone] + added
+        index = self.store.indexes.get(name)
+        if index and keys_change:
+            old, new = (self._scan(name, parts).select(*index.names) for parts in (before, added))
+            lost = stage(old.exceptAll(new), "lost")
+            touched = self.blocks_of(index.name, lost)
+            if touched:
+                kept = self.read(index.name, touched).join(lost, index.names, "left_anti")
+                self.rewrite_blocks(index.name, kept, touched)
+            self.append(index.name, new.exceptAll(old))
 
     def replace(self, name: str, df: DataFrame) -> None:
-        """Replace a whole table; meant for small ones."""
+        """Replace a whole table without an index; meant for small ones."""
         self._entry(name)["parts"] = self._write(name, df)
 
     def clear(self, name: str) -> None:
-        self._content["tables"].pop(name, None)
-        self._entry(name)
+        for gone in (name, *([self.store.indexes[name].name] if name in self.store.indexes else [])):
+            self._content["tables"].pop(gone, None)
+            self._entry(gone)
 
     def commit(self) -> int:
         self.store._publish(self._content)
