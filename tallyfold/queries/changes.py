@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyfold.operators import dml, quality
+from tallyfold.operators import dml, quality, reads
 from tallyfold.operators.keys import assign_keys, assign_keys_by_range
 from tallyfold.operators.merge import get_or_create, insert_ignore, latest_per_key, upsert_frame
 from tallyfold.plans import fixtures
 from tallyfold.plans.ingest import open_source
-from tallyfold.queries.reads import numbered_items
+from tallyfold.queries.reads import DETAIL, numbered_items
 from tallyfold.queries.registry import SQL, once, query, with_sources
-from tallyfold.schemas import INVOICES
+from tallyfold.schemas import INVOICES, SOURCE_TABLES
 from tallyfold.session import fresh_path
 
 NOW = "2024-05-01 10:00:00"
@@ -241,7 +241,7 @@ def _stored(spark, folder):
     hangs on it, prices are raised, a seller and two products are inserted."""
 
     def build():
-        store = open_source(spark, fresh_path(spark, "source"), BLOCK_ROWS)
+        store = open_source(spark, fresh_path(spark, "source"), BLOCK_ROWS, buckets=16)
         tx = store.begin()
         for name, reader in fixtures.READERS.items():
             rows = numbered_items(spark, folder) if name == "invoice_items" else reader(spark, folder)
@@ -311,6 +311,48 @@ def cascade_payments(spark, folder):
     return _stored(spark, folder).read("payments")
 
 
+@query(
+    "kept_totals",
+    with_sources(
+        "sellers",
+        "invoices",
+        "payments",
+        then=GONE,
+        select="""
+SELECT invoice_id, count(*) AS payments, CAST(sum(amount) AS DECIMAL(24,2)) AS paid
+FROM payments WHERE invoice_id NOT IN (SELECT invoice_id FROM gone) GROUP BY invoice_id""",
+    ),
+)
+def kept_totals(spark, folder):
+    """What the store says was paid for each invoice, after an insert of all payments and a delete with cascades."""
+    return _stored(spark, folder).read("payment_totals")
+
+
+@query(
+    "invoice_point_stored",
+    with_sources(*SOURCE_TABLES, then=GONE, select=DETAIL + "WHERE invoice_no = 'INV-42' AND invoice_id NOT IN (FROM gone)"),
+)
+def invoice_point_stored(spark, folder):
+    """One invoice of a store: its id by the index of numbers, its rows from its own blocks."""
+    return reads.invoice_detail(_stored(spark, folder), "INV-42")
+
+
+@query(
+    "stored_index",
+    with_sources(
+        "products",
+        select="""
+SELECT product_name, product_id FROM products
+UNION ALL
+SELECT n_name, (SELECT max(product_id) FROM products) + row_number() OVER (ORDER BY n_name, n_nationkey) FROM nation""",
+    ),
+)
+def stored_index(spark, folder):
+    """Every stored product by its name."""
+    tx = _stored(spark, folder).begin()
+    return tx.ids_of("products", tx.read("products").select("product_name"))
+
+
 @query(
     "stored_update_insert",
     with_sources(

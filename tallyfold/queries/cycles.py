@@ -13,7 +13,7 @@ from tallyfold.queries.registry import once, query, with_sources
 from tallyfold.schemas import SOURCE_TABLES
 from tallyfold.session import fresh_path
 from tallyfold.sources.tables import read_source
-from tallyfold.streaming.continuous import run_stream
+from tallyfold.streaming.continuous import one_stream, run_stream, take_batch
 
 FIRST, SECOND = "2024-01-15 00:00:00", "2024-04-01 00:00:00"
 CHANGED = "2024-03-01 00:00:00"
@@ -522,3 +522,54 @@ FROM (SELECT payment_id, invoice_id, amount, created_at FROM payments
 def stream_increment_payment(spark, folder):
     found = _streamed_twice(spark, folder).read("fact_payment")
     return found.select("payment_key", "payment_id", "invoice_id", "amount", "created_at")
+
+
+@query(
+    "stream_rows_without_stamp",
+    with_sources(
+        "payments",
+        select="""
+SELECT row_number() OVER (ORDER BY payment_id) AS payment_key, payment_id, invoice_id, amount,
+       CASE WHEN payment_id % 3 = 0 THEN NULL ELSE created_at END AS created_at
+FROM payments""",
+    ),
+)
+def stream_rows_without_stamp(spark, folder):
+    """Payments of which every third has no stamp, landed twice: each is stored once."""
+    root = fresh_path(spark, "landed-unstamped")
+    star = open_star(spark, fresh_path(spark, "star-unstamped"), block_rows=BLOCK_ROWS)
+    init_star(star)
+    init_marks(star)
+    state = fresh_path(spark, "stream-unstamped-state")
+    payments = fixtures.payments(spark, folder)
+    stamped = F.when(F.col("payment_id") % 3 != 0, F.col("created_at"))
+    folders = {name: f"{root}/{name}" for name in SOURCE_TABLES}
+    for name, table in SOURCE_TABLES.items():
+        spark.createDataFrame([], table.schema).write.parquet(folders[name])
+    for _ in range(2):
+        payments.withColumn("created_at", stamped).write.mode("append").parquet(folders["payments"])
+        run_stream(spark, star, folders, state, interval=None, retries=0).awaitTermination()
+    return star.read("fact_payment").select("payment_key", "payment_id", "invoice_id", "amount", "created_at")
+
+
+@query(
+    "stream_replayed_append",
+    with_sources(
+        "payments",
+        select="""
+SELECT row_number() OVER (ORDER BY payment_id % 5 = 0, payment_id) AS payment_key, invoice_id, payment_reference AS reference,
+       amount, CASE WHEN payment_id % 3 = 0 THEN NULL ELSE created_at END AS created_at
+FROM payments""",
+    ),
+)
+def stream_replayed_append(spark, folder):
+    """Two batches, each given twice, into a star that does not know source ids: every payment is stored once."""
+    star = open_star(spark, fresh_path(spark, "star-replayed"), "append", BLOCK_ROWS)
+    init_star(star)
+    init_marks(star)
+    payments = fixtures.payments(spark, folder)
+    rows = payments.withColumn("created_at", F.when(F.col("payment_id") % 3 != 0, F.col("created_at")))
+    for number, later in ((0, False), (1, True), (1, True), (0, False)):
+        part = one_stream({"payments": rows.where((F.col("payment_id") % 5 == 0) == later)})
+        take_batch(star, part, "changes", number, FIRST, retries=0)
+    return star.read("fact_payment").select("payment_key", "invoice_id", "reference", "amount", "created_at")

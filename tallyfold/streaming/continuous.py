@@ -33,7 +33,7 @@ def change_stream(
     the newest file one may be and still be taken; what the checkpoint has to
     remember is bounded by it.
     """
-    frames = []
+    frames = {}
     for name in STREAMS:
         schema = SOURCE_TABLES[name].schema
         reader = spark.readStream.schema(schema)
@@ -43,15 +43,22 @@ def change_stream(
             reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", f"{archive}/{name}")
         if oldest:
             reader = reader.option("maxFileAge", oldest)
-        rows = reader.parquet(folders[name])
+        frames[name] = reader.parquet(folders[name])
+    return one_stream(frames)
+
+
+def one_stream(frames: dict[str, DataFrame]) -> DataFrame:
+    """Rows of several source tables as one frame; `rows_of` takes them apart."""
+    parts = []
+    for name, rows in frames.items():
         columns = [
             F.struct(*rows.columns).alias(o) if o == name else F.lit(None).cast(SOURCE_TABLES[o].schema).alias(o)
             for o in STREAMS
         ]
-        frames.append(rows.select(F.lit(name).alias(STREAM), *columns))
-    union = frames[0]
-    for frame in frames[1:]:
-        union = union.unionByName(frame)
+        parts.append(rows.select(F.lit(name).alias(STREAM), *columns))
+    union = parts[0]
+    for part in parts[1:]:
+        union = union.unionByName(part)
     return union
 
 

@@ -1,0 +1,245 @@
+"""Where rows lie: which folders reads, loads and deletes open, and how many there are."""
+
+import datetime
+from decimal import Decimal as D
+
+import pytest
+from pyspark.sql import functions as F
+from test_cycle import day, item, load, payment
+from test_ingest import document
+from test_ingest import item as line_item
+from test_ingest import load as ingest
+
+from tallyfold.operators import dml, reads
+from tallyfold.plans.cycle import init_marks, init_star, load_facts, open_star
+from tallyfold.plans.ingest import open_source
+from tallyfold.sources.store import CROWDED, Transaction
+from tallyfold.streaming import continuous
+
+NOW = datetime.datetime(2024, 5, 1)
+
+
+@pytest.fixture
+def opened(monkeypatch):
+    """(table, block, path) of every folder that is scanned."""
+    seen = []
+    real = Transaction._scan
+
+    def scan(self, name, parts):
+        seen.extend((name, p["block"], p["path"]) for p in parts)
+        return real(self, name, parts)
+
+    monkeypatch.setattr(Transaction, "_scan", scan)
+    return seen
+
+
+def blocks(seen, name):
+    return {b for n, b, _ in seen if n == name}
+
+
+def numbered(count, start=0):
+    return [document(str(i), items=[line_item("a"), line_item(f"p{i}")]) for i in range(start, start + count)]
+
+
+PAYMENTS = "invoice_no string, payment_date date, payment_method string, amount decimal(14,2)"
+
+
+@pytest.fixture(scope="module")
+def paid(spark, tmp_path_factory):
+    """Forty invoices, most of them paid, in many blocks."""
+    root = str(tmp_path_factory.mktemp("layout"))
+    rows = [(str(i), NOW.date(), "CASH", D(f"{i + 1}.00")) for i in range(30) for _ in range(2)]
+    store = open_source(spark, f"{root}/store", block_rows=4, buckets=16)
+    return ingest(spark, root, numbered(40), store=store, payments=spark.createDataFrame(rows, PAYMENTS))[0]
+
+
+def test_point_read_opens_the_blocks_of_one_invoice(paid, opened):
+    found = reads.invoice_detail(paid, "7").collect()
+    assert sorted(r["product_name"] for r in found) == ["a", "a", "p7", "p7"]
+    for name in ("invoices_by_invoice_no", "invoices", "invoice_items", "payments"):
+        assert len(blocks(opened, name)) == 1, name
+    opened.clear()
+    assert reads.invoice_detail(paid, "none").count() == 0
+    assert not blocks(opened, "invoice_items") and not blocks(opened, "payments")
+
+
+def test_cascade_opens_the_blocks_of_the_invoice(paid, opened):
+    tx = paid.begin()
+    dml.delete(tx, "invoices", F.col("invoice_no") == "7")
+    assert len(blocks(opened, "invoice_items")) == 1 and len(blocks(opened, "payments")) == 1
+    assert (tx.read("invoices").count(), tx.read("invoice_items").count(), tx.read("payments").count()) == (39, 78, 58)
+    # The number is free again, and what was paid is gone with the payments.
+    number = tx.read("invoices").sparkSession.createDataFrame([("7",)], "invoice_no string")
+    assert tx.ids_of("invoices", number).where("invoice_no = '7'").count() == 0
+    assert totals(tx) == summed(tx)
+
+
+def totals(tx):
+    return sorted(tuple(r) for r in tx.read("payment_totals").collect())
+
+
+def summed(tx):
+    sums = tx.read("payments").groupBy("invoice_id").agg(F.count("*"), F.sum("amount").cast("decimal(24,2)"))
+    return sorted(tuple(r) for r in sums.collect())
+
+
+def test_one_line_opens_as_many_blocks_as_it_has_keys(spark, paid, tmp_path, opened):
+    """One seller, client and invoice, two products; and one payment, for which no payment is read."""
+    pay = spark.createDataFrame([("7", NOW.date(), "CASH", D("5.00"))], PAYMENTS)
+    before = paid.version()
+    store, report = ingest(spark, str(tmp_path), numbered(1, 100), store=paid, payments=pay)
+    assert report.accepted == 1
+    known = {p["path"] for t in before["tables"].values() for p in t["parts"]}
+    old = [o for o in opened if o[2] in known]
+    for name, keys in (("sellers_by_seller_tax_id", 1), ("products_by_product_name", 2), ("invoices_by_invoice_no", 2)):
+        assert len(blocks(old, name)) <= keys, name
+    assert not blocks(old, "clients") and not blocks(old, "products") and not blocks(old, "invoice_items")
+    assert not blocks(old, "payments")
+    assert len(blocks(old, "invoices")) <= 1 and len(blocks(old, "payment_totals")) <= 1
+    tx = store.begin()
+    assert totals(tx) == summed(tx)
+
+
+def test_totals_follow_every_change(paid):
+    tx = paid.begin()
+    dml.update(tx, "payments", F.col("invoice_id") < 4, {"amount": F.lit(D("0.50"))}, NOW)
+    assert totals(tx) == summed(tx)
+    dml.update(tx, "payments", F.col("invoice_id") == 1, {"invoice_id": F.lit(2)}, NOW)
+    assert totals(tx) == summed(tx) and {t[0] for t in totals(tx)} >= {2, 3} and 1 not in {t[0] for t in totals(tx)}
+    dml.delete(tx, "payments", F.col("invoice_id").isin(2, 5))
+    assert totals(tx) == summed(tx)
+    dml.delete(tx, "payments", F.lit(True))
+    assert totals(tx) == []
+
+
+def test_index_follows_every_change(paid):
+    tx = paid.begin()
+    spark = tx.spark
+
+    def ids(*names):
+        wanted = spark.createDataFrame([(n,) for n in names], "product_name string")
+        return sorted(tuple(r) for r in tx.ids_of("products", wanted).join(wanted, "product_name").collect())
+
+    known = ids("p1", "p2")
+    assert len(known) == 2
+    dml.update(tx, "products", F.col("product_name") == "p1", {"product_name": F.lit("new")}, NOW)
+    assert ids("p1", "p2", "new") == [("new", known[0][1]), known[1]]
+    dml.update(tx, "products", F.col("product_name") == "p2", {"unit_price": F.lit(D("3.00"))}, NOW)
+    dml.insert(tx, "products", spark.createDataFrame([("p1", D("1.00"))], "product_name string, unit_price decimal(12,2)"), NOW)
+    assert len(ids("p1")) == 1 and ids("p2") == [known[1]]
+    dml.delete(tx, "products", F.col("product_name") == "p1")
+    assert ids("p1", "p2") == [known[1]]
+    tx.clear("products")
+    assert ids("p2") == []
+
+
+def test_sparse_parents_make_a_bounded_number_of_folders(spark, tmp_path):
+    store = open_source(spark, str(tmp_path), block_rows=1, buckets=8)
+    tx = store.begin()
+    items = [(i, i * 10**9, 1, None, None, None, None, None, NOW) for i in range(500)]
+    tx.append("invoice_items", spark.createDataFrame(items, store.tables["invoice_items"].schema))
+    assert len(tx.blocks("invoice_items")) == 8
+    wanted = spark.createDataFrame([(7 * 10**9,)], "invoice_id long")
+    found = tx.read("invoice_items", tx.blocks_of("invoice_items", wanted))
+    assert found.where("invoice_id = 7000000000").count() == 1 and found.count() < 200
+
+
+def star_in(spark, root, mode="idempotent"):
+    star = open_star(spark, root, mode, block_rows=4)
+    init_star(star)
+    init_marks(star)
+    return star
+
+
+def test_folders_of_a_period_are_merged(spark, tmp_path):
+    star = star_in(spark, str(tmp_path))
+    schema = star.tables["fact_payment"].schema
+    for n in range(20):
+        tx = star.begin()
+        stamp = day(1 + n % 2) if n % 10 else datetime.datetime(2023, 1, 1)
+        tx.append("fact_payment", spark.createDataFrame([(n, 1, 20240101, None, "m", "r", stamp, n)], schema))
+        tx.commit()
+    parts = star.version()["tables"]["fact_payment"]["parts"]
+    assert {p["block"] for p in parts} == {202401, 202301}
+    assert len([p for p in parts if p["block"] == 202401]) < CROWDED
+    assert sorted(r[0] for r in star.read("fact_payment").select("payment_key").collect()) == list(range(20))
+
+
+def test_a_late_row_opens_its_own_period(star_with_history, opened):
+    star, job, rows = star_with_history
+    rows["payments"] = [payment(1), payment(50, at=1)]
+    rows["payments"].append(payment(60)[:-1] + (datetime.datetime(2010, 6, 1),))
+    job.every_row = job.newest_only = True
+    load_facts(job, day(21))
+    assert blocks(opened, "fact_payment") == {201006, 202401}
+    stored = star.read("fact_payment").select("payment_id").collect()
+    assert sorted(r[0] for r in stored) == [1, 2, 50, 60, 70]
+
+
+@pytest.fixture
+def star_with_history(spark, tmp_path):
+    star = star_in(spark, str(tmp_path))
+    job, rows = load(star)
+    old = [payment(70)[:-1] + (datetime.datetime(2010, 6, 2),), payment(2)[:-1] + (datetime.datetime(2015, 6, 2),)]
+    rows["payments"] = [payment(1), *old]
+    load_facts(job, day(10))
+    return star, job, rows
+
+
+def land(spark, folder, name, rows):
+    from tallyfold.schemas import SOURCE_TABLES
+
+    spark.createDataFrame(rows, SOURCE_TABLES[name].schema).coalesce(1).write.mode("append").parquet(f"{folder}/{name}")
+
+
+@pytest.mark.parametrize("mode", ["append", "idempotent"])
+def test_a_batch_that_failed_after_publishing_is_not_loaded_twice(spark, tmp_path, monkeypatch, mode):
+    from tallyfold.schemas import SOURCE_TABLES
+
+    star = star_in(spark, str(tmp_path / "star"), mode)
+    _, rows = load(star)
+    rows["payments"] = [payment(1), payment(2)[:-1] + (None,)]
+    rows["invoice_items"] = [item(1), item(2)[:-1] + (None,)]
+    folders = {name: str(tmp_path / "in" / name) for name in SOURCE_TABLES}
+    for name, new in rows.items():
+        land(spark, str(tmp_path / "in"), name, new)
+    real = continuous.run_cycle
+
+    def lost(*args, **options):
+        real(*args, **options)
+        raise RuntimeError("lost after publishing")
+
+    def go():
+        run = continuous.run_stream(spark, star, folders, str(tmp_path / "state"), interval=None, retries=0, clock=lambda: day(9))
+        run.awaitTermination()
+
+    monkeypatch.setattr(continuous, "run_cycle", lost)
+    with pytest.raises(Exception, match="lost after publishing"):
+        go()
+    version = star.latest()
+    monkeypatch.setattr(continuous, "run_cycle", real)
+    go()
+    assert star.latest() == version
+    for table in ("fact_payment", "fact_invoice_item"):
+        assert star.read(table).count() == 2
+        assert star.read(table).where("created_at IS NULL").count() == 1
+
+
+def test_landing_folders_are_emptied_into_the_archive(spark, tmp_path):
+    """Restarted after each landing; what was taken is moved away, nothing is taken twice."""
+    from tallyfold.schemas import SOURCE_TABLES
+
+    star = star_in(spark, str(tmp_path / "star"), "append")
+    folders = {name: str(tmp_path / "in" / name) for name in SOURCE_TABLES}
+    for name in SOURCE_TABLES:
+        land(spark, str(tmp_path / "in"), name, [])
+    for n in range(1, 5):
+        land(spark, str(tmp_path / "in"), "payments", [payment(n, at=n)])
+        run = continuous.run_stream(
+            spark, star, folders, str(tmp_path / "state"), interval=None, retries=0, archive=str(tmp_path / "done"), oldest="3650d"
+        )
+        run.awaitTermination()
+    assert sorted(r[0] for r in star.read("fact_payment").select("payment_key").collect()) == [1, 2, 3, 4]
+    left = list((tmp_path / "in" / "payments").glob("*.parquet"))
+    moved = list((tmp_path / "done").rglob("*.parquet"))
+    assert len(left) <= 2 and len(moved) >= 3
