@@ -262,7 +262,12 @@ _PRIVATE = re.compile(r"10\.|127\.|192\.168\.|169\.254\.|172\.(?:1[6-9]|2\d|3[01
 
 
 def _ipv4(entity: Entity, draw: _Stream, grow: int) -> str:
+    """A private address stays in its network, and where that is full becomes one of 10.0.0.0/8, then any other; where
+    these are full too, a port follows, with as many digits as it takes."""
     prefix = m.group() if (m := _PRIVATE.match(entity.norm)) else ""
+    if prefix and grow > 1:
+        prefix, entity = ("10." if grow == 2 else ""), entity._replace(norm="10.1.1.1")
+    port = f":{draw.below(10 ** (grow - 4))}" if grow > 5 else ""
     while True:
         parts = []
         for octet in entity.norm[len(prefix) :].split("."):
@@ -270,10 +275,13 @@ def _ipv4(entity: Entity, draw: _Stream, grow: int) -> str:
             parts.append(str(low + draw.below(high - low + 1)))
         made = prefix + ".".join(parts)
         if prefix or not _PRIVATE.match(made):
-            return made
+            return made + port
 
 
 def _ipv6(entity: Entity, draw: _Stream, grow: int) -> str:
+    """Keeps the form, and where all addresses of a short form are taken is a full address."""
+    if grow:
+        return ":".join(f"{draw.below(1 << 16):04x}" for _ in range(8))
     return "".join("0123456789abcdef"[draw.below(16)] if c != ":" else c for c in entity.norm)
 
 

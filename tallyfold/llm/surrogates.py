@@ -56,7 +56,8 @@ def assign(entities: DataFrame, key: bytes) -> DataFrame:
     """(kind, scope, norm, value) for distinct entities; values differ from each other and from all entities.
 
     Rounds end when nothing is refused. Each holds only what the round before refused, and after some attempts
-    surrogates grow, so that a small range (one letter, say) cannot be exhausted.
+    surrogates grow: a small range (one letter, a short address form, a private network) widens, so the rounds end
+    whatever the corpus holds.
     """
     names = entities.select("kind", "scope", F.col("norm").alias("value"))
     left = entities.withColumn("attempt", F.lit(0))

@@ -132,3 +132,28 @@ def test_query(spark, small):
         things = [m.group() for m in leak.finditer(d.text)]
         assert (r.text == d.text) == (not things)
         assert all(t not in r.text for t in things)
+
+
+def test_full_ranges_end(spark):
+    """More entities than a short address form or a private network has room for."""
+    short = [f"{a:x}::{b:x}" for a in range(16) for b in range(16)] + [f"{a:x}::{b:x}" for a in range(16, 20) for b in range(16)]
+    private = [f"192.168.{a}.{b}" for a in range(256) for b in range(256)] + [f"169.254.{a}.{b}" for a in range(20) for b in range(256)]
+    rows = [("ipv6", "", n) for n in short] + [("ipv4", "", n) for n in private]
+    entities = spark.createDataFrame(rows, "kind string, scope string, norm string")
+    done = surrogates.assign(entities, KEY).collect()
+    assert len(done) == len(rows) == len({(r.kind, r.value) for r in done})
+    assert not {r.value for r in done} & {n for _, _, n in rows}
+
+
+def test_against_plain_replacement(spark):
+    """Each span replaced from behind by its surrogate gives the new text; the same entity has the same surrogate."""
+    texts = ["Mail ann@example.com or call +1 212 555 0143 now", "ann@example.com, 10.1.2.3 and Ann@example.com", "nothing", ""]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.row.doc_id: (r.text, r.spans) for r in surrogates.replace(rows, KEY).collect()}
+    for i, old in enumerate(texts):
+        new = old
+        for span in sorted(found[i][1], key=lambda s: -s.start):
+            new = new[: span.start] + span.value + new[span.end :]
+        assert new == found[i][0]
+    assert found[0][1][0].value.lower() == found[1][1][0].value.lower()
+    assert found[2] == ("nothing", []) and found[3] == ("", [])
