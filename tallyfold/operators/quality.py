@@ -49,7 +49,12 @@ def fk_violations(child: DataFrame, column: str, parent: DataFrame, parent_colum
 
 
 def breach(table: Table, df: DataFrame) -> Column:
-    """Name of the first row rule that a row breaks, NULL when it breaks none.
+    """Name of the first row rule that a row breaks, NULL when it breaks none."""
+    return F.coalesce(*breaches(table, df))
+
+
+def breaches(table: Table, df: DataFrame) -> list[Column]:
+    """For each row rule its name where a row breaks it, else NULL.
 
     Covers required columns, text lengths, number ranges and checks, all in
     one pass; key columns that are yet to be generated are not looked at.
@@ -67,7 +72,7 @@ def breach(table: Table, df: DataFrame) -> Column:
             found.append((_overflows(c.name, c.type.simpleString()), f"{c.name} is out of range"))
     for name, check in table.checks.items():
         found.append((~F.expr(check), f"{name} fails"))
-    return F.coalesce(*(F.when(test, F.lit(reason)) for test, reason in found))
+    return [F.when(test, F.lit(reason)) for test, reason in found]
 
 
 def row_violations(table: Table, df: DataFrame) -> DataFrame:
@@ -76,7 +81,7 @@ def row_violations(table: Table, df: DataFrame) -> DataFrame:
 
 
 def violations(table: Table, df: DataFrame, parents: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """One frame of offending rows per declared rule group of a table."""
+    """One frame of offending rows per declared rule group of a table, with whole rows; `audit` judges all at once."""
     found = {"rows": row_violations(table, df)}
     for columns in [table.key, *table.unique]:
         found[f"unique {columns}"] = unique_violations(df, [columns])
@@ -85,6 +90,56 @@ def violations(table: Table, df: DataFrame, parents: dict[str, DataFrame]) -> di
     return found
 
 
+_ENTRY = "struct<domain:string,value:string,source:string,rule:string>"
+
+
+def _entries(table: Table, df: DataFrame) -> DataFrame:
+    """What a row says about values: which it owns (no rule), which it refers to, and which rule it breaks.
+
+    A domain is a column whose values rows own; broken row rules have one of their own for each table.
+    """
+
+    def entry(domain: str, value: str, rule: Column | None) -> Column:
+        text = F.col(value).cast("string")
+        return F.struct(F.lit(domain), text, F.lit(table.name), F.lit(None) if rule is None else rule).cast(_ENTRY)
+
+    owned = [(f"{table.name}.{c}", c, None) for c in dict.fromkeys((table.key, *table.unique))]
+    referred = [(f"{r.parent}.{r.parent_column}", r.column, F.lit(f"{r.column} refers to no row")) for r in table.references]
+    made = [F.when(F.col(c).isNotNull(), entry(domain, c, rule)) for domain, c, rule in owned + referred]
+    broken = [F.when(b.isNotNull(), entry(table.name, table.key, b)) for b in breaches(table, df)]
+    return df.select(F.inline(F.filter(F.array(*made, *broken), lambda e: e.isNotNull())))
+
+
+def audit(tables: dict[str, Table], rows: dict[str, DataFrame]) -> DataFrame:
+    """Everything that breaks a declared rule: (table_name, rule, value, n).
+
+    For a row rule `value` is the key of the row; for a unique column the value that occurs more than once; for a
+    reference the value that no row of the parent has. `n` counts the rows. Keys count as unique columns; a NULL is
+    never repeated and refers to nothing.
+
+    All rules of all tables are judged by one aggregate over what the rows own and refer to, which is added up in each
+    task before it is shuffled; each table is scanned once, and no rows are gathered for a hot parent. References to
+    tables that are not among `rows` are not looked at.
+    """
+    union = None
+    for name, df in rows.items():
+        entries = _entries(tables[name], df)
+        union = entries if union is None else union.unionByName(entries)
+    counted = union.groupBy("domain", "value", "source", "rule").agg(F.count(F.lit(1)).alias("n"))
+    judged = counted.groupBy("domain", "value").agg(
+        F.sum(F.when(F.col("rule").isNull(), F.col("n"))).alias("own"),
+        # At most one for each rule that looks at the column.
+        F.collect_list(F.when(F.col("rule").isNotNull(), F.struct("source", "rule", "n"))).alias("looked"),
+    )
+    owner, column = F.substring_index("domain", ".", 1), F.substring_index("domain", ".", -1)
+    twice = F.struct(owner.alias("source"), F.concat(column, F.lit(" is repeated")).alias("rule"), F.col("own").alias("n"))
+    repeated = F.when(F.col("own") > 1, F.array(twice))
+    lost = F.when(F.col("own").isNull() & owner.isin(list(rows)), F.col("looked"))
+    none = F.array().cast("array<struct<source:string,rule:string,n:bigint>>")
+    found = F.concat(F.coalesce(repeated, none), F.coalesce(lost, none))
+    return judged.select("value", F.inline(found)).select(F.col("source").alias("table_name"), "rule", "value", "n")
+
+
 def enforce(offending: DataFrame, message: str) -> None:
     """Raise when there is any offending row."""
     row = offending.first()

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from tallyfold.operators import quality
 from tallyfold.plans import fixtures
 from tallyfold.queries.reads import numbered_items
+from tallyfold.queries.cycles import INVOICE_LOADS, ITEM_LOADS, table_after
 from tallyfold.queries.registry import query, with_sources
-from tallyfold.schemas import INVOICE_ITEMS, INVOICES, PAYMENTS
+from tallyfold.schemas import INVOICE_ITEMS, INVOICES, PAYMENTS, SOURCE_TABLES, star_tables
 
 
 @query("unique_violations_product_name", "SELECT p_name, count(*) AS n FROM part GROUP BY 1 HAVING count(*) > 1")
@@ -148,3 +149,71 @@ FROM payments WHERE payment_method = 'WIRE'""",
 def payment_rules(spark, folder):
     found = quality.row_violations(PAYMENTS, fixtures.payments(spark, folder))
     return found.select("payment_id", "payment_method", "amount", "breach")
+
+
+@query(
+    "audit_source",
+    with_sources(
+        *SOURCE_TABLES,
+        then="""
+few AS (SELECT * FROM sellers WHERE seller_address <> 'Nation 3'),
+twice AS (SELECT * FROM clients UNION ALL SELECT * FROM clients WHERE client_id % 10 = 0),
+short AS (SELECT * REPLACE (item_qty - 1 AS item_qty) FROM invoice_items)""",
+        select="""
+SELECT 'invoices' AS table_name, 'seller_id is null' AS rule, CAST(invoice_id AS VARCHAR) AS value, 1 AS n
+FROM invoices WHERE seller_id IS NULL
+UNION ALL SELECT 'invoices', 'seller_id refers to no row', CAST(seller_id AS VARCHAR), count(*)
+FROM invoices WHERE seller_id NOT IN (SELECT seller_id FROM few) GROUP BY seller_id
+UNION ALL SELECT 'invoices', 'client_id refers to no row', CAST(client_id AS VARCHAR), count(*)
+FROM invoices WHERE client_id NOT IN (SELECT client_id FROM clients) GROUP BY client_id
+UNION ALL SELECT 'clients', 'client_id is repeated', CAST(client_id AS VARCHAR), count(*)
+FROM twice GROUP BY client_id HAVING count(*) > 1
+UNION ALL SELECT 'clients', 'client_tax_id is repeated', client_tax_id, count(*)
+FROM twice GROUP BY client_tax_id HAVING count(*) > 1
+UNION ALL SELECT 'invoice_items', 'item_qty_positive fails', CAST(item_id AS VARCHAR), 1 FROM short WHERE item_qty <= 0
+UNION ALL SELECT 'invoice_items', 'invoice_id refers to no row', CAST(invoice_id AS VARCHAR), count(*)
+FROM short WHERE invoice_id NOT IN (SELECT invoice_id FROM invoices) GROUP BY invoice_id
+UNION ALL SELECT 'invoice_items', 'product_id refers to no row', CAST(product_id AS VARCHAR), count(*)
+FROM short WHERE product_id NOT IN (SELECT product_id FROM products) GROUP BY product_id
+UNION ALL SELECT 'payments', 'payment_method_known fails', CAST(payment_id AS VARCHAR), 1
+FROM payments WHERE payment_method = 'WIRE'
+UNION ALL SELECT 'payments', 'amount_positive fails', CAST(payment_id AS VARCHAR), 1 FROM payments WHERE amount <= 0
+UNION ALL SELECT 'payments', 'invoice_id refers to no row', CAST(invoice_id AS VARCHAR), count(*)
+FROM payments WHERE invoice_id NOT IN (SELECT invoice_id FROM invoices) GROUP BY invoice_id""",
+    ),
+)
+def audit_source(spark, folder):
+    """All rules of the six source tables: with a group of sellers left out, some clients twice and less of each item."""
+    rows = {name: fixtures.READERS[name](spark, folder) for name in SOURCE_TABLES if name != "invoice_items"}
+    rows["sellers"] = rows["sellers"].where("seller_address <> 'Nation 3'")
+    rows["clients"] = rows["clients"].unionByName(rows["clients"].where("client_id % 10 = 0"))
+    rows["invoice_items"] = numbered_items(spark, folder).withColumn("item_qty", F.col("item_qty") - 1)
+    return quality.audit(SOURCE_TABLES, rows)
+
+
+@query(
+    "audit_star",
+    with_sources(
+        "sellers", "clients", "products", "invoices", "invoice_items",
+        then=INVOICE_LOADS.replace("load1", "heads").replace("load2", "heads2") + "," + ITEM_LOADS,
+        select="""
+SELECT 'fact_invoice' AS table_name, 'seller_key refers to no row' AS rule, CAST(seller_key AS VARCHAR) AS value, count(*) AS n
+FROM heads WHERE seller_key % 7 = 0 GROUP BY seller_key
+UNION ALL SELECT 'fact_invoice', 'invoice_date_key refers to no row', strftime(invoice_date, '%Y%m%d'), count(*)
+FROM heads WHERE day(invoice_date) = 13 GROUP BY invoice_date
+UNION ALL SELECT 'fact_invoice_item', 'product_key refers to no row', CAST(product_key AS VARCHAR), count(*)
+FROM load1 WHERE product_key % 50 = 0 GROUP BY product_key
+UNION ALL SELECT 'dim_client', c || ' is repeated', CAST(v AS VARCHAR), 2
+FROM (SELECT 'client_key' AS c, client_key AS v FROM dim_client1 WHERE client_id % 20 = 0
+      UNION ALL SELECT 'client_id', client_id FROM dim_client1 WHERE client_id % 20 = 0) t""",
+    ),
+)
+def audit_star(spark, folder):
+    """All rules of the star after a cycle: with sellers, products and days left out and some clients twice."""
+    names = ("dim_seller", "dim_client", "dim_product", "dim_date", "fact_invoice", "fact_invoice_item")
+    rows = {name: table_after(spark, folder, name, 1) for name in names}
+    rows["dim_seller"] = rows["dim_seller"].where("seller_key % 7 <> 0")
+    rows["dim_product"] = rows["dim_product"].where("product_key % 50 <> 0")
+    rows["dim_date"] = rows["dim_date"].where("date_key % 100 <> 13")
+    rows["dim_client"] = rows["dim_client"].unionByName(rows["dim_client"].where("client_id % 20 = 0"))
+    return quality.audit(star_tables(), rows)

@@ -134,3 +134,41 @@ def test_a_cycle_pairs_and_gathers_no_rows(cycle_plans):
         assert "CartesianProduct" not in text and "NestedLoop" not in text
         if "InsertIntoHadoopFsRelationCommand" in text and "day_name" not in text and "etl_watermarks" not in text:
             assert "SinglePartition" not in text
+
+
+def test_audit_scans_each_table_once(spark, tmp_path):
+    from tallyfold.operators import quality
+
+    rows = {}
+    for name, table in SOURCE_TABLES.items():
+        spark.createDataFrame([], table.schema).write.parquet(str(tmp_path / name))
+        rows[name] = spark.read.parquet(str(tmp_path / name))
+    text = plan(quality.audit(SOURCE_TABLES, rows))
+    assert text.count("FileScan parquet") == len(SOURCE_TABLES)
+    assert "Join" not in text and text.count("Exchange") == 2
+
+
+def test_audit_rules(spark):
+    """Several rules broken by one row, NULLs, a parent that is not among the tables, nothing at all."""
+    from tallyfold.operators import quality
+
+    names = "payment_id long, invoice_id long, payment_date date, payment_method string, payment_reference string, "
+    names += "amount decimal(20,2), remarks string, created_at timestamp_ntz"
+    long = "r" * 101
+    payments = spark.sql(
+        f"""SELECT * FROM VALUES (1L, 7L, DATE'2024-01-01', 'WIRE', '{long}', -1.00, NULL, NULL),
+            (1L, 7L, NULL, NULL, NULL, 1.00, NULL, NULL), (NULL, NULL, DATE'2024-01-01', 'CASH', NULL, 1000000000000000.00, NULL, NULL)
+            AS t({", ".join(c.split()[0] for c in names.split(", "))})"""
+    )
+    found = {tuple(r) for r in quality.audit(SOURCE_TABLES, {"payments": payments}).collect()}
+    broken = {
+        ("payments", "payment_id is repeated", "1", 2), ("payments", "payment_date is null", "1", 1),
+        ("payments", "payment_method_known fails", "1", 1), ("payments", "payment_reference is too long", "1", 1),
+        ("payments", "amount_positive fails", "1", 1), ("payments", "payment_id is null", None, 1),
+        ("payments", "invoice_id is null", None, 1), ("payments", "amount is out of range", None, 1),
+    }
+    assert found == broken
+    invoices = spark.createDataFrame([], SOURCE_TABLES["invoices"].schema)
+    found = {tuple(r) for r in quality.audit(SOURCE_TABLES, {"payments": payments, "invoices": invoices}).collect()}
+    assert found == broken | {("payments", "invoice_id refers to no row", "7", 2)}
+    assert quality.audit(SOURCE_TABLES, {"invoices": invoices}).count() == 0
