@@ -120,7 +120,7 @@ def train(docs: DataFrame, labels: DataFrame, identity: str = "doc_id", text: st
 
     Half of each class builds its dictionary, the other half fits the calibration, weighted to the share that the
     classes have among all labelled training rows. Rows with a null or another label, without text, or whose text is
-    too long do not train. Without rows of both classes every score is 0.5.
+    too long do not train; of texts with one id the least does. Without rows of both classes every score is 0.5.
     """
     known = (
         labels.select(F.col(identity).alias("id"), F.col(label).cast("int").alias("label"))
@@ -132,13 +132,20 @@ def train(docs: DataFrame, labels: DataFrame, identity: str = "doc_id", text: st
     chosen = None
     for value in (0, 1):
         # Somewhat more than needed, as long texts drop out; both numbers are bounds.
-        rows = known.where(F.col("label") == value).withColumn("turn", turn).orderBy("turn", "id").limit(2 * ROWS)
+        rows = known.where(F.col("label") == value).withColumn("turn", turn)
+        part = 4 * ROWS / max(share.get(value, 0), 1)
+        if part < 1:
+            # The least hashes are in this part of their range; no task offers the driver many more than are taken.
+            rows = rows.where(F.col("turn") < int(part * (1 << 64)) - (1 << 63))
+        rows = rows.orderBy("turn", "id").limit(2 * ROWS)
         chosen = rows if chosen is None else chosen.unionByName(rows)
     texts = docs.select(F.col(identity).alias("id"), F.col(text).alias("text")).where(
         F.col("text").isNotNull() & (F.length("text") <= LONGEST)
     )
+    # Rows may share an id, any number of them.
+    one = texts.join(F.broadcast(chosen), "id").groupBy("id", "label", "turn").agg(F.min("text").alias("text"))
     samples = {0: [], 1: []}
-    for row in sorted(texts.join(F.broadcast(chosen), "id").collect(), key=lambda r: (r["turn"], r["id"], r["text"])):
+    for row in sorted(one.collect(), key=lambda r: (r["turn"], r["id"], r["text"])):
         if len(samples[row["label"]]) < ROWS:
             samples[row["label"]].append(row["text"])
     if min(len(samples[0]), len(samples[1])) < 2:
