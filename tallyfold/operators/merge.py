@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyfold.operators.keys import assign_keys, group_counts, number_in_groups
+from tallyfold.operators.keys import assign_keys, group_counts, number_in_groups, offsets_frame
 from tallyfold.session import stage
 from tallyfold.sources.store import BLOCK, Transaction
 
@@ -213,7 +213,7 @@ def upsert(tx: Transaction, name: str, batch: DataFrame, newer: bool = False) ->
         counts = group_counts(new, block)
 
     start = tx.high_key(name)
-    numbered = number_in_groups(new, block, [key], counts, start, surrogate) if counts else None
+    numbered = number_in_groups(new, block, [key], offsets_frame(tx.spark, counts, start), surrogate) if counts else None
 
     if known_blocks:
         if small:

@@ -57,3 +57,41 @@ def test_number_of_groups_is_bounded(spark):
         width = keys.block_width(spark, 0, high)
         assert high // width <= keys.MOST_BLOCKS
         assert width >= keys.SMALL_BLOCK
+
+
+def test_offsets_over_many_spans(spark, monkeypatch):
+    """More groups than a span holds, with gaps; the driver sees one total for each span."""
+    monkeypatch.setattr(keys, "SPAN", 8)
+    counts = {g: g % 5 + 1 for g in range(0, 900, 3)}
+    frame = spark.createDataFrame(list(counts.items()), f"{keys.GROUP} long, n long").repartition(5)
+    offsets, last = keys.offsets_of(frame, 100)
+    expected, at = {}, 100
+    for group in sorted(counts):
+        expected[group] = at
+        at += counts[group]
+    assert {r[keys.GROUP]: r[keys.OFFSET] for r in offsets.collect()} == expected and last == at
+
+
+def test_running_totals(spark):
+    rows = [(f"f{i % 7}", i, i % 4) for i in range(500)]
+    df = spark.createDataFrame(rows, "file string, split long, n long").repartition(6)
+    found, total = keys.running_totals(df, ["file", "split"], "n", "before")
+    expected, at = {}, 0
+    for file, split, n in sorted(rows):
+        expected[file, split] = at
+        at += n
+    assert {(r.file, r.split): r.before for r in found.collect()} == expected and total == at
+    assert keys.running_totals(df.where("false"), ["file", "split"], "n", "before")[1] == 0
+
+
+def test_few_rows_reach_the_driver(spark, monkeypatch):
+    """Numbering of ids in tens of thousands of groups."""
+    monkeypatch.setattr(keys, "SMALL_BLOCK", 1)
+    monkeypatch.setattr(keys, "LARGE_BLOCK", 1)
+    collected = []
+    real = type(spark.range(1)).collect
+    monkeypatch.setattr(type(spark.range(1)), "collect", lambda df: collected.append(r := real(df)) or r)
+    df = spark.range(20_000).selectExpr("id * 3 AS id")
+    numbered, last = keys.assign_keys(df, "id", 0, "k")
+    assert last == 20_000 and max(len(r) for r in collected) <= 60_000 // keys.SPAN + 1
+    assert numbered.where("k <> id / 3 + 1").isEmpty()
