@@ -10,8 +10,8 @@ NUMBER_PATTERN = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 DEFAULT_VAT = "10%"
 
 # Wider than the declared columns, so that the products of quantity, price and rate are exact to the last digit: the
-# three scales add up to what a decimal of 38 digits holds beside ten digits before the point. Digits beyond these
-# scales are rounded.
+# three scales add up to what a decimal of 38 digits holds beside ten digits before the point. Text with digits beyond
+# these scales is `too_fine`: an item is refused rather than worked out with less than it says.
 QUANTITY = "decimal(16,8)"
 PRICE = "decimal(18,8)"
 RATE = "decimal(9,6)"
@@ -36,6 +36,17 @@ def is_number(text: Column, value: Column | None = None) -> Column:
     return form if value is None else F.when(value.isNotNull(), F.lit(True)).otherwise(form)
 
 
+def too_fine(text: Column, value: Column, type_name: str = PRICE) -> Column:
+    """True where number text has digits that its `to_decimal` value, of this type, lacks."""
+    scale = int(type_name.rstrip(")").split(",")[1])
+    digits = F.trim(_digits(text))
+    # An exponent may move digits to either side, so such text is compared by value.
+    behind = digits.rlike(rf"^[^eE]*\.[0-9]{{{scale}}}[0-9]*[1-9][0-9]*$")
+    moved = digits.rlike("[eE]") & (digits.try_cast("double") != value.cast("double"))
+    # Text that is no longer than the scale, as nearly all is, cannot have too many digits behind the point.
+    return F.coalesce((F.length(digits) > scale) & behind, F.lit(False)) | F.coalesce(moved, F.lit(False))
+
+
 def summary_text(text: Column, decimal_comma: bool = False) -> Column:
     """Text of a summary amount without `$`; commas are thousands marks.
 

@@ -79,6 +79,10 @@ def _item_numbers(item: Column) -> Column:
     )
 
 
+def _too_fine(item: Column, text: str, type_name: str) -> Column:
+    return numbers.too_fine(item[text], item[f"{text}_value"], type_name)
+
+
 def _item_net(item: Column) -> Column:
     return _with(
         item,
@@ -86,6 +90,9 @@ def _item_net(item: Column) -> Column:
         price_ok=numbers.is_number(item["price"], item["price_value"]),
         vat_ok=numbers.is_number(item["vat"], item["vat_value"]),
         qty_ok=numbers.is_number(item["qty"], item["qty_value"]),
+        price_fine=_too_fine(item, "price", numbers.PRICE),
+        vat_fine=_too_fine(item, "vat", numbers.RATE),
+        qty_fine=_too_fine(item, "qty", numbers.QUANTITY),
         net=numbers.net_worth(item["qty_value"], item["price_value"]),
         item_qty=numbers.store_money(item["qty_value"], 10),
         item_net_price=numbers.store_money(item["price_value"], 12),
@@ -96,7 +103,7 @@ def _item_net(item: Column) -> Column:
 def _item_stored(item: Column) -> Column:
     return _with(
         item,
-        ("product_name", "named", "price_ok", "vat_ok", "qty_ok"),
+        ("product_name", "named", "price_ok", "vat_ok", "qty_ok", "price_fine", "vat_fine", "qty_fine"),
         item_qty=item["item_qty"],
         item_net_price=item["item_net_price"],
         item_vat_rate=item["item_vat_rate"],
@@ -120,8 +127,13 @@ def _item_faults(item: Column) -> Column:
         F.when(~item["named"], F.lit("item_desc is missing")),
         F.when(~item["price_ok"], F.lit("item_net_price is no number text")),
         F.when(~item["vat_ok"], F.lit("item_vat is no number text")),
+        F.when(item["price_fine"], F.lit("item_net_price has more than 8 decimals")),
+        F.when(item["vat_fine"], F.lit("item_vat has more than 6 decimals")),
+    )
+    item_fault = F.coalesce(
+        F.when(~item["qty_ok"], F.lit("item_qty is no number text")),
+        F.when(item["qty_fine"], F.lit("item_qty has more than 8 decimals")),
     )
-    item_fault = F.when(~item["qty_ok"], F.lit("item_qty is no number text"))
     name_limit = PRODUCTS.column("product_name").max_length
     product_breach = F.coalesce(
         F.when(item["product_name"].isNull(), F.lit("item_desc is no text")),

@@ -301,3 +301,31 @@ def test_items_shuffle_by_product_not_collected(spark, root):
     new = insert_ignore(items.where("false"), items, "product_name", F.col("line_no"))
     assert "partial_min_by" in new._jdf.queryExecution().executedPlan().toString()
     assert new.count() == 1
+
+
+@pytest.mark.parametrize(
+    "text, fine",
+    [("1.12345678", False), ("1.123456780000", False), ("1.123456789", True), ("0.000000001", True), ("1e-9", True),
+     ("1.5e-7", False), ("1.123456789e3", False), ("12345678.5", False), (" 1.000000001 ", True), ("1_0.123456789", True),
+     ("99999999999", False), (None, False)],
+)
+def test_too_fine(spark, text, fine):
+    from tallyfold.functions import numbers
+
+    df = spark.createDataFrame([(text,)], "t string").select(F.col("t"), numbers.to_decimal(F.col("t")).alias("v"))
+    assert df.select(numbers.too_fine(F.col("t"), F.col("v"))).first()[0] is fine
+
+
+def test_digits_beyond_the_scale_are_refused_not_rounded(spark, root):
+    docs = [document("1", items=[item("a", qty="1.000000004")]), document("2", items=[item("a", item_vat="10.0000001%")])]
+    docs += [document("3", items=[item("a", price="2.1234567801")]), document("4", items=[item("a", qty="1.00000000")])]
+    store, report = load(spark, f"{root}/line", docs)
+    assert report.accepted == 1
+    assert values(store, "rejected_lines", "line_no", "reason") == [
+        (1, "item_qty has more than 8 decimals"),
+        (2, "item_vat has more than 6 decimals"),
+        (3, "item_net_price has more than 8 decimals"),
+    ]
+    store, report = load(spark, f"{root}/item", docs, policy="item")
+    assert report.accepted == 4 and store.read("invoice_items").count() == 1
+    assert values(store, "rejected_items", "line_no", "reason")[0] == (1, "item_qty has more than 8 decimals")
