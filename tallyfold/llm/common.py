@@ -29,3 +29,12 @@ def fresh_name(name: str, *frames: DataFrame) -> str:
     while name.lower() in taken:
         name = "_" + name
     return name
+
+
+def unstage(*staged: DataFrame) -> None:
+    """Removes staged tables that nothing is read from any more."""
+    for df in staged:
+        spark = df.sparkSession
+        for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
