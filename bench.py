@@ -81,7 +81,7 @@ def main() -> None:
 
     lines = fresh_path(spark, "bench-lines")
     documents(spark, folder).select("value").write.text(lines)
-    store = open_source(spark, fresh_path(spark, "bench-ingest"), 1 << 15)
+    store = open_source(spark, fresh_path(spark, "bench-ingest"), 1 << 15, 16)
     timed("ingest_documents", lambda: ingest_invoices(spark, lines, store, "line", FIRST))
 
     print(

@@ -38,7 +38,7 @@ from tallyfold.sources.store import TableStore, Transaction
 LINE, ITEM = "line", "item"
 
 
-def open_source(spark: SparkSession, root: str, block_rows: int = 1 << 20, buckets: int = 256) -> TableStore:
+def open_source(spark: SparkSession, root: str, block_rows: int = 1 << 20, buckets: int = 64) -> TableStore:
     """The source model at `root`: six tables, the kept totals and what was rejected."""
     return TableStore(spark, root, INGEST_TABLES, block_rows, buckets)
 

@@ -106,7 +106,7 @@ class TableStore:
         root: str,
         tables: dict[str, Table],
         block_rows: int = 1 << 20,
-        buckets: int = 256,
+        buckets: int = 64,
         period: str = MONTH,
     ):
         if period not in (MONTH, DAY):
