@@ -40,11 +40,11 @@ def too_fine(text: Column, value: Column, type_name: str = PRICE) -> Column:
     """True where number text has digits that its `to_decimal` value, of this type, lacks."""
     scale = int(type_name.rstrip(")").split(",")[1])
     digits = F.trim(_digits(text))
-    # An exponent may move digits to either side, so such text is compared by value.
-    behind = digits.rlike(rf"^[^eE]*\.[0-9]{{{scale}}}[0-9]*[1-9][0-9]*$")
-    moved = digits.rlike("[eE]") & (digits.try_cast("double") != value.cast("double"))
-    # Text that is no longer than the scale, as nearly all is, cannot have too many digits behind the point.
-    return F.coalesce((F.length(digits) > scale) & behind, F.lit(False)) | F.coalesce(moved, F.lit(False))
+    # Text that is no longer than the scale, as nearly all is, cannot have too many digits behind the point. An exponent
+    # may move digits to either side, so such text is compared by value.
+    behind = (F.length(text) > scale) & digits.rlike(rf"^[^eE]*\.[0-9]{{{scale}}}[0-9]*[1-9][0-9]*$")
+    moved = (text.contains("e") | text.contains("E")) & (digits.try_cast("double") != value.cast("double"))
+    return F.coalesce(behind, F.lit(False)) | F.coalesce(moved, F.lit(False))
 
 
 def summary_text(text: Column, decimal_comma: bool = False) -> Column:
