@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +22,7 @@ from tallyfold.operators import quality, totals
 from tallyfold.operators.dml import insert, with_defaults
 from tallyfold.operators.keys import assign_keys
 from tallyfold.operators.merge import find_or_create, first_per_key, known_rows, lookup_ids
+from tallyfold.operators.settle import settle
 from tallyfold.plans.cycle import utc_now
 from tallyfold.schemas import CLIENTS, INGEST_TABLES, INVOICES, PRODUCTS, SELLERS
 from tallyfold.session import scratch, side_by_side, stage
@@ -272,20 +274,29 @@ def _first_lines(lines: DataFrame, tax_id: str, fault: str) -> DataFrame:
     return able.groupBy(tax_id).agg(F.min("line_no").alias("first"))
 
 
+def _made_products(lines: DataFrame) -> DataFrame:
+    """(line_no, product_name) of the products that each line makes sure to exist."""
+    made = lines.select("line_no", F.explode(F.filter("items", _makes_product)).alias("item"))
+    return made.select("line_no", F.col("item.product_name").alias("product_name"))
+
+
 def _first_products(lines: DataFrame) -> DataFrame:
     """For each product the first line that makes it sure to exist."""
-    made = lines.select("line_no", F.explode(F.filter("items", _makes_product)).alias("item"))
-    return made.groupBy(F.col("item.product_name").alias("product_name")).agg(F.min("line_no").alias("first"))
+    return _made_products(lines).groupBy("product_name").agg(F.min("line_no").alias("first"))
+
+
+def _stored(tx: Transaction, name: str, wanted: DataFrame, key: str) -> DataFrame:
+    """(key, first) of the wanted rows that the table holds; these exist before line 1."""
+    return tx.ids_of(name, wanted).select(key, F.lit(0).cast("long").alias("first"))
 
 
 def settle_lines(tx: Transaction, lines: DataFrame) -> DataFrame:
     """Decide the lines whose seller, client or a product they could not create.
 
     Such a line stands if each of them exists, in the tables or through an
-    earlier line that stands. As that line may itself be in question, the
-    lines in question are judged in rounds, each with what the round before
-    let through, until nothing is added. Without such lines, the usual case,
-    nothing is done.
+    earlier line that stands, which may itself be in question: `settle` follows
+    these in a number of rounds that grows with the logarithm of the longest
+    chain. Without such lines, the usual case, nothing is done.
     """
     parties = [(p, p.natural_key, p.natural_key.replace("tax_id", "fault")) for p in (SELLERS, CLIENTS)]
     sound = F.col("reason").isNull()
@@ -293,39 +304,27 @@ def settle_lines(tx: Transaction, lines: DataFrame) -> DataFrame:
     columns = ["line_no", *HEADER_TAX_IDS, "seller_fault", "client_fault", "asked", "items"]
     open_lines = lines.where(sound & ~clear).select(*columns)
     settled = lines.drop("seller_fault", "client_fault", "asked")
-    waiting = open_lines.count()
-    if not waiting:
+    if open_lines.isEmpty():
         return settled
 
     open_lines = stage(open_lines, "open")
-    asked = open_lines.select("line_no", F.inline("asked"))
-    stored = F.lit(0).cast("long").alias("first")
-    # First line, or 0 for a stored row, of the parties and products in question.
-    known = {}
+    needs, makes, known = [], [], []
     for party, tax_id, fault in parties:
-        wanted = open_lines.where(F.col(fault).isNotNull()).select(tax_id).distinct()
-        created = _first_lines(lines.where(sound & clear), tax_id, fault)
-        rows = tx.ids_of(party.name, wanted).select(tax_id, stored).unionByName(created)
-        known[tax_id] = stage(rows.join(wanted, tax_id, "left_semi"), "known")
+        thing = (F.lit(party.name).alias("kind"), F.col(tax_id).alias("name"))
+        wanted = open_lines.where(F.col(fault).isNotNull())
+        needs.append(wanted.select("line_no", *thing))
+        makes.append(open_lines.where(F.col(fault).isNull()).select("line_no", *thing))
+        created = _first_lines(lines.where(sound & clear).join(wanted.select(tax_id), tax_id, "left_semi"), tax_id, fault)
+        known.append(_stored(tx, party.name, wanted.select(tax_id).distinct(), tax_id).unionByName(created).select(*thing, "first"))
+    thing = (F.lit("products").alias("kind"), F.col("product_name").alias("name"))
+    asked = open_lines.select("line_no", F.inline("asked"))
     wanted = asked.select("product_name").distinct()
-    rows = tx.ids_of("products", wanted).select("product_name", stored).unionByName(_first_products(lines.where(sound & clear)))
-    products = stage(rows.join(wanted, "product_name", "left_semi"), "known")
-
-    accepted, passed = open_lines.where(F.lit(False)), 0
-    while True:
-        judged, stands = open_lines, F.lit(True)
-        for _, tax_id, fault in parties:
-            first = known[tax_id].unionByName(_first_lines(accepted, tax_id, fault))
-            first = first.groupBy(tax_id).agg(F.min("first").alias(f"first_{tax_id}"))
-            judged = judged.join(first, tax_id, "left")
-            stands &= F.col(fault).isNull() | _known(F.col(f"first_{tax_id}") < F.col("line_no"))
-        made = products.unionByName(_first_products(accepted)).groupBy("product_name").agg(F.min("first").alias("first"))
-        lacking = asked.join(made, "product_name", "left").where(~_known(F.col("first") < F.col("line_no")))
-        judged = judged.join(lacking.select("line_no"), "line_no", "left_anti")
-        accepted = stage(judged.where(stands).select(*columns), "accepted")
-        before, passed = passed, accepted.count()
-        if passed in (before, waiting):
-            break
+    needs.append(asked.select("line_no", *thing))
+    makes.append(_made_products(open_lines).select("line_no", *thing))
+    created = _first_products(lines.where(sound & clear)).join(wanted, "product_name", "left_semi")
+    known.append(_stored(tx, "products", wanted, "product_name").unionByName(created).select(*thing, "first"))
+    together = [stage(reduce(DataFrame.unionByName, rows), "things") for rows in (needs, makes, known)]
+    accepted = settle(*together)[0].where("stands")
     refused = open_lines.join(accepted.select("line_no"), "line_no", "left_anti").select(
         "line_no", F.coalesce("seller_fault", "client_fault", F.get("asked", F.lit(0))["fault"]).alias("_refused")
     )

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tallyfold.operators import quality
+from tallyfold.operators.settle import settle
 from tallyfold.plans import fixtures
 from tallyfold.queries.reads import numbered_items
 from tallyfold.queries.cycles import INVOICE_LOADS, ITEM_LOADS, table_after
@@ -217,3 +219,30 @@ def audit_star(spark, folder):
     rows["dim_date"] = rows["dim_date"].where("date_key % 100 <> 13")
     rows["dim_client"] = rows["dim_client"].unionByName(rows["dim_client"].where("client_id % 20 = 0"))
     return quality.audit(star_tables(), rows)
+
+
+@query(
+    "settled_orders",
+    """
+SELECT o_orderkey, coalesce(
+         first_value(o_orderstatus) OVER w = 'F' OR (count(*) OVER w > 1 AND coalesce(bool_or(o_orderstatus = 'P') OVER earlier, false)),
+         false) AS stands
+FROM orders
+WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderkey ROWS UNBOUNDED PRECEDING),
+       earlier AS (PARTITION BY o_custkey ORDER BY o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""",
+)
+def settled_orders(spark, folder):
+    """An order stands if the customer's order before it stands or is in part delivered; the first, if it is delivered."""
+    orders = fixtures.raw(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    before = F.lag("o_orderkey").over(Window.partitionBy("o_custkey").orderBy("o_orderkey"))
+    lines = orders.select(F.col("o_orderkey").cast("long").alias("line_no"), "o_orderstatus", before.cast("string").alias("before"))
+    needs = lines.select(
+        "line_no",
+        F.when(F.col("before").isNull(), F.lit("status")).otherwise(F.lit("order")).alias("kind"),
+        F.coalesce("before", "o_orderstatus", F.lit("none")).alias("name"),
+    )
+    order = (F.lit("order").alias("kind"), F.col("line_no").cast("string").alias("name"))
+    partly = lines.where("o_orderstatus = 'P'").select(*order, F.col("line_no").alias("first"))
+    delivered = spark.range(1).select(F.lit("status").alias("kind"), F.lit("F").alias("name"), F.lit(-1).cast("long").alias("first"))
+    verdicts, _ = settle(needs, lines.select("line_no", *order), partly.unionByName(delivered))
+    return verdicts.withColumnRenamed("line_no", "o_orderkey")
