@@ -30,15 +30,26 @@ FEMALE_TITLES = (
 TITLES = ("Dr", "Prof", "Professor")
 MALE_NAMES = (
     "James", "John", "Robert", "Michael", "William", "David", "Richard", "Thomas", "Charles", "Daniel", "Matthew", "Peter",
-    "Paul", "Mark", "George", "Hans", "Klaus", "Jürgen", "Wolfgang", "Stefan", "Jean", "Pierre", "Michel", "François",
-    "Louis", "José", "Juan", "Carlos", "Luis", "Miguel", "Pedro", "Иван", "Сергей", "Александр", "Дмитрий", "Γιώργος",
-    "Δημήτρης", "Νίκος",
+    "Paul", "Mark", "George", "Andrew", "Anthony", "Brian", "Edward", "Jason", "Joseph", "Kenneth", "Kevin", "Ryan",
+    "Steven", "Stephen", "Timothy", "Hans", "Klaus", "Jürgen", "Wolfgang", "Stefan", "Andreas", "Matthias", "Uwe", "Jean",
+    "Pierre", "Michel", "François", "Louis", "Philippe", "Laurent", "José", "Juan", "Carlos", "Luis", "Miguel", "Pedro",
+    "Antonio", "Javier", "Giovanni", "Marco", "Giuseppe", "João", "Paulo", "Piotr", "Tomasz", "Mohammed", "Mohamed",
+    "Muhammad", "Ahmed", "Ali", "Hassan", "Ibrahim", "Omar", "Mehmet", "Mustafa", "Raj", "Amit", "Rahul", "Wei", "Hiroshi",
+    "Kenji", "Иван", "Сергей", "Александр", "Дмитрий", "Алексей", "Γιώργος", "Δημήτρης", "Νίκος",
 )
 FEMALE_NAMES = (
     "Mary", "Patricia", "Jennifer", "Linda", "Elizabeth", "Barbara", "Susan", "Jessica", "Sarah", "Karen", "Nancy", "Emily",
-    "Anna", "Emma", "Laura", "Sabine", "Petra", "Monika", "Ursula", "Heike", "Marie", "Nathalie", "Isabelle", "Sylvie",
-    "Françoise", "María", "Carmen", "Ana", "Isabel", "Lucía", "Pilar", "Анна", "Мария", "Ольга", "Наталья", "Μαρία",
-    "Ελένη", "Κατερίνα",
+    "Alice", "Amanda", "Ashley", "Catherine", "Deborah", "Donna", "Helen", "Kimberly", "Lisa", "Margaret", "Melissa",
+    "Michelle", "Rebecca", "Sandra", "Stephanie", "Anna", "Emma", "Laura", "Sabine", "Petra", "Monika", "Ursula", "Heike",
+    "Katrin", "Claudia", "Marie", "Nathalie", "Isabelle", "Sylvie", "Françoise", "Chantal", "Camille", "María", "Carmen",
+    "Ana", "Isabel", "Lucía", "Pilar", "Elena", "Giulia", "Francesca", "Beatriz", "Agnieszka", "Katarzyna", "Fatima",
+    "Aisha", "Zeynep", "Leila", "Amina", "Priya", "Anjali", "Mei", "Yuki", "Анна", "Мария", "Ольга", "Наталья", "Елена",
+    "Μαρία", "Ελένη", "Κατερίνα",
+)
+# What stands right before a person's full name.
+BEFORE_NAMES = (
+    "name is ", "ame: ", "I am ", "I'm ", "egards, ", "egards,\n", "incerely, ", "incerely,\n", "igned by ", "ontact: ",
+    "ttn: ", "uthor: ", "atient: ", "ustomer: ", "Name ist ", "m'appelle ", "me llamo ",
 )
 GENDER = {**dict.fromkeys(MALE_NAMES + MALE_TITLES, "m"), **dict.fromkeys(FEMALE_NAMES + FEMALE_TITLES, "f")}
 
@@ -47,7 +58,9 @@ _NAME = r"[^\W\d_a-zа-яα-ω][^\W\d_A-ZА-ЯΑ-Ω]+(?:[-'’][^\W\d_]+)?"
 _ANY = "|".join
 _PATTERNS = {
     "email": r"(?<![\w.+%-])[\w+%-][\w.+%-]*@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,}(?![\w-])",
-    "assigned": r"(?i:\b(?:token|secret|api[_-]?key|access[_-]?key|password|passwd|pwd)\b[\"']?\s{0,3}[=:]\s{0,3}[\"']?)(?P<value>(?=[A-Za-z+/_.~-]*\d)[A-Za-z0-9+/_.~-]{8,})(?<![.])",
+    # A secret of letters alone is known by what it is assigned to, or by its quotes.
+    "assigned": r"\b(?i:(?:(?P<sure>password|passwd|pwd|api[_-]?key)|access[_-]?key|token|secret)\b[\"']?\s{0,3}[=:]\s{0,3}(?P<quote>[\"'])?)"
+    r"(?P<value>(?=[A-Za-z+/_.~-]*\d)[A-Za-z0-9+/_.~-]{8,}(?<![.])|(?(sure)|(?(quote)|(?!)))[A-Za-z+/_~-]{8,}(?!\w))",
     "key": r"\b(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{20,}|sk-[A-Za-z0-9_-]{20,}|[0-9a-f]{32,}|[0-9A-F]{32,})\b",
     "ipv6": r"(?<![\w:])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6})(?![\w:])",
     "iban": r"\b[A-Z]{2}\d{2}(?:(?: [A-Z0-9]{4}){3,7}(?: [A-Z0-9]{1,3})?|[A-Z0-9]{11,30})\b",
@@ -55,14 +68,18 @@ _PATTERNS = {
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     "card": r"(?<![\w-])(?:\d{13,19}|\d{4}(?P<gap>[ -])\d{4}(?P=gap)\d{4}(?P=gap)\d{4}|\d{4}[ -]\d{6}[ -]\d{5})(?![\w-])",
     "phone": r"(?<![\w+])(?:\+\d{1,3}(?:[ .-]?\(\d{1,5}\))?(?:[ .-]?\d{2,5}){2,5}|\(\d{3,5}\)[ .-]?\d{3,4}[ .-]\d{3,5}|\d{3}[.-]\d{3}[.-]\d{4})(?!\w)",
-    "person": rf"\b(?:(?P<title>{_ANY(MALE_TITLES + FEMALE_TITLES + TITLES)})\.?[ \u00a0]+(?P<first>{_NAME})(?:[ \u00a0](?P<last>{_NAME}))?"
-    rf"|(?P<given>{_ANY(MALE_NAMES + FEMALE_NAMES)})[ \u00a0](?P<family>{_NAME}))(?!\w)",
+    # National forms: with spaces, and from a trunk zero on. Numbers that stand in a row of numbers are none.
+    "national": r"(?<![\w+.,/-])(?<!\d )(?:\d{3} \d{3} \d{4}|0\d(?:[ .]\d{2}){4}|0\d{1,4}[ /-]\d{3,8}(?:[ -]\d{2,5}){0,3})(?![\w/]|[ .,-]?\d)",
+    "person": rf"\b(?=[^\W\d_a-z])(?:(?P<title>{_ANY(MALE_TITLES + FEMALE_TITLES + TITLES)})\.?[ \u00a0]+(?P<first>{_NAME})(?:[ \u00a0](?P<last>{_NAME}))?"
+    rf"|(?P<given>{_ANY(MALE_NAMES + FEMALE_NAMES)})[ \u00a0](?P<family>{_NAME})"
+    rf"|(?:{_ANY(f'(?<={b})' for b in BEFORE_NAMES)})(?P<called>{_NAME})[ \u00a0](?P<surname>{_NAME}))(?!\w)",
 }
 _FIND = re.compile("|".join(f"(?P<{k}>{p})" for k, p in _PATTERNS.items()))
 _DIGIT = re.compile("[0-9@]")
 _CAPITAL = re.compile("[A-ZА-ЯΑ-Ω][^\\W_]*")
 _NAMES = frozenset([*GENDER, *TITLES])
-_LOWER_TITLES = tuple(t for t in _NAMES if t[0].islower())
+_SIGNS = (*(t for t in _NAMES if t[0].islower()), *BEFORE_NAMES)
+_ASSIGNED = ("passw", "pwd", "token", "secret", "key")
 
 
 def _hint(text: str) -> bool:
@@ -71,7 +88,8 @@ def _hint(text: str) -> bool:
         _DIGIT.search(text)
         or "::" in text
         or not _NAMES.isdisjoint(_CAPITAL.findall(text))
-        or any(t in text for t in _LOWER_TITLES)
+        or any(t in text for t in _SIGNS)
+        or any(t in low for low in [text.lower()] for t in _ASSIGNED)
     )
 
 
@@ -95,7 +113,7 @@ def find(text: str | None) -> list[Span]:
             spans.append(Span(m.start(), m.end(), Entity("secret", "", _secret(whole))))
         elif kind == "person":
             gender = GENDER.get(m.group("title") or m.group("given"), "n")
-            first, last = ("given", "family") if m.group("given") else ("first", "last")
+            first, last = next(p for p in (("given", "family"), ("called", "surname"), ("first", "last")) if m.group(p[0]))
             if not (m.group(first)[0].isupper() and (m.group(last) or "X")[0].isupper()):
                 continue
             if m.group(last):
@@ -114,8 +132,9 @@ def find(text: str | None) -> list[Span]:
             spans.append(Span(m.start(), m.end(), Entity(kind, "", whole.lower())))
         else:
             digits = re.sub(r"[\W_]", "", whole).upper()
-            if kind == "phone" and not 7 <= len(digits) <= 15:
+            if kind == "phone" and not 7 <= len(digits) <= 15 or kind == "national" and not 9 <= len(digits) <= 12:
                 continue
+            kind = "phone" if kind == "national" else kind
             spans.append(Span(m.start(), m.end(), Entity(kind, "+" * (whole[0] == "+"), digits)))
     if people:
         # The same people named by one part of their name alone.
@@ -219,8 +238,8 @@ def _digits(entity: Entity, draw: _Stream, grow: int) -> str:
 
 
 def _phone(entity: Entity, draw: _Stream, grow: int) -> str:
-    """Keeps a country code's first digit."""
-    keep = 1 if entity.scope == "+" else 0
+    """Keeps a country code's first digit, and a trunk zero."""
+    keep = 1 if entity.scope == "+" or entity.norm[0] == "0" else 0
     return entity.norm[:keep] + _digits(entity._replace(norm=entity.norm[keep:]), draw, grow)
 
 

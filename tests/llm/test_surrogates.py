@@ -157,3 +157,38 @@ def test_against_plain_replacement(spark):
         assert new == found[i][0]
     assert found[0][1][0].value.lower() == found[1][1][0].value.lower()
     assert found[2] == ("nothing", []) and found[3] == ("", [])
+
+
+# Written by hand, none from the tables: what must go, and lines that must stay.
+PRIVATE = [
+    ("Alice Johnson signed the lease", "Alice Johnson"), ("We met Fatima Khan in Leeds", "Fatima Khan"),
+    ("My name is Tobias Fuhrmann and I live here", "Tobias Fuhrmann"), ("Kind regards,\nOluwaseun Adeyemi", "Oluwaseun Adeyemi"),
+    ("Contact: Xiomara Valdez", "Xiomara Valdez"), ("Mein Name ist Gudrun Eschenbach.", "Gudrun Eschenbach"),
+    ("Je m'appelle Solène Marchetti", "Solène Marchetti"), ("Dr. Okafor will see you", "Okafor"),
+    ("call 555 123 4567 today", "555 123 4567"), ("London office: 020 7946 0958.", "020 7946 0958"),
+    ("Berlin 030 1234567, Zimmer 4", "030 1234567"), ("Tel. 089/1234567", "089/1234567"), ("appelez le 06 12 34 56 78", "06 12 34 56 78"),
+    ("mobile 07700 900123", "07700 900123"), ("ring +44 20 7946 0958", "+44 20 7946 0958"), ("(212) 555-0143", "(212) 555-0143"),
+    ("password: hunterhunter", "hunterhunter"), ("api_key = 'AbCdEfGhIjKl'", "AbCdEfGhIjKl"), ('"secret": "correcthorse"', "correcthorse"),
+    ("PWD=letmeinplease", "letmeinplease"), ("write to j.doe+news@mail.co.uk", "j.doe+news"), ("IBAN DE89370400440532013000", "DE89370400440532013000"),
+]
+PLAIN = [
+    "the secret: understanding people", "a token: something given", "in 1990 100 200 3000 people came", "0.25 and 0.75, 007", "pages 010-012",
+    "scores 123 456 7890 111 222", "Dear customer, regards, the team", "I am glad", "The name is short.", "05/2023-12", "I am Legend", "New York City",
+    "version 0 12 345", "2024 01 02 10 20 30", "password must be long", "contact: us", "Best regards, all",
+]
+
+
+@pytest.mark.parametrize("text, private", PRIVATE)
+def test_handwritten_private(text, private):
+    assert all(word not in replaced(text) for word in re.split(r"[ ]", private) if len(word) > 4 or word.isalpha())
+    assert private not in replaced(text)
+
+
+@pytest.mark.parametrize("text", PLAIN)
+def test_handwritten_plain(text):
+    assert find(text) == []
+
+
+def test_national_form_stays():
+    assert re.fullmatch(r"0\d\d \d{4} \d{4}", replaced("020 7946 0958"))
+    assert re.fullmatch(r"0\d( \d\d){4}", replaced("06 12 34 56 78"))
