@@ -84,14 +84,32 @@ def outside_scratch():
         _scratch.reset(token)
 
 
+# Shuffle files of a finished query are removed at its end, not when the driver happens to collect garbage.
+CLEAN_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def _shuffles_removed(spark: SparkSession):
+    before = spark.conf.get(CLEAN_SHUFFLES, None)
+    spark.conf.set(CLEAN_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(CLEAN_SHUFFLES)
+        else:
+            spark.conf.set(CLEAN_SHUFFLES, before)
+
+
 def stage(df, name: str = "stage"):
     """Write once, read back: cuts lineage and survives the loss of any executor.
 
-    Outside of `scratch` the written table stays, as the result depends on it.
+    Outside of `scratch` the written table stays, as the result depends on it. What was shuffled to make it goes.
     """
     spark = df.sparkSession
     path = f"{_scratch.get() or shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with _shuffles_removed(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
