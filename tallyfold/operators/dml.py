@@ -66,13 +66,16 @@ def delete_where(df: DataFrame, where: Column) -> DataFrame:
 
 def without_children(child: DataFrame, column: str, deleted_keys: DataFrame) -> DataFrame:
     """Child rows that stay after the rows they refer to were deleted."""
-    keys = deleted_keys.toDF(column)
+    keys = deleted_keys.toDF(column).distinct()
     return child.join(keys, column, "left_anti").select(*child.columns)
 
 
 def restrict_blockers(parents: DataFrame, parent_key: str, child: DataFrame, column: str) -> DataFrame:
-    """Parent rows that some child row refers to, so that they cannot be deleted."""
-    keys = child.select(F.col(column).alias(parent_key))
+    """Parent rows that some child row refers to, so that they cannot be deleted.
+
+    Keys are made distinct in each task: the join sorts as many as there are parents, however many children these have.
+    """
+    keys = child.select(F.col(column).alias(parent_key)).distinct()
     return parents.join(keys, parent_key, "left_semi").select(*parents.columns)
 
 

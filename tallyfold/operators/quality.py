@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -59,7 +60,11 @@ def breaches(table: Table, df: DataFrame) -> list[Column]:
     Covers required columns, text lengths, number ranges and checks, all in
     one pass; key columns that are yet to be generated are not looked at.
     """
-    present = set(df.columns)
+    return [F.when(test, F.lit(reason)) for test, reason in _row_rules(table, set(df.columns))]
+
+
+def _row_rules(table: Table, present: set[str]) -> list[tuple[Column, str]]:
+    """The row rules over the columns that are present: what breaks the rule, and its name."""
     found = []
     for c in table.columns:
         if c.name not in present:
@@ -72,7 +77,7 @@ def breaches(table: Table, df: DataFrame) -> list[Column]:
             found.append((_overflows(c.name, c.type.simpleString()), f"{c.name} is out of range"))
     for name, check in table.checks.items():
         found.append((~F.expr(check), f"{name} fails"))
-    return [F.when(test, F.lit(reason)) for test, reason in found]
+    return found
 
 
 def row_violations(table: Table, df: DataFrame) -> DataFrame:
@@ -90,24 +95,48 @@ def violations(table: Table, df: DataFrame, parents: dict[str, DataFrame]) -> di
     return found
 
 
-_ENTRY = "struct<domain:string,value:string,source:string,rule:string>"
+_ENTRY = "struct<domain:int,value:string,slot:int>"
+_OWN = -1
 
 
-def _entries(table: Table, df: DataFrame) -> DataFrame:
-    """What a row says about values: which it owns (no rule), which it refers to, and which rule it breaks.
+@dataclass
+class _Domain:
+    """A column whose values rows own and refer to, or a row rule, of which the keys of the rows that break it."""
 
-    A domain is a column whose values rows own; broken row rules have one of their own for each table.
-    """
+    source: str
+    repeated: str | None
+    looks: list[tuple[str, str]]  # (table, rule) of whatever refers to the values; its place is the slot of an entry
 
-    def entry(domain: str, value: str, rule: Column | None) -> Column:
-        text = F.col(value).cast("string")
-        return F.struct(F.lit(domain), text, F.lit(table.name), F.lit(None) if rule is None else rule).cast(_ENTRY)
 
-    owned = [(f"{table.name}.{c}", c, None) for c in dict.fromkeys((table.key, *table.unique))]
-    referred = [(f"{r.parent}.{r.parent_column}", r.column, F.lit(f"{r.column} refers to no row")) for r in table.references]
-    made = [F.when(F.col(c).isNotNull(), entry(domain, c, rule)) for domain, c, rule in owned + referred]
-    broken = [F.when(b.isNotNull(), entry(table.name, table.key, b)) for b in breaches(table, df)]
-    return df.select(F.inline(F.filter(F.array(*made, *broken), lambda e: e.isNotNull())))
+def _domains(tables: dict[str, Table], rows: dict[str, DataFrame]) -> tuple[list[_Domain], dict[str, list[Column]]]:
+    """All domains, and for each table what one of its rows says about values: (domain, value, slot), NULL for nothing."""
+    owned = {(t, c): None for t in rows for c in (tables[t].key, *tables[t].unique)}
+    places = {at: place for place, at in enumerate(owned)}
+    domains = [_Domain(t, f"{c} is repeated", []) for t, c in owned]
+    entries = {}
+    for name, df in rows.items():
+        table, made = tables[name], []
+
+        def entry(when: Column, domain: int, value: str, slot: int) -> Column:
+            text = F.col(value).cast("string")
+            return F.when(when, F.struct(F.lit(domain), text, F.lit(slot)).cast(_ENTRY))
+
+        for column in dict.fromkeys((table.key, *table.unique)):
+            made.append(entry(F.col(column).isNotNull(), places[name, column], column, _OWN))
+        for ref in table.references:
+            if ref.parent in rows:
+                at = (ref.parent, ref.parent_column)
+                if at not in places:
+                    places[at] = len(domains)
+                    domains.append(_Domain(ref.parent, None, []))
+                looks = domains[places[at]].looks
+                made.append(entry(F.col(ref.column).isNotNull(), places[at], ref.column, len(looks)))
+                looks.append((name, f"{ref.column} refers to no row"))
+        for test, rule in _row_rules(table, set(df.columns)):
+            made.append(entry(test, len(domains), table.key, 0))
+            domains.append(_Domain(name, None, [(name, rule)]))
+        entries[name] = made
+    return domains, entries
 
 
 def audit(tables: dict[str, Table], rows: dict[str, DataFrame]) -> DataFrame:
@@ -118,26 +147,32 @@ def audit(tables: dict[str, Table], rows: dict[str, DataFrame]) -> DataFrame:
     never repeated and refers to nothing.
 
     All rules of all tables are judged by one aggregate over what the rows own and refer to, which is added up in each
-    task before it is shuffled; each table is scanned once, and no rows are gathered for a hot parent. References to
-    tables that are not among `rows` are not looked at.
+    task before it is shuffled, once; each table is scanned once, and no rows are gathered for a hot parent. An entry
+    names its column and rule by small numbers. References to tables that are not among `rows` are not looked at.
     """
+    domains, entries = _domains(tables, rows)
     union = None
     for name, df in rows.items():
-        entries = _entries(tables[name], df)
-        union = entries if union is None else union.unionByName(entries)
-    counted = union.groupBy("domain", "value", "source", "rule").agg(F.count(F.lit(1)).alias("n"))
-    judged = counted.groupBy("domain", "value").agg(
-        F.sum(F.when(F.col("rule").isNull(), F.col("n"))).alias("own"),
-        # At most one for each rule that looks at the column.
-        F.collect_list(F.when(F.col("rule").isNotNull(), F.struct("source", "rule", "n"))).alias("looked"),
+        said = df.select(F.inline(F.filter(F.array(*entries[name]), lambda e: e.isNotNull())))
+        union = said if union is None else union.unionByName(said)
+    slots = range(max(len(d.looks) for d in domains))
+    counted = union.groupBy("domain", "value").agg(
+        F.count_if(F.col("slot") == _OWN).alias("own"), *(F.count_if(F.col("slot") == s).alias(f"n{s}") for s in slots)
     )
-    owner, column = F.substring_index("domain", ".", 1), F.substring_index("domain", ".", -1)
-    twice = F.struct(owner.alias("source"), F.concat(column, F.lit(" is repeated")).alias("rule"), F.col("own").alias("n"))
-    repeated = F.when(F.col("own") > 1, F.array(twice))
-    lost = F.when(F.col("own").isNull() & owner.isin(list(rows)), F.col("looked"))
-    none = F.array().cast("array<struct<source:string,rule:string,n:bigint>>")
-    found = F.concat(F.coalesce(repeated, none), F.coalesce(lost, none))
-    return judged.select("value", F.inline(found)).select(F.col("source").alias("table_name"), "rule", "value", "n")
+
+    def of_domain(text) -> Column:
+        return F.get(F.array(*(F.lit(text(d)).cast("string") for d in domains)), F.col("domain"))
+
+    def found(when: Column, source: Column, rule: Column, n: Column) -> Column:
+        return F.when(when, F.struct(source.alias("source"), rule.alias("rule"), n.alias("n")))
+
+    own = F.col("own")
+    parts = [found(own > 1, of_domain(lambda d: d.source), of_domain(lambda d: d.repeated), own)]
+    for s in slots:
+        table, rule = (of_domain(lambda d, i=i: d.looks[s][i] if s < len(d.looks) else None) for i in (0, 1))
+        parts.append(found((own == 0) & (F.col(f"n{s}") > 0), table, rule, F.col(f"n{s}")))
+    judged = counted.select("value", F.inline(F.filter(F.array(*parts), lambda e: e.isNotNull())))
+    return judged.select(F.col("source").alias("table_name"), "rule", "value", "n")
 
 
 def enforce(offending: DataFrame, message: str) -> None:

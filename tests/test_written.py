@@ -5,7 +5,7 @@ from pathlib import Path
 from pyspark.sql import functions as F
 
 from tallyfold.functions.calendar import stamp
-from tallyfold.operators import dml, merge
+from tallyfold.operators import dml, merge, quality
 from tallyfold.plans import ingest
 from tallyfold.plans.cycle import open_star
 from tallyfold.plans.ingest import open_source
@@ -160,3 +160,30 @@ def test_settings_of_writes_end_with_the_last_of_them(spark):
 
     side_by_side(write, write, write)
     assert {k: spark.conf.get(k, None) for k in WRITING} == before
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_an_audit_shuffles_once_and_sorts_nothing(spark):
+    rows = {name: rows_of(spark, name, 10) for name in ("sellers", "clients", "invoices", "invoice_items")}
+    rows["invoices"] = rows["invoices"].unionByName(rows["invoices"].where("invoice_id = 3").withColumn("seller_id", F.lit(77)))
+    found = quality.audit(SOURCE_TABLES, rows)
+    assert plan(found).count("Exchange") == 1 and "Sort" not in plan(found)
+    assert {tuple(r) for r in found.collect()} == {
+        ("invoices", "invoice_id is repeated", "3", 2),
+        ("invoices", "invoice_no is repeated", "t3", 2),
+        ("invoices", "seller_id refers to no row", "77", 1),
+    }
+
+
+def test_joins_to_the_keys_of_children_sort_each_key_once(spark):
+    with settings(spark, SCATTERED):
+        parents, children = spark.range(5), spark.range(4000).select((F.col("id") % 2).alias("parent"))
+        for found, want in (
+            (dml.restrict_blockers(parents, "id", children, "parent"), {0, 1}),
+            (dml.without_children(parents, "id", children.select("parent")), {2, 3, 4}),
+        ):
+            assert {r[0] for r in found.collect()} == want
+            assert "HashAggregate" in plan(found)
