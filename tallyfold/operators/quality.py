@@ -148,7 +148,8 @@ def audit(tables: dict[str, Table], rows: dict[str, DataFrame]) -> DataFrame:
 
     All rules of all tables are judged by one aggregate over what the rows own and refer to, which is added up in each
     task before it is shuffled, once; each table is scanned once, and no rows are gathered for a hot parent. An entry
-    names its column and rule by small numbers. References to tables that are not among `rows` are not looked at.
+    names its column and rule by small numbers. Only what was found is shuffled again, into tasks of even size.
+    References to tables that are not among `rows` are not looked at.
     """
     domains, entries = _domains(tables, rows)
     union = None
@@ -172,7 +173,7 @@ def audit(tables: dict[str, Table], rows: dict[str, DataFrame]) -> DataFrame:
         table, rule = (of_domain(lambda d, i=i: d.looks[s][i] if s < len(d.looks) else None) for i in (0, 1))
         parts.append(found((own == 0) & (F.col(f"n{s}") > 0), table, rule, F.col(f"n{s}")))
     judged = counted.select("value", F.inline(F.filter(F.array(*parts), lambda e: e.isNotNull())))
-    return judged.select(F.col("source").alias("table_name"), "rule", "value", "n")
+    return judged.select(F.col("source").alias("table_name"), "rule", "value", "n").hint("rebalance")
 
 
 def enforce(offending: DataFrame, message: str) -> None:
