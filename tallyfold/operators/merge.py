@@ -13,6 +13,7 @@ from tallyfold.sources.store import BLOCK, Transaction
 
 # Largest batch sent to every executor; its size is measured first.
 BROADCAST_BYTES = 64 << 20
+FEW_KEYS = 1 << 19  # repeated keys sent to every executor, some tens of MB
 MATCHED = "_matched"
 
 
@@ -52,6 +53,23 @@ def latest_per_key(df: DataFrame, key: str, stamp_column: str) -> DataFrame:
     return df.groupBy(key).agg(last).select(key, *(F.col(f"_last.`{c}`").alias(c) for c in rest)).select(*df.columns)
 
 
+def one_per_key(rows: DataFrame, key: str, pick: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Staged `rows` with a single row for each key: `pick` chooses among those that share one, nulls included.
+
+    Only keys are shuffled to find those that repeat. Usually none does, and the rows stay where they are; few are
+    broadcast, and their rows alone go through `pick`; beyond that all rows do. What is returned is staged, too.
+    """
+    again = stage(rows.groupBy(F.col(key).alias("_again")).count().where("count > 1").select("_again"), "again")
+    n = again.count()
+    if not n:
+        return rows
+    if n > FEW_KEYS:
+        return stage(pick(rows), "single")
+    same = F.col(key).eqNullSafe(F.col("_again"))
+    alone = rows.join(F.broadcast(again), same, "left_anti")
+    return stage(alone.unionByName(pick(rows.join(F.broadcast(again), same, "left_semi"))), "single")
+
+
 def insert_ignore(target: DataFrame, batch: DataFrame, key: str, order: Column | None = None) -> DataFrame:
     """Rows of the batch that an insert would add: first of each key, unknown to the target."""
     rows = first_per_key(batch, key, order) if order is not None else batch.dropDuplicates([key])

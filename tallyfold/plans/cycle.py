@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tallyfold.operators import star
 from tallyfold.operators.incremental import advance_marks, changed_since, seed_marks
 from tallyfold.operators.keys import IdRange, assign_keys
-from tallyfold.operators.merge import insert_ignore, latest_per_key, upsert
+from tallyfold.operators.merge import insert_ignore, latest_per_key, one_per_key, upsert
 from tallyfold.schemas import SOURCE_TABLES, star_tables
 from tallyfold.session import scratch, side_by_side, stage
 from tallyfold.sources.store import BLOCK, MONTH, TableStore, Transaction
@@ -138,11 +138,12 @@ def ensure_dates(tx: Transaction, dates: DataFrame) -> None:
 
 def load_fact_invoice(load: Load, tx: Transaction) -> None:
     changed = load.changes(tx, "invoices", "updated_at")
+    if load.newest_only or load.on_unresolved:
+        changed = stage(changed, "invoices")
     if load.newest_only:
-        changed = latest_per_key(changed, "invoice_id", "updated_at")
+        changed = one_per_key(changed, "invoice_id", lambda rows: latest_per_key(rows, "invoice_id", "updated_at"))
     sellers, clients = tx.read("dim_seller"), tx.read("dim_client")
     if load.on_unresolved:
-        changed = stage(changed, "invoices")
         load.on_unresolved("invoices", star.unresolved_invoices(changed, sellers, clients))
     # Staged once: dates, counts, the merge and the new rows all read what was read and joined here.
     resolved = stage(star.resolve_invoice_keys(changed, sellers, clients), "resolved")
@@ -157,14 +158,13 @@ def append_fact(load: Load, tx: Transaction, table: str, stream: str, rows: Data
     whose source id is stored are left out; a stored copy carries the same
     creation stamp, so only the periods that the rows name are searched, however
     old one of them is. Rows without a stamp have a place of their own and are
-    stored once, too. The rows are staged once; they are counted and numbered as
-    stored there.
+    stored once, too. The rows are read several times and should be staged; they
+    are counted and numbered as stored there.
     """
     key = tx.table(table).key
-    rows = stage(rows, table)
     if load.idempotent:
         if load.newest_only:
-            rows = rows.dropDuplicates([source_id])
+            rows = one_per_key(rows, source_id, lambda some: some.dropDuplicates([source_id]))
         periods = tx.blocks_of(table, rows)
         if periods:
             at = tx.block_of(table).alias(BLOCK)
@@ -185,7 +185,7 @@ def load_fact_item(load: Load, tx: Transaction) -> None:
     if load.on_unresolved:
         changed = stage(changed, "items")
         load.on_unresolved("invoice_items", star.unresolved_items(changed, products))
-    rows = star.project_item(star.resolve_item_keys(changed, products))
+    rows = stage(star.project_item(star.resolve_item_keys(changed, products)), "items")
     load.rows["fact_invoice_item"] = append_fact(load, tx, "fact_invoice_item", "invoice_items", rows, "item_id")
 
 

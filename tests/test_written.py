@@ -189,3 +189,32 @@ def test_joins_to_the_keys_of_children_sort_each_key_once(spark):
         ):
             assert {r[0] for r in found.collect()} == want
             assert "HashAggregate" in plan(found)
+
+
+def test_staged_tables_are_packed(spark, root):
+    """With zstd, as stored tables are: staged rows are most of what a job writes."""
+    path = stage(spark.range(100).select(F.lit("text").alias("text")), "packed").inputFiles()[0]
+    assert path.endswith(".zstd.parquet")
+
+
+def test_rows_of_single_keys_do_not_move(spark):
+    """Only rows that share a key are looked at as a whole; null is a key, too."""
+
+    def pick(rows):
+        seen.extend(r.id for r in rows.collect())
+        return merge.latest_per_key(rows, "id", "updated_at")
+
+    single = stage(spark.createDataFrame([(1, 5), (2, 7), (None, 1)], "id long, updated_at long"), "single")
+    seen = []
+    assert merge.one_per_key(single, "id", pick) is single and not seen
+    more = spark.createDataFrame([(2, 8), (2, 6), (None, 3)], "id long, updated_at long")
+    both = stage(single.unionByName(more), "both")
+    whole = {(1, 5), (2, 8), (None, 3)}
+    assert {tuple(r) for r in merge.one_per_key(both, "id", pick).collect()} == whole
+    assert sorted(seen, key=str) == [2, 2, 2, None, None]
+    few, merge.FEW_KEYS = merge.FEW_KEYS, 1
+    try:
+        assert {tuple(r) for r in merge.one_per_key(both, "id", pick).collect()} == whole
+    finally:
+        merge.FEW_KEYS = few
+    assert len(seen) == 5 + 6
