@@ -5,11 +5,10 @@ candidates: values assigned to a larger set of names, passwords inside URLs, pri
 characters. A convolutional network over the characters of a candidate and of the text around it scores every candidate
 and every fixed finding; candidates that reach the threshold of their shape are findings, too.
 
-The network is trained here, on labelled findings of two sources. Some come from the corpus: at most `DOCUMENTS`
-documents, those with the least hash, of at most `LONGEST` code points each; their fixed findings are secrets, their
-other candidates are not. The others are made by a recipe, in places cut out of the same documents: secrets in the
-formats of well-known services, and look-alikes that are none (uuids, paths, versions, names, numbers, placeholders).
-Two thirds of the findings train the network, the rest calibrates its score to a probability and sets the thresholds:
+The network is trained here, on labelled findings of two sources. Some come from the corpus, from every whole document:
+its fixed findings are secrets, its other candidates are not. The others are made by a recipe, for every document in
+places cut out of it: secrets in the formats of well-known services, and look-alikes that are none (uuids, paths,
+versions, names, numbers, placeholders). Two thirds of the findings train the network, the rest calibrates its score to a probability and sets the thresholds:
 for each shape one half, or less where only a lower threshold still finds `RECALL` of these secrets.
 
 Every document is searched as a whole. A candidate of any length is read, in overlapping windows; its best one counts.
@@ -18,10 +17,10 @@ Every document is searched as a whole. A candidate of any length is read, in ove
 from __future__ import annotations
 
 import base64
-import math
 import random
 import re
 import string
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,12 +29,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyfold.llm.arrow import by_batch
+from tallyfold.session import stage
 
-DOCUMENTS = 1000
-LONGEST = 20_000
 RECALL = 0.98
-MADE = 2500  # made findings of each label
+MADE = 2500  # made findings of each label, at least
 SEED = 42
+RATE = 0.005
+PART_WINDOWS = 1 << 14  # windows that one copy of the network is trained on, as long as there are few parts
+MOST_PARTS = 512  # copies of the network, of 33 KB, that reach the driver in a round
+LOGIT, BINS = 27.0, 256  # bounds of a held-out logit, and steps per unit in which it is counted
 
 BASE = ("assign", "access", "hex")
 FOUND = "model"
@@ -226,8 +228,8 @@ class Network:
             "out_lift": slope.sum(0),
         }
 
-    def train(self, codes: np.ndarray, labels: np.ndarray, rounds: int = 6, batch: int = 64, rate: float = 0.005) -> None:
-        """Adam over shuffled batches, with a falling rate."""
+    def train(self, codes: np.ndarray, labels: np.ndarray, rounds: int = 6, batch: int = 64, rate: float = RATE, until: float = 0.0) -> None:
+        """Adam over shuffled batches, with a rate that falls from `rate` to `until`."""
         rng = np.random.default_rng(SEED)
         first = {k: np.zeros_like(v) for k, v in self.weights.items()}
         second = {k: np.zeros_like(v) for k, v in self.weights.items()}
@@ -242,7 +244,7 @@ class Network:
                     first[name] += 0.1 * (slope - first[name])
                     second[name] += 0.01 * (slope * slope - second[name])
                     step = first[name] / (1 - 0.9**done) / (np.sqrt(second[name] / (1 - 0.99**done)) + 1e-8)
-                    self.weights[name] -= np.float32(rate * (1 - done / (steps + 1))) * step.astype(np.float32)
+                    self.weights[name] -= np.float32(rate + (until - rate) * done / (steps + 1)) * step.astype(np.float32)
 
 
 @dataclass
@@ -254,13 +256,19 @@ class Model:
     shift: float
     thresholds: dict[str, float]
 
-    def scores(self, found: list[list[str]]) -> np.ndarray:
-        """Probability of each span, given by its windows: that of its best window."""
+    def logits(self, found: list[list[str]]) -> np.ndarray:
+        """Of each span, given by its windows: that of its best window."""
         if not found:
             return np.zeros(0)
         logits = self.network.logits(encode([w for spans in found for w in spans]))
-        best = np.maximum.reduceat(logits, np.cumsum([0] + [len(spans) for spans in found[:-1]]))
-        return 1 / (1 + np.exp(-(self.slope * best.astype(np.float64) + self.shift)))
+        return np.maximum.reduceat(logits, np.cumsum([0] + [len(spans) for spans in found[:-1]])).astype(np.float64)
+
+    def probability(self, logits: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-(self.slope * logits + self.shift)))
+
+    def scores(self, found: list[list[str]]) -> np.ndarray:
+        """Probability of each span, given by its windows."""
+        return self.probability(self.logits(found))
 
 
 # Names that code gives to secrets, and to other things.
@@ -405,22 +413,85 @@ def corpus_findings(texts: list[str]) -> list[tuple[str, list[str], int]]:
     return out
 
 
+class _Findings:
+    """Of each document, as rows for `train`: its own findings, and made ones in places cut out of it."""
+
+    def __init__(self, pairs: int):
+        self.pairs = pairs
+
+    def __call__(self, batch: pa.RecordBatch) -> dict:
+        out: dict[str, list] = {"turn": [], "at": [], "shape": [], "label": [], "windows": []}
+        for text, turn in zip(batch.column("text").to_pylist(), batch.column("turn").to_pylist()):
+            found = corpus_findings([text]) + made_findings(self.pairs, [text], turn)
+            out["turn"] += [turn] * len(found)
+            out["at"] += range(len(found))
+            for name, values in zip(("shape", "windows", "label"), zip(*found)):
+                out[name] += values
+        return out
+
+
+def _round(weights: dict[str, np.ndarray], rate: float, until: float) -> Callable[[pa.Table], pa.Table]:
+    """Trains a copy of the network on a part of the windows, in an order that is theirs wherever they lie."""
+
+    def work(part: pa.Table) -> pa.Table:
+        part = part.sort_by([(name, "ascending") for name in ("turn", "at", "pos", "window")])
+        network = Network()
+        network.weights = {k: v.copy() for k, v in weights.items()}
+        codes, labels = encode(part["window"].to_pylist()), part["label"].to_numpy().astype(np.float32)
+        network.train(codes, labels, 1, rate=rate, until=until)
+        flat = np.concatenate([v.ravel() for v in network.weights.values()]).astype(float).tolist()
+        return pa.table({"part": part["part"][:1], "n": pa.array([len(codes)], pa.int64()), "weights": pa.array([flat])})
+
+    return work
+
+
 def train(docs: DataFrame, identity: str = "doc_id", text: str = "text", recall: float = RECALL) -> Model:
-    """A model from at most `DOCUMENTS` documents and `2 * MADE` made findings. An empty table is enough.
+    """A model from the findings of all documents, and at least `MADE` made secrets and look-alikes in places of theirs.
 
-    A share of the rows that holds about twice as many, by a hash of id and text, is cut down to those with the least
-    hashes: neither a task nor the driver sees more rows than that, whatever the corpus. Equal rows count once.
+    Findings are dealt into parts by a hash of document and place. Every round trains a copy of the network on each part,
+    all at once; the mean of the copies, weighted by their windows, begins the next round. The findings held out, a third
+    of all, reach the driver as counts by shape, label and rounded logit. Neither a task nor the driver holds all findings.
+    An empty table is enough.
     """
-    rows = docs.count()
     known = docs.select(F.col(text).cast("string").alias("text"), F.xxhash64(F.col(identity), F.col(text)).alias("turn"))
-    part = F.pmod("turn", F.lit(1 << 32)) < math.ceil(min(2 * DOCUMENTS / max(rows, 1), 1) * (1 << 32))
-    drawn = known.where(part & F.length("text").between(1, LONGEST)).groupBy("turn").agg(F.min("text").alias("text"))
-    texts = [r.text for r in drawn.orderBy("turn").limit(DOCUMENTS).collect()]
-    return fit(corpus_findings(texts) + made_findings(MADE, texts), recall)
+    known = known.where(F.length("text") > 0)
+    rows = known.count()
+    if not rows:
+        return fit(made_findings(MADE, []), recall)
+    schema = "turn long, at int, shape string, label int, windows array<string>"
+    held = F.pmod(F.xxhash64("turn", "at", F.lit(SEED)), F.lit(3)) == 0
+    found = stage(by_batch(known, _Findings(-(-MADE // rows)), schema).withColumn("held", held), "findings")
+
+    learn = found.where(~F.col("held")).select("turn", "at", "label", F.posexplode("windows").alias("pos", "window"))
+    shown = learn.count()
+    parts = min(-(-shown // PART_WINDOWS), MOST_PARTS)
+    rounds = 6 if parts == 1 else 3
+    part = F.pmod(F.xxhash64("turn", "at", "pos", F.lit(SEED)), F.lit(parts)).alias("part")
+    dealt = learn.select("*", part).groupBy("part")
+    network = Network()
+    for r in range(rounds if shown else 0):
+        work = _round(network.weights, RATE * (1 - r / rounds), RATE * (1 - (r + 1) / rounds))
+        copies = dealt.applyInArrow(work, "part long, n long, weights array<double>").collect()
+        copies.sort(key=lambda c: c.part)
+        mean = np.average([c.weights for c in copies], 0, [c.n for c in copies]).astype(np.float32)
+        ends = np.cumsum([v.size for v in network.weights.values()])[:-1]
+        network.weights = {k: m.reshape(v.shape) for (k, v), m in zip(network.weights.items(), np.split(mean, ends))}
+
+    model = Model(network, 1.0, 0.0, {})
+
+    def judged(batch: pa.RecordBatch) -> dict:
+        logits = np.clip(model.logits(batch.column("windows").to_pylist()), -LOGIT, LOGIT)
+        bins = np.floor(logits * BINS).astype(np.int64)
+        return {"shape": batch.column("shape"), "label": batch.column("label"), "bin": pa.array(bins)}
+
+    counts = by_batch(found.where("held").select("shape", "label", "windows"), judged, "shape string, label int, bin long")
+    counts = counts.groupBy("shape", "label", "bin").count().orderBy("shape", "label", "bin").collect()
+    columns = [np.array([c[i] for c in counts]) for i in range(4)]
+    return _settled(model, columns[0], columns[1], columns[2].astype(float) / BINS, columns[3], recall)
 
 
 def fit(findings: list[tuple[str, list[str], int]], recall: float = RECALL) -> Model:
-    """Trains on two thirds of the findings and calibrates on the others."""
+    """As `train`, on the given findings alone, in one place: two thirds train, the others calibrate."""
     order = np.random.default_rng(SEED).permutation(len(findings))
     held = set(order[: len(order) // 3].tolist())
     learn = [f for i, f in enumerate(findings) if i not in held]
@@ -429,26 +500,37 @@ def fit(findings: list[tuple[str, list[str], int]], recall: float = RECALL) -> M
     shown = [(w, label) for _, spans, label in learn for w in spans]
     network.train(encode([w for w, _ in shown]), np.array([label for _, label in shown], np.float32))
     model = Model(network, 1.0, 0.0, {})
-    logits = np.log(np.maximum(p := model.scores([f[1] for f in rest]), 1e-12)) - np.log(np.maximum(1 - p, 1e-12))
-    labels = np.array([f[2] for f in rest], float)
-    model.slope, model.shift = _calibrated(logits, labels)
-    scores = model.scores([f[1] for f in rest])
+    logits = np.clip(model.logits([f[1] for f in rest]), -LOGIT, LOGIT)
+    return _settled(model, np.array([f[0] for f in rest]), np.array([f[2] for f in rest]), logits, np.ones(len(rest), int), recall)
+
+
+def _settled(model: Model, shapes: np.ndarray, labels: np.ndarray, logits: np.ndarray, counts: np.ndarray, recall: float) -> Model:
+    """Sets calibration and thresholds by the logits of held-out findings, each as many times as counted."""
+    model.slope, model.shift = _calibrated(logits, labels.astype(float), counts)
+    scores = model.probability(logits)
+    secret = labels == 1
     for shape in SHAPES:
-        mine = scores[[f[0] == shape and f[2] == 1 for f in rest]]
+        mine = secret & (shapes == shape)
         # A shape with few secrets takes the threshold of all.
-        mine = np.sort(mine if len(mine) >= 30 else scores[labels == 1])
-        model.thresholds[shape] = min(0.5, float(mine[int((1 - recall) * len(mine))])) if len(mine) else 0.5
+        mine = mine if counts[mine].sum() >= 30 else secret
+        order = np.argsort(scores[mine], kind="stable")
+        running = np.cumsum(counts[mine][order])
+        if len(running):
+            least = scores[mine][order][np.searchsorted(running, int((1 - recall) * running[-1]), "right")]
+            model.thresholds[shape] = min(0.5, float(least))
+        else:
+            model.thresholds[shape] = 0.5
     return model
 
 
-def _calibrated(logits: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
+def _calibrated(logits: np.ndarray, labels: np.ndarray, counts: np.ndarray) -> tuple[float, float]:
     """Slope and shift of a logistic fit, by Newton steps with a small penalty on leaving slope 1."""
     at = np.array([1.0, 0.0])
     columns = np.stack([logits, np.ones_like(logits)], 1)
     for _ in range(25):
         p = 1 / (1 + np.exp(-np.clip(columns @ at, -30, 30)))
-        slope = columns.T @ (p - labels) + [at[0] - 1, at[1]]
-        curve = (columns * (p * (1 - p))[:, None]).T @ columns + np.eye(2)
+        slope = columns.T @ ((p - labels) * counts) + [at[0] - 1, at[1]]
+        curve = (columns * (counts * p * (1 - p))[:, None]).T @ columns + np.eye(2)
         at = at - np.linalg.solve(curve, slope)
     return float(max(at[0], 1e-3)), float(at[1])
 

@@ -153,3 +153,20 @@ def test_query(spark, small):
         assert [s for s in r.spans.split(",") if s and not s.startswith(secret_scan.FOUND)] == base
         assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(s.startswith(k) for s in base) for k in secret_scan.BASE)
     assert sum(r.n_model for r in found) <= 3
+
+
+@pytest.mark.parametrize("part", [secret_scan.PART_WINDOWS, 2000])
+def test_every_document_trains(spark, model, monkeypatch, part):
+    """Codes that only stand in long documents are learnt to be none, by one copy of the network or by several."""
+    monkeypatch.setattr(secret_scan, "PART_WINDOWS", part)
+    rng = random.Random(5)
+    code = lambda: "".join(rng.choices("0123456789ABCDEF", k=32))
+    rows = [(i, "word " * 4100 + " ".join(code() for _ in range(20)), "", "", "") for i in range(120)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    trained = secret_scan.train(docs)
+    text = "word " * 10 + " ".join(code() for _ in range(102))
+    fresh = [secret_scan.windows(text, at, at + 32) for at in range(50 + 33, len(text) - 33, 33)]
+    assert (model.scores(fresh) > 0.5).mean() > 0.9 > 0.1 > (trained.scores(fresh) > 0.5).mean()
+    again = secret_scan.train(docs.repartition(3))
+    assert all((again.network.weights[k] == v).all() for k, v in trained.network.weights.items())
+    assert again.thresholds == trained.thresholds
