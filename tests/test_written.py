@@ -1,17 +1,19 @@
 """What reaches the disk: files for each block, filters as small as their rows, packed texts, shuffle files."""
 
+import json
 from pathlib import Path
 
 from pyspark.sql import functions as F
 
 from tallyfold.functions.calendar import stamp
 from tallyfold.operators import dml, merge, quality
-from tallyfold.plans import ingest
+from tallyfold.plans import fixtures, ingest
 from tallyfold.plans.cycle import open_star
 from tallyfold.plans.ingest import open_source
 from tallyfold.queries import documents
 from tallyfold.schemas import SOURCE_TABLES
-from tallyfold.session import WRITING, side_by_side, stage, writing
+from tallyfold.session import WRITING, shared_dir, side_by_side, stage, writing
+from tallyfold.sources.store import Transaction
 
 NOW = "2024-05-01 10:00:00"
 SCATTERED = {
@@ -150,6 +152,58 @@ def test_documents_are_packed_and_in_order(spark, tmp_path):
     assert found == [r["value"] for r in plain] and len(found) == 60
 
 
+def test_documents_are_sorted_when_joins_have_left_the_disk(spark, tmp_path, monkeypatch):
+    given = spark.createDataFrame([(3, 1), (1, 1), (2, 1)], "l_orderkey long, l_partkey long")
+    given = given.select("*", *(F.lit(1).alias(c) for c in fixtures.LINE_ORDER if c not in given.columns))
+    tables = {
+        "lineitem": given.withColumns({"l_shipdate": stamp(NOW), "l_returnflag": F.lit("N"), "l_linestatus": F.lit("O")}),
+        "orders": spark.range(1, 4).selectExpr("id o_orderkey", "1 o_custkey", "timestamp '2024-01-02' o_orderdate", "'x' o_orderpriority"),
+        "customer": spark.sql("SELECT 1 c_custkey, 'c' c_name"),
+        "part": spark.sql("SELECT 1 p_partkey, 'p' p_name"),
+        "supplier": spark.sql("SELECT 1 s_suppkey, 's' s_name"),
+    }
+    monkeypatch.setattr(fixtures, "raw", lambda spark, folder, name: tables[name])
+    with settings(spark, SCATTERED):
+        found = documents.documents(spark, "", ordered=True)
+        assert "Join" not in plan(found) and found.inputFiles()
+        assert [r[0] for r in found.select("l_orderkey").collect()] == [1, 2, 3]
+        path = documents.written(spark, "")
+    assert sum(1 for _ in spark.read.text(path).collect()) == 3
+    assert len(list(Path(shared_dir(spark)).glob("joined-*"))) == 1  # that of `found`; the other was removed
+
+
+def test_ingest_writes_items_when_its_lines_are_gone(spark, root, tmp_path, monkeypatch):
+    def document(no, names):
+        header = {"seller": "s", "seller_tax_id": "S", "client": "c", "client_tax_id": "C", "iban": "I", "invoice_no": no, "invoice_date": "1/5/2021"}
+        items = [{"item_desc": n, "item_qty": "x" if n == "bad" else "1,00", "item_net_price": "1,00", "item_vat": "8%"} for n in names]
+        return {"gt_parse": {"header": header, "items": items, "summary": {k: "$ 1.00" for k in ("total_net_worth", "total_vat", "total_gross_worth")}}}
+
+    given = [document("1", ["a", "bad", "b"]), document("2", []), document("1", ["b"]), document("3", ["bad"]), document("2", ["c", "a"])]
+    path = tmp_path / "lines.txt"
+    path.write_text("\n".join(map(json.dumps, given)) + "\n")
+    append, there = Transaction.append, {}
+
+    def seen(tx, name, df):
+        there[name] = [f for f in Path(shared_dir(spark)).glob("job-*/lines-*") if f.is_dir()]
+        return append(tx, name, df)
+
+    before = set(Path(shared_dir(spark)).glob("job-*/lines-*"))
+    monkeypatch.setattr(Transaction, "append", seen)
+    store = open_source(spark, root, 16, buckets=2)
+    report = ingest.ingest_invoices(spark, str(path), store, "item", NOW)
+    assert set(there["sellers"]) - before and not set(there["invoice_items"]) - before
+    assert (report.lines, report.accepted) == (5, 5)
+    names = store.read("products").select("product_id", "product_name")
+    found = store.read("invoice_items").join(names, "product_id").orderBy("item_id").select("item_id", "invoice_id", "product_name")
+    assert [tuple(r) for r in found.collect()] == [(1, 1, "a"), (2, 1, "b"), (3, 1, "b"), (4, 2, "c"), (5, 2, "a")]
+
+
+def test_first_rows_of_few_keys_are_not_shuffled(spark):
+    rows = spark.range(1000).select((F.col("id") % 3).cast("string").alias("k"), F.col("id").alias("o"))
+    found = merge.first_rows(rows, "k", "o", staged=True)
+    assert "Exchange hashpartitioning" not in plan(found) and {r["o"] for r in found.collect()} == {0, 1, 2}
+
+
 def test_settings_of_writes_end_with_the_last_of_them(spark):
     before = {k: spark.conf.get(k, None) for k in WRITING}
 
