@@ -13,6 +13,7 @@ from tallyfold.plans.ingest import open_source
 from tallyfold.queries import documents
 from tallyfold.schemas import SOURCE_TABLES
 from tallyfold.session import WRITING, shared_dir, side_by_side, stage, writing
+from tallyfold.sources.invoice_lines import number_lines, read_invoice_lines
 from tallyfold.sources.store import Transaction
 
 NOW = "2024-05-01 10:00:00"
@@ -198,6 +199,51 @@ def test_ingest_writes_items_when_its_lines_are_gone(spark, root, tmp_path, monk
     assert [tuple(r) for r in found.collect()] == [(1, 1, "a"), (2, 1, "b"), (3, 1, "b"), (4, 2, "c"), (5, 2, "a")]
 
 
+def test_many_documents_are_written_slice_by_slice_and_in_order(spark, monkeypatch):
+    given = spark.range(40).select(((39 - F.col("id")) % 13).alias("l_orderkey"), F.lit(1).alias("l_partkey"), F.col("id").cast("int").alias("l_linenumber"))
+    given = given.select("*", *(F.lit(1).alias(c) for c in fixtures.LINE_ORDER if c not in given.columns))
+    tables = {
+        "lineitem": given.withColumns({"l_shipdate": stamp(NOW), "l_returnflag": F.lit("N"), "l_linestatus": F.lit("O")}),
+        "orders": spark.range(12).selectExpr("id o_orderkey", "1 o_custkey", "timestamp '2024-01-02' o_orderdate", "'x' o_orderpriority"),
+        "customer": spark.sql("SELECT 1 c_custkey, 'c' c_name"),
+        "part": spark.sql("SELECT 1 p_partkey, 'p' p_name"),
+        "supplier": spark.sql("SELECT 1 s_suppkey, 's' s_name"),
+    }
+    monkeypatch.setattr(fixtures, "raw", lambda spark, folder, name: tables[name])
+    monkeypatch.setattr(documents, "SLICE_ROWS", 10)
+    staged = set(Path(shared_dir(spark)).glob("joined-*"))
+    path = documents.written(spark, "")
+    assert len(list(Path(path).glob("slice=*"))) == 4 and set(Path(shared_dir(spark)).glob("joined-*")) == staged
+    lines = number_lines(stage(read_invoice_lines(spark, path))).orderBy("line_no").select("line").collect()
+    plain = documents.documents(spark, "").orderBy(*fixtures.LINE_ORDER).collect()
+    assert [r[0] for r in lines] == [r["value"] for r in plain] and len(lines) == 37
+
+
+def test_ingest_needs_no_file_once_its_lines_are_staged(spark, root, tmp_path, monkeypatch):
+    header = {"seller": "s", "seller_tax_id": "S", "client": "c", "client_tax_id": "C", "iban": "I", "invoice_date": "1/5/2021"}
+    items = [{"item_desc": n, "item_qty": "1,00", "item_net_price": "1,00", "item_vat": "8%"} for n in "ab"]
+    summary = {k: "$ 1.00" for k in ("total_net_worth", "total_vat", "total_gross_worth")}
+    given = [{"gt_parse": {"header": {**header, "invoice_no": str(i)}, "items": items, "summary": summary}} for i in range(20)]
+    path = tmp_path / "lines.txt"
+    path.write_text("\n".join(map(json.dumps, given)) + "\n")
+    monkeypatch.setattr(ingest, "TURN_ROWS", 10)
+    append, appended = Transaction.append, []
+
+    def seen(tx, name, df):
+        appended.append((name, path.exists()))
+        return append(tx, name, df)
+
+    monkeypatch.setattr(Transaction, "append", seen)
+    store = open_source(spark, root, 16, buckets=8)
+    ingest.ingest_invoices(spark, str(path), store, "line", NOW, on_read=path.unlink)
+    # The items come in turns, each of other blocks, so that a block is still one folder.
+    assert [name for name, _ in appended].count("invoice_items") == 4 and not any(there for _, there in appended)
+    blocks = [p["block"] for p in store.version()["tables"]["invoice_items"]["parts"]]
+    assert len(blocks) == len(set(blocks))
+    found = store.read("invoice_items").orderBy("item_id").select("item_id", "invoice_id", "product_id").collect()
+    assert [tuple(r) for r in found] == [(2 * i + j, i + 1, j) for i in range(20) for j in (1, 2)]
+
+
 def test_first_rows_of_few_keys_are_not_shuffled(spark):
     rows = spark.range(1000).select((F.col("id") % 3).cast("string").alias("k"), F.col("id").alias("o"))
     found = merge.first_rows(rows, "k", "o", staged=True)
