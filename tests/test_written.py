@@ -262,6 +262,15 @@ def test_settings_of_writes_end_with_the_last_of_them(spark):
     assert {k: spark.conf.get(k, None) for k in WRITING} == before
 
 
+def test_tasks_of_writes_are_small(spark):
+    """A task sorts many times what it reads: at Spark's own sizes, more than a core has. Smaller ones stay."""
+    sizes = {"spark.sql.files.maxPartitionBytes": "128MB", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8m"}
+    with settings(spark, sizes):
+        with writing(spark):
+            assert [spark.conf.get(k) for k in sizes] == ["16777216b", "8m"]
+        assert {k: spark.conf.get(k) for k in sizes} == sizes
+
+
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
