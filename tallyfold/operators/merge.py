@@ -11,8 +11,9 @@ from tallyfold.operators.keys import assign_keys, group_counts, number_in_groups
 from tallyfold.session import stage
 from tallyfold.sources.store import BLOCK, Transaction
 
-# Largest batch sent to every executor; its size is measured first.
-BROADCAST_BYTES = 64 << 20
+# Largest batch sent to every executor; its size is measured first. The driver holds a few times as much, and several
+# tables are loaded side by side.
+BROADCAST_BYTES = 16 << 20
 FEW_KEYS = 1 << 19  # repeated keys sent to every executor, some tens of MB
 MATCHED = "_matched"
 

@@ -274,7 +274,7 @@ class Transaction:
             writer = writer.option(f"parquet.bloom.filter.enabled#{table.natural_key}", "true")
             writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true")
             writer = writer.option("parquet.bloom.filter.candidates.number", str(BLOOM_SIZES))
-        with writing(self.spark):
+        with writing(df.sparkSession):
             writer.parquet(f"{self.store.root}/{path}", compression="zstd")
         found = [path]
         if table.block_by:

@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tallyfold.plans.cycle import Load, run_cycle, utc_now
 from tallyfold.schemas import SOURCE_TABLES, STREAMS
+from tallyfold.session import writing
 from tallyfold.sources.store import TableStore
 
 STREAM = "stream"
@@ -93,7 +94,8 @@ def take_batch(
         on_unresolved=on_unresolved,
         batch=(stream, number),
     )
-    return run_cycle(load, batch_ts, retries=retries, retry_delay=retry_delay)
+    with writing(batch.sparkSession):
+        return run_cycle(load, batch_ts, retries=retries, retry_delay=retry_delay)
 
 
 def _stream_id(spark: SparkSession, checkpoint: str) -> str:

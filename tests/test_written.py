@@ -12,7 +12,7 @@ from tallyfold.plans.cycle import open_star
 from tallyfold.plans.ingest import open_source
 from tallyfold.queries import documents
 from tallyfold.schemas import SOURCE_TABLES
-from tallyfold.session import WRITING, shared_dir, side_by_side, stage, writing
+from tallyfold.session import MEASURED_JOIN, PACKED_JOIN, WRITING, scratch, shared_dir, side_by_side, stage, writing
 from tallyfold.sources.invoice_lines import number_lines, read_invoice_lines
 from tallyfold.sources.store import Transaction
 
@@ -271,6 +271,25 @@ def test_tasks_of_writes_are_small(spark):
         assert {k: spark.conf.get(k) for k in sizes} == sizes
 
 
+def test_settings_of_writes_hold_in_each_session(spark):
+    """A stream runs its batches in a copy of its session, beside the session that the star was opened with."""
+    other = spark.newSession()
+    before = [{k: s.conf.get(k, None) for k in (*WRITING, PACKED_JOIN)} for s in (spark, other)]
+    with writing(spark), writing(other):
+        assert [{k: s.conf.get(k) for k in WRITING} for s in (spark, other)] == [WRITING, WRITING]
+    assert [{k: s.conf.get(k, None) for k in (*WRITING, PACKED_JOIN)} for s in (spark, other)] == before
+
+
+def test_ids_that_are_packed_well_are_not_broadcast(spark):
+    """A million ids are a few MB as a file, and fifty in a hash table, which the driver would have to build."""
+    with settings(spark, {PACKED_JOIN: "10MB"}), scratch(spark):
+        ids, few = stage(spark.range(1 << 20).toDF("id")), stage(spark.range(1000).toDF("id"))
+        rows = stage(spark.range(1 << 21).select("id", F.lit("x").alias("x")))
+        assert "BroadcastHashJoin" not in plan(rows.join(ids, "id")) and "BroadcastHashJoin" in plan(rows.join(few, "id"))
+    with settings(spark, {PACKED_JOIN: "-1"}), writing(spark):
+        assert {spark.conf.get(k) for k in (PACKED_JOIN, MEASURED_JOIN)} == {"-1"}
+
+
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
