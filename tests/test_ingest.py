@@ -329,3 +329,20 @@ def test_digits_beyond_the_scale_are_refused_not_rounded(spark, root):
     store, report = load(spark, f"{root}/item", docs, policy="item")
     assert report.accepted == 4 and store.read("invoice_items").count() == 1
     assert values(store, "rejected_items", "line_no", "reason")[0] == (1, "item_qty has more than 8 decimals")
+
+
+def test_a_document_is_read_in_one_pass(spark):
+    """Beside the mark behind the line and the kind of items that are no list, all that is read of it at once."""
+    lines = spark.range(1).select(F.col("id").cast("string").alias("line"))
+    found = split_document(lines)._jdf.queryExecution().optimizedPlan().toString()
+    assert found.count("variant_get(_doc") == 3
+
+
+def test_values_of_another_form_are_missing_alone(spark):
+    items = '[null, 1, {"item_desc": "a", "item_qty": 2, "item_net_price": "3", "item_vat": null}, {"item_desc": {}}]'
+    line = '{"gt_parse": {"header": {"seller": 5, "client": [], "iban": null, "invoice_no": 7, "invoice_date": "d"}, "items": %s}}' % items
+    row = split_document(spark.createDataFrame([(line,)], "line string")).first()
+    header, empty = row["header"], (None, None, None, None, False, False)
+    assert (header["invoice_no"], header["invoice_date"], row["items_kind"], row["summary"][0]) == (None, "d", "ARRAY", None)
+    assert [tuple(header[k]) for k in ("seller", "client", "iban")] == [("5", True), ("[]", False), (None, True)]
+    assert [tuple(i) for i in row["items"]] == [empty, empty, ("a", None, "3", None, True, True), (None, None, None, None, True, False)]
